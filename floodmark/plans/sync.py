@@ -7,7 +7,6 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from floodmark.functions import ids
 from floodmark.operators import (
@@ -22,7 +21,7 @@ from floodmark.operators import (
 )
 from floodmark.operators.ledger import Ledgers
 from floodmark.plans import export
-from floodmark.sources.tables import TableSource, union_all
+from floodmark.sources.tables import TableSource, union_all, with_text
 
 TABLE_KEY = incremental.TABLE_KEY
 
@@ -172,8 +171,8 @@ class Lake:
         layout = replace(self.layout, cluster_by=source.cluster_by or self.layout.cluster_by)
         export.export_batches(source, mine, plan_rows, target, layout)
 
-        stored = [*source.frame.schema.fields, *map(_text_field, ("partition_id", "batch"))]
-        written = self.spark.read.schema(T.StructType(stored)).parquet(target)
+        stored = with_text(source.frame.schema, "partition_id", "batch")
+        written = self.spark.read.schema(stored).parquet(target)
         counted = written.groupBy("partition_id").agg(F.count(F.lit(1)).alias("row_count"))
         compared = mine.select("partition_id", "last_modified", "total_rows", "batch").join(
             counted, "partition_id", "full"
@@ -325,9 +324,5 @@ class Lake:
         return target
 
 
-def _text_field(name: str) -> T.StructField:
-    return T.StructField(name, T.StringType())
-
-
 def _columns(spark: SparkSession, ddl: str) -> list[str]:
     return spark.createDataFrame([], ddl).columns

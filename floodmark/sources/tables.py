@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from floodmark.functions import ids
 
@@ -70,3 +71,8 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     for frame in rest:
         result = result.unionByName(frame)
     return result
+
+
+def with_text(schema: T.StructType, *names: str) -> T.StructType:
+    """Schema with text columns added, such as the names of partition directories."""
+    return T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in names]])

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from floodmark.functions import ids
 from floodmark.operators.keyed import join_counted
 from floodmark.plans import export
+from floodmark.sources.tables import with_text
 
 COMMITS = "batch_id bigint, max_event_time timestamp_ntz, rows bigint"
 
@@ -71,11 +73,12 @@ def start_export(
     )
 
 
-def read_exported(spark: SparkSession, root: str, schema: str, kind: str | None = None) -> DataFrame:
+def read_exported(
+    spark: SparkSession, root: str, schema: T.StructType, kind: str | None = None
+) -> DataFrame:
     """Rows of the committed micro-batches; ``kind`` picks ``on_time`` or ``late`` rows."""
-    rows = spark.read.schema(
-        f"{schema}, partition_id string, batch_id bigint, kind string"
-    ).parquet(f"{root}/data")
+    layout = with_text(schema, "partition_id", "kind").add("batch_id", T.LongType())
+    rows = spark.read.schema(layout).parquet(f"{root}/data")
     good = commits(spark, root).select("batch_id")
     done = join_counted(rows, good, ["batch_id"], good.count(), "left_semi")
     if kind is not None:
