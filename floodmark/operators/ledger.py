@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from floodmark.operators.keyed import first_per_key, latest_per_key
 
@@ -22,7 +23,9 @@ TABLES = """project string, dataset string, table string, schema_version int,
 PARTITIONS = """project string, dataset string, table string, partition_id string,
  schema_version int, exported_modified timestamp_ntz, snapshot_time timestamp_ntz,
  synced_at timestamp_ntz, row_count bigint, exported_path string, run_id string, at timestamp_ntz"""
-FIELDS = """dataset string, table string, observed_at timestamp_ntz, path string, parent string,
+VERSIONS = """dataset string, table string, version bigint, schema_hash string,
+ shape_hash string, change_type string, n_changes bigint, widened boolean, valid_from timestamp_ntz"""
+FIELDS = """dataset string, table string, version bigint, path string, parent string,
  name string, type string, mode string, description string, depth int"""
 ACKS = "dataset string, table string, version bigint, at timestamp_ntz"
 
@@ -31,6 +34,7 @@ SCHEMAS = {
     "tasks": TASKS,
     "tables": TABLES,
     "partitions": PARTITIONS,
+    "versions": VERSIONS,
     "fields": FIELDS,
     "acks": ACKS,
 }
@@ -51,9 +55,14 @@ class Ledgers:
         self.root = root.rstrip("/") + "/ledger"
 
     def append(self, name: str, rows: DataFrame) -> None:
-        empty = self.spark.createDataFrame([], SCHEMAS[name])
-        aligned = empty.unionByName(rows, allowMissingColumns=True).select(*empty.columns)
-        aligned.write.mode("append").parquet(f"{self.root}/{name}")
+        """Append rows; columns the ledger knows and the rows lack are null."""
+        fields = _schema(name).fields
+        rows.select(
+            *[
+                (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in fields
+            ]
+        ).write.mode("append").parquet(f"{self.root}/{name}")
 
     def read(self, name: str) -> DataFrame:
         try:
@@ -61,7 +70,12 @@ class Ledgers:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], SCHEMAS[name])
+            return self._empty(name)
+
+    def _empty(self, name: str) -> DataFrame:
+        """No rows, in a form that lets Catalyst drop the joins with them."""
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in _schema(name).fields]
+        return self.spark.range(0, 1, 1, 1).select(*nulls).where(F.lit(False))
 
     def committed(self, name: str) -> DataFrame:
         """Rows of completed runs only: the run's closing row is what publishes them."""
@@ -71,19 +85,18 @@ class Ledgers:
     def latest(self, name: str) -> DataFrame:
         if name == "runs":
             return latest_runs(self.read("runs"))
+        if name == "versions":
+            return latest_per_key(self.read("versions"), ["dataset", "table"], ["version"])
         return latest_per_key(self.committed(name), KEYS[name], ["at", "run_id"])
 
     def append_run(self, run_id: str, state: str, at: str, started_at: str) -> None:
-        row = self.spark.createDataFrame([(run_id, state, at, started_at)], "a string, b string, c string, d string")
-        self.append(
-            "runs",
-            row.select(
-                F.col("a").alias("run_id"),
-                F.col("b").alias("state"),
-                F.col("c").cast("timestamp_ntz").alias("at"),
-                F.col("d").cast("timestamp_ntz").alias("started_at"),
-            ),
-        )
+        values = {"run_id": run_id, "state": state, "at": at, "started_at": started_at}
+        one = self.spark.range(0, 1, 1, 1)
+        self.append("runs", one.select(*[F.lit(v).alias(k) for k, v in values.items()]))
+
+
+def _schema(name: str) -> T.StructType:
+    return T.StructType.fromDDL(SCHEMAS[name])
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floodmark.functions import ids
 from floodmark.operators.keyed import first_per_key
-from floodmark.sources import files
 
 FILE_KEY = ["dataset", "table", "path"]
 FILE_STRUCT = "struct<path:string,size:bigint,row_count:bigint,sha256:string>"
@@ -17,18 +16,15 @@ MANIFEST = """dataset string, table string, schema_version int, run_id string,
 FORMAT_VERSION = "v1"
 
 
-def build(spark: SparkSession, written: DataFrame, root: str, below: str) -> DataFrame:
-    """Manifest rows of the files that ``written`` reads from ``below``.
+def build(stored: DataFrame, counted: DataFrame) -> DataFrame:
+    """Manifest rows from the files in storage and the row counts of those files.
 
-    Sizes and checksums come from storage after the write, row counts from the files'
-    own metadata, so nothing depends on what the writer believed it wrote.
+    Sizes and checksums come from storage after the write and row counts from reading
+    the files, so nothing depends on what the writer believed it wrote.
     """
-    counted = files.rows_per_file(written, root)
-    summed = files.checksums(spark, below).withColumn(
-        "path", F.concat(F.lit(below.split(root.rstrip("/") + "/", 1)[-1] + "/"), F.col("path"))
-    )
-    return summed.join(counted, "path", "left").select(
-        "path", "size", F.coalesce("row_count", F.lit(0)).alias("row_count"), "sha256"
+    rows = counted.groupBy("path").agg(F.sum("row_count").alias("row_count"))
+    return stored.join(rows, "path", "left").withColumn(
+        "row_count", F.coalesce("row_count", F.lit(0))
     )
 
 

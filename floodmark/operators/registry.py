@@ -277,6 +277,48 @@ def current_version(versions: DataFrame, acks: DataFrame) -> DataFrame:
     )
 
 
+def resolve(today: DataFrame, stored: DataFrame) -> DataFrame:
+    """Version of each table's present schema against its latest stored version.
+
+    A table seen for the first time is at version 1, an unchanged shape keeps its version,
+    any other shape is the next version. ``is_new`` marks versions to be recorded.
+    """
+    known = stored.select(
+        *TABLE_KEY, F.col("version").alias("_version"), F.col("shape_hash").alias("_shape")
+    )
+    same = F.col("_shape") == F.col("shape_hash")
+    return (
+        fingerprints(today, TABLE_KEY)
+        .join(known, TABLE_KEY, "left")
+        .withColumn(
+            "version",
+            F.when(F.col("_version").isNull(), F.lit(1))
+            .when(same, F.col("_version"))
+            .otherwise(F.col("_version") + 1)
+            .cast("bigint"),
+        )
+        .withColumn("is_new", F.col("_version").isNull() | ~same)
+        .drop("_version", "_shape")
+    )
+
+
+def describe_new(resolved: DataFrame, today: DataFrame, stored_fields: DataFrame) -> DataFrame:
+    """Change type and number of changes of the versions that :func:`resolve` found new."""
+    new = resolved.where("is_new")
+    later = new.where("version > 1").select(*TABLE_KEY, "version")
+    before = stored_fields.withColumn("version", F.col("version") + 1).join(
+        later, [*TABLE_KEY, "version"], "left_semi"
+    )
+    after = today.join(later, TABLE_KEY)
+    key = [*TABLE_KEY, "version"]
+    changes = diff(before, after, key=key, mode_flips_break=True)
+    named = classify_changes(changes, new, key)
+    return new.join(named, key).withColumn(
+        "change_type",
+        F.when(F.col("version") == 1, F.lit("INITIAL")).otherwise(F.col("change_type")),
+    )
+
+
 def rename_candidates(changes: DataFrame, key: Sequence[str] = TABLE_KEY) -> DataFrame:
     """Dropped and added fields that could be one renamed field.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodmark.functions import ids
@@ -18,12 +18,20 @@ from floodmark.operators import (
     registry,
     report,
     unify,
+    verify,
 )
+from floodmark.operators.keyed import join_per_key
 from floodmark.operators.ledger import Ledgers
 from floodmark.plans import export
-from floodmark.sources.tables import TableSource, union_all, with_text
+from floodmark.sources import files
+from floodmark.sources.tables import TableSource, union_all
 
 TABLE_KEY = incremental.TABLE_KEY
+KEY = incremental.PARTITION_KEY
+
+# Directory columns of exported files, and the one data column that all of them have.
+LAYOUT = """partition_id string, dataset string, table string, schema_version string,
+ run string, batch string"""
 
 
 @dataclass(frozen=True)
@@ -55,35 +63,47 @@ class Lake:
     ) -> RunResult:
         """Export what changed since the last run and publish it.
 
-        Everything a run writes lies under its own id. Readers see it only once the
-        closing row of the run is in the ledger, so a run that dies half way changes
-        nothing for them and its files become orphans.
+        Each table is one write job, as tables differ in their columns. All other steps
+        handle the tables together. Everything a run writes lies under its own id, and
+        readers see it only once the closing row of the run is in the ledger: a run that
+        dies half way changes nothing for them and its files become orphans.
         """
         at = F.lit(now).cast("timestamp_ntz")
-        self.ledgers.append("runs", ledger.abort_rows(self.ledgers.read("runs"), at))
+        stale = ledger.abort_rows(self.ledgers.read("runs"), at)
+        if not stale.isEmpty():
+            self.ledgers.append("runs", stale)
         self.ledgers.append_run(run_id, "running", now, now)
 
         chosen = self._choose(sources, rules, incremental.Rule("*", batch_days=days))
         sources = [source for source, _ in chosen]
-        versions = self._observe_schemas(sources, now)
+        versions = self._resolve_versions(sources, now)
         plan = self._plan(chosen, run_id)
-        sizes = {
-            (r["dataset"], r["table"]): r["n"]
-            for r in plan.groupBy("dataset", "table").agg(F.count(F.lit(1)).alias("n")).collect()
-        }
+        planned = plan.groupBy(*TABLE_KEY).agg(F.count(F.lit(1)).alias("n")).collect()
+        sizes = {f"{r['dataset']}.{r['table']}": r["n"] for r in planned}
+
+        written: dict[str, str] = {}
         failed: dict[str, str] = {}
-        done = 0
         for source in sources:
-            n = sizes.get((source.dataset, source.table), 0)
-            if not n:
+            if source.name not in sizes:
                 continue
+            target = export.run_dir(
+                self.root, source.dataset, source.table, versions[source.name], run_id
+            )
+            layout = replace(self.layout, cluster_by=source.cluster_by or self.layout.cluster_by)
+            mine = ledger.table_state(plan, source.dataset, source.table)
             try:
-                self._export_table(source, plan, n, run_id, versions[source.name], now)
-                done += 1
+                export.export_batches(source, mine, sizes[source.name], target, layout)
+                written[source.name] = target
             except Exception as error:  # one table's failure must not stop the others
                 failed[source.name] = str(error)
-                self._record_failure(source, plan, run_id, versions[source.name], now, str(error))
+        if written:
+            counted = self._count_written(list(written.values()), run_id)
+            failed |= self._mismatches(plan, counted, list(written))
+            self._publish(plan, counted, written, failed, run_id, at)
+        if failed:
+            self._record_failures(plan, failed, versions, run_id, at)
         self._record_tables(sources, plan, run_id, failed, versions, now)
+        done = len(written.keys() - failed.keys())
         state = "completed" if not failed else "partial" if done else "failed"
         self.ledgers.append_run(run_id, state, now, now)
         return RunResult(run_id, state, done, failed)
@@ -108,21 +128,27 @@ class Lake:
             if s.name in picked
         ]
 
-    def _observe_schemas(self, sources: Sequence[TableSource], now: str) -> dict[str, int]:
-        """Record today's schemas and return the version each table is at."""
+    def _resolve_versions(self, sources: Sequence[TableSource], now: str) -> dict[str, int]:
+        """Schema version of each table; schemas not seen before are recorded."""
         rows = [
             (s.dataset, s.table, *f) for s in sources for f in registry.flatten(s.frame.schema, s.modes)
         ]
-        seen = self.spark.createDataFrame(
+        today = self.spark.createDataFrame(
             rows,
             "dataset string, table string, path string, parent string, name string, type string, "
             "mode string, description string, depth int",
-        ).withColumn("observed_at", F.lit(now).cast("timestamp_ntz"))
-        self.ledgers.append("fields", seen)
-        history = registry.version_history(self.ledgers.read("fields"))
-        latest = history.groupBy("dataset", "table").agg(F.max("version").alias("version")).collect()
-        at = {f"{r['dataset']}.{r['table']}": r["version"] for r in latest}
-        return {s.name: at[s.name] for s in sources}
+        )
+        resolved = registry.resolve(today, self.ledgers.latest("versions"))
+        verdicts = resolved.select(*TABLE_KEY, "version", "is_new").collect()
+        if any(r["is_new"] for r in verdicts):
+            found = registry.describe_new(resolved, today, self.ledgers.read("fields"))
+            self.ledgers.append(
+                "versions", found.withColumn("valid_from", F.lit(now).cast("timestamp_ntz"))
+            )
+            new = [(r["dataset"], r["table"], r["version"]) for r in verdicts if r["is_new"]]
+            listed = self.spark.createDataFrame(new, "dataset string, table string, version bigint")
+            self.ledgers.append("fields", today.join(listed, TABLE_KEY))
+        return {f"{r['dataset']}.{r['table']}": r["version"] for r in verdicts}
 
     def _plan(self, chosen: list[tuple[TableSource, tuple[str, int]]], run_id: str) -> DataFrame:
         """Partitions to export with their batches, written once and read back.
@@ -160,70 +186,101 @@ class Lake:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _of(self, plan: DataFrame, source: TableSource) -> DataFrame:
-        return ledger.table_state(plan, source.dataset, source.table)
+    def _count_written(self, targets: list[str], run_id: str) -> DataFrame:
+        """Rows by file and partition of all tables the run wrote, from one narrow scan."""
+        rows = (
+            self.spark.read.schema(LAYOUT).option("basePath", f"{self.root}/data").parquet(*targets)
+        )
+        by = [*TABLE_KEY, "schema_version", "batch", "partition_id"]
+        counted = files.rows_per_file(rows, self.root, *by)
+        return self._stored(counted, f"{self.root}/runs/{run_id}/written")
+
+    def _mismatches(
+        self, plan: DataFrame, counted: DataFrame, names: Sequence[str]
+    ) -> dict[str, str]:
+        """Written tables whose partitions differ from what was planned."""
+        expected = plan.where(F.concat_ws(".", *TABLE_KEY).isin(list(names)))
+        stored = counted.groupBy(*KEY).agg(F.sum("row_count").alias("row_count"))
+        compared = verify.compare_counts(
+            expected.select(*KEY, F.col("total_rows").alias("row_count")), stored, KEY
+        )
+        wrong = (
+            compared.where("not matches").groupBy(*TABLE_KEY).agg(F.count(F.lit(1)).alias("n")).collect()
+        )
+        return {
+            f"{r['dataset']}.{r['table']}": f"{r['n']} partitions differ from their plan" for r in wrong
+        }
 
-    def _export_table(
-        self, source: TableSource, plan: DataFrame, plan_rows: int, run_id: str, version: int, now: str
+    def _publish(
+        self,
+        plan: DataFrame,
+        counted: DataFrame,
+        written: dict[str, str],
+        failed: dict[str, str],
+        run_id: str,
+        at: Column,
     ) -> None:
-        mine = self._of(plan, source)
-        target = export.run_dir(self.root, source.dataset, source.table, version, run_id)
-        layout = replace(self.layout, cluster_by=source.cluster_by or self.layout.cluster_by)
-        export.export_batches(source, mine, plan_rows, target, layout)
-
-        stored = with_text(source.frame.schema, "partition_id", "batch")
-        written = self.spark.read.schema(stored).parquet(target)
-        counted = written.groupBy("partition_id").agg(F.count(F.lit(1)).alias("row_count"))
-        compared = mine.select("partition_id", "last_modified", "total_rows", "batch").join(
-            counted, "partition_id", "full"
+        """Manifest, partition and task rows of the tables that were written as planned."""
+        good = [target for name, target in written.items() if name not in failed]
+        if not good:
+            return
+        listed = counted.where(~F.concat_ws(".", *TABLE_KEY).isin(list(failed))) if failed else counted
+        version = F.substring("schema_version", 2, 10).cast("int")
+        stored = files.checksums(self.spark, self.root, good)
+        entries = manifest.build(stored, listed).withColumns(
+            {
+                "dataset": F.regexp_extract("path", "/?dataset=([^/]+)/", 1),
+                "table": F.regexp_extract("path", "/table=([^/]+)/", 1),
+                "schema_version": F.regexp_extract("path", "/schema_version=v([0-9]+)/", 1).cast("int"),
+                "run_id": F.lit(run_id),
+                "exported_at": at,
+            }
         )
-        at = F.lit(now).cast("timestamp_ntz")
-        named = {"dataset": F.lit(source.dataset), "table": F.lit(source.table), "at": at}
-        state = compared.withColumns(
+        entries.write.mode("append").json(f"{self.root}/manifest")
+        sums = listed.groupBy(*KEY, "batch", version.alias("schema_version")).agg(
+            F.sum("row_count").alias("row_count")
+        )
+        state = sums.join(plan.select(*KEY, "project", "last_modified"), KEY).withColumns(
             {
-                **named,
-                "project": F.lit(source.project),
-                "schema_version": F.lit(version),
                 "run_id": F.lit(run_id),
+                "at": at,
                 "exported_modified": F.col("last_modified"),
                 "snapshot_time": at,
                 "synced_at": at,
                 "exported_path": F.concat(
-                    F.lit(target.split(self.root + "/", 1)[1] + "/batch="), F.col("batch")
+                    ids.export_path(
+                        F.col("dataset"), F.col("table"), F.col("schema_version"),
+                        F.lit(f"run={run_id}/batch="),
+                    ),
+                    F.col("batch"),
                 ),
             }
         )
-        state = self._stored(
-            state, f"{self.root}/runs/{run_id}/exported/{source.dataset}/{source.table}"
+        self.ledgers.append("partitions", state)
+        done = state.select(
+            *KEY, "run_id", "at", "schema_version", F.lit("completed").alias("state"),
+            F.col("row_count").alias("rows"),
         )
-        wrong = state.where(~F.col("row_count").eqNullSafe(F.col("total_rows"))).count()
-        if wrong:
-            raise RuntimeError(f"{wrong} partitions of {source.name} differ from their plan")
+        self.ledgers.append("tasks", done)
 
-        files = manifest.build(self.spark, written, self.root, target).withColumns(
-            {**named, "run_id": F.lit(run_id), "schema_version": F.lit(version), "exported_at": at}
+    def _record_failures(
+        self,
+        plan: DataFrame,
+        failed: dict[str, str],
+        versions: dict[str, int],
+        run_id: str,
+        at: Column,
+    ) -> None:
+        errors = self.spark.createDataFrame(
+            [(*name.split(".", 1), versions[name], error) for name, error in failed.items()],
+            "dataset string, table string, schema_version int, error string",
         )
-        columns = self.spark.createDataFrame([], manifest.MANIFEST).columns
-        files.select(*columns).write.mode("append").json(f"{self.root}/manifest")
-        self.ledgers.append("partitions", state.select(*_columns(self.spark, ledger.PARTITIONS)))
+        rows = join_per_key(plan.select(*KEY), errors, TABLE_KEY, ["partition_id"], "inner")
         self.ledgers.append(
             "tasks",
-            state.select(
-                "run_id", "dataset", "table", "partition_id", "schema_version", "at",
-                F.lit("completed").alias("state"), F.col("row_count").alias("rows"),
-            ),
+            rows.withColumns({"run_id": F.lit(run_id), "state": F.lit("failed"), "at": at}),
         )
 
-    def _record_failure(
-        self, source: TableSource, plan: DataFrame, run_id: str, version: int, now: str, error: str
-    ) -> None:
-        rows = self._of(plan, source).select(
-            F.lit(run_id).alias("run_id"), "dataset", "table", "partition_id",
-            F.lit(version).alias("schema_version"), F.lit("failed").alias("state"),
-            F.lit(now).cast("timestamp_ntz").alias("at"), F.lit(error).alias("error"),
-        )
-        self.ledgers.append("tasks", rows)
-
     def _record_tables(
         self,
         sources: Sequence[TableSource],
@@ -309,10 +366,8 @@ class Lake:
         self.ledgers.append("acks", row.withColumn("at", F.lit(now).cast("timestamp_ntz")))
 
     def current_versions(self) -> DataFrame:
-        observed = self.ledgers.read("fields")
-        history = registry.version_history(observed)
-        classified = registry.classify_history(observed, history)
-        return registry.current_version(classified, self.ledgers.read("acks"))
+        """Version in force and latest version of each table."""
+        return registry.current_version(self.ledgers.read("versions"), self.ledgers.read("acks"))
 
     # -- full export -----------------------------------------------------------
 
@@ -323,6 +378,3 @@ class Lake:
         export.export_full(source.frame, target, self.layout)
         return target
 
-
-def _columns(spark: SparkSession, ddl: str) -> list[str]:
-    return spark.createDataFrame([], ddl).columns

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ def relative_path(path: Column, root: str) -> Column:
     return F.substring_index(path, marker, -1)
 
 
-def _files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+def _files(spark: SparkSession, root: str | list[str], pattern: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -37,24 +39,29 @@ def inventory(spark: SparkSession, root: str, pattern: str = PARQUET) -> DataFra
     )
 
 
-def checksums(spark: SparkSession, root: str, pattern: str = PARQUET) -> DataFrame:
-    """Inventory with the SHA-256 of each file.
+def checksums(
+    spark: SparkSession, root: str, below: Sequence[str] = (), pattern: str = PARQUET
+) -> DataFrame:
+    """Inventory with the SHA-256 of each file, of all of ``root`` or of some folders in it.
 
     Each file is one binary value in its task, so exports keep files well below 2 GiB;
     Spark refuses longer ones instead of skipping them.
     """
-    return _files(spark, root, pattern).select(
+    return _files(spark, list(below) or root, pattern).select(
         relative_path(F.col("path"), root).alias("path"),
         F.col("length").alias("size"),
         F.sha2(F.col("content"), 256).alias("sha256"),
     )
 
 
-def rows_per_file(df: DataFrame, root: str) -> DataFrame:
-    """Row counts by file of a frame that reads files; no data column is read."""
-    path = F.col("_metadata.file_path")
+def rows_per_file(df: DataFrame, root: str, *by: str) -> DataFrame:
+    """Row counts by file of a frame that reads files, and by further columns if named.
+
+    Only the named columns are read; without any, none is.
+    """
     return (
-        df.groupBy(path.alias("_path"))
+        df.groupBy(F.col("_metadata.file_path").alias("_path"), *by)
         .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(relative_path(F.col("_path"), root).alias("path"), "row_count")
+        .withColumn("path", relative_path(F.col("_path"), root))
+        .drop("_path")
     )

@@ -177,8 +177,9 @@ def manifest_totals(spark: SparkSession, sf: str) -> DataFrame:
     built = None
     for source, days in ((base.events(spark, sf), 7), (base.orders(spark, sf), 365)):
         written = _export(spark, source, days, f"{root}/{source.table}")
+        below = export.run_dir(f"{root}/{source.table}", source.dataset, source.table, 1, "r1")
         rows = manifest.build(
-            spark, written, root, export.run_dir(f"{root}/{source.table}", source.dataset, source.table, 1, "r1")
+            files.checksums(spark, root, [below]), files.rows_per_file(written, root)
         ).withColumns({"dataset": F.lit(source.dataset), "table": F.lit(source.table)})
         built = rows if built is None else manifest.merge(built, rows)
     return manifest.totals(built).select("dataset", "table", "row_count")
@@ -264,12 +265,12 @@ def file_checksums(spark: SparkSession, sf: str) -> DataFrame:
     written = _export(spark, source, 7, root)
     target = export.run_dir(root, source.dataset, source.table, 1, "r1")
     batch = F.regexp_extract("path", "batch=([^/]+)/", 1)
-    listed = manifest.build(spark, written, root, target)
+    stored = files.checksums(spark, root, [target])
+    listed = manifest.build(stored, files.rows_per_file(written, root))
     edited = listed.where(~batch.startswith("20240108")).withColumn(
         "sha256", F.when(batch.startswith("20240101"), F.lit("0")).otherwise(F.col("sha256"))
     )
     gone = listed.withColumn("path", F.regexp_replace("path", "(batch=[^/]+)/", "$1_gone/"))
-    stored = files.checksums(spark, f"{root}/data").withColumn("path", F.concat(F.lit("data/"), "path"))
     checked = manifest.check_files(stored, edited.unionByName(gone))
     return checked.select(batch.alias("batch"), "status").distinct()
 
@@ -291,8 +292,8 @@ def staged_publish(spark: SparkSession, sf: str) -> DataFrame:
     dead = export.run_dir(lake.root, source.dataset, source.table, 1, "r2")
     rows = source.frame.withColumns({"partition_id": source.partition_id(), "batch": F.lit("all")})
     export.write_parquet(rows, dead, partition_by=["batch"])
-    inventory = files.inventory(spark, f"{lake.root}/data").withColumn(
-        "path", F.concat(F.lit("data/"), "path")
+    inventory = files.inventory(spark, lake.root, "part-*.zstd.parquet").where(
+        F.col("path").startswith("data/")
     )
     later = F.current_timestamp() + F.expr("INTERVAL 2 DAYS")
     orphaned = manifest.orphans(inventory, lake.manifest(), later)
