@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floodmark.functions import classify
-from floodmark.operators.keyed import count_changes, join_per_key
+from floodmark.operators.keyed import count_changes
+from floodmark.session import stored
 
 TABLE_KEY = ["dataset", "table"]
 REGISTRY = (
@@ -161,7 +162,9 @@ def diff(
     )
     if mode_flips_break:
         change = change.when(repeated_flip, F.lit("MODE_CHANGE"))
-    changed = joined.withColumn("change", change).where(F.col("change").isNotNull())
+    changed = stored(
+        joined.withColumn("change", change).where(F.col("change").isNotNull()), "changes"
+    )
     steps = F.split("path", r"\.")
     ancestors = changed.where(F.size(steps) > 1).select(
         *key,
@@ -174,10 +177,9 @@ def diff(
         ).alias("path"),
     )
     covering = changed.where(F.col("change") != "MODE_CHANGE").select(*key, "path")
-    covered = (
-        join_per_key(ancestors, covering, [*key, "path"], ["_path"], "left_semi")
-        .select(*key, F.col("_path").alias("path"))
-        .distinct()
+    # AQE splits the rows below one huge record over several tasks, as it may for semi joins.
+    covered = ancestors.join(covering, [*key, "path"], "left_semi").select(
+        *key, F.col("_path").alias("path")
     )
     widening = classify.is_widening(F.col("before_type"), F.col("after_type"))
     breaking = (
@@ -248,8 +250,9 @@ def classify_history(
 ) -> DataFrame:
     """Change type of each version against the one before it; the first one is INITIAL."""
     key = [*TABLE_KEY, "version"]
+    history = stored(history, "history")
     starts = history.select(*key, F.col("valid_from").alias("observed_at"))
-    fields = observed.join(starts, [*TABLE_KEY, "observed_at"])
+    fields = stored(observed.join(starts, [*TABLE_KEY, "observed_at"]), "fields")
     earlier = fields.withColumn("version", F.col("version") + 1)
     # The newest version has no successor and the first no predecessor.
     later = history.where(F.col("version") > 1).select(*key)
@@ -303,8 +306,15 @@ def resolve(today: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def describe_new(resolved: DataFrame, today: DataFrame, stored_fields: DataFrame) -> DataFrame:
-    """Change type and number of changes of the versions that :func:`resolve` found new."""
+    """Change type and number of changes of the versions that :func:`resolve` found new.
+
+    Without any stored fields all of them are first versions.
+    """
     new = resolved.where("is_new")
+    if stored_fields.isEmpty():
+        return new.withColumns(
+            {"change_type": F.lit("INITIAL"), "n_changes": F.lit(0), "widened": F.lit(False)}
+        )
     later = new.where("version > 1").select(*TABLE_KEY, "version")
     before = stored_fields.withColumn("version", F.col("version") + 1).join(
         later, [*TABLE_KEY, "version"], "left_semi"

@@ -23,6 +23,7 @@ from floodmark.operators import (
 from floodmark.operators.keyed import join_per_key
 from floodmark.operators.ledger import Ledgers
 from floodmark.plans import export
+from floodmark.session import stored
 from floodmark.sources import files
 from floodmark.sources.tables import TableSource, union_all
 
@@ -156,7 +157,7 @@ class Lake:
         The written tables cut the lineage: each later step reads some small files
         instead of discovering the sources again.
         """
-        found = self._stored(
+        found = stored(
             union_all(
                 [
                     discovery.discover(source).withColumns(
@@ -165,13 +166,18 @@ class Lake:
                     for source, (strategy, days) in chosen
                 ]
             ),
+            "found",
             f"{self.root}/runs/{run_id}/found",
         )
         partial = incremental.changed_since(
             found.where("strategy = 'partition'"), self.ledgers.latest("tables")
         )
         wanted = incremental.skip_exported(partial, self.ledgers.latest("partitions"))
-        wanted = wanted.unionByName(found.where("strategy = 'full_refresh'"))
+        wanted = stored(
+            wanted.unionByName(found.where("strategy = 'full_refresh'")),
+            "wanted",
+            f"{self.root}/runs/{run_id}/wanted",
+        )
         plan = union_all(
             [
                 batches.label_batches(
@@ -180,11 +186,7 @@ class Lake:
                 for days in sorted({days for _, (_, days) in chosen})
             ]
         )
-        return self._stored(plan, f"{self.root}/runs/{run_id}/plan")
-
-    def _stored(self, df: DataFrame, path: str) -> DataFrame:
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return stored(plan, "plan", f"{self.root}/runs/{run_id}/plan")
 
     def _count_written(self, targets: list[str], run_id: str) -> DataFrame:
         """Rows by file and partition of all tables the run wrote, from one narrow scan."""
@@ -193,16 +195,16 @@ class Lake:
         )
         by = [*TABLE_KEY, "schema_version", "batch", "partition_id"]
         counted = files.rows_per_file(rows, self.root, *by)
-        return self._stored(counted, f"{self.root}/runs/{run_id}/written")
+        return stored(counted, "written", f"{self.root}/runs/{run_id}/written")
 
     def _mismatches(
         self, plan: DataFrame, counted: DataFrame, names: Sequence[str]
     ) -> dict[str, str]:
         """Written tables whose partitions differ from what was planned."""
         expected = plan.where(F.concat_ws(".", *TABLE_KEY).isin(list(names)))
-        stored = counted.groupBy(*KEY).agg(F.sum("row_count").alias("row_count"))
+        exported = counted.groupBy(*KEY).agg(F.sum("row_count").alias("row_count"))
         compared = verify.compare_counts(
-            expected.select(*KEY, F.col("total_rows").alias("row_count")), stored, KEY
+            expected.select(*KEY, F.col("total_rows").alias("row_count")), exported, KEY
         )
         wrong = (
             compared.where("not matches").groupBy(*TABLE_KEY).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -226,8 +228,8 @@ class Lake:
             return
         listed = counted.where(~F.concat_ws(".", *TABLE_KEY).isin(list(failed))) if failed else counted
         version = F.substring("schema_version", 2, 10).cast("int")
-        stored = files.checksums(self.spark, self.root, good)
-        entries = manifest.build(stored, listed).withColumns(
+        in_storage = files.checksums(self.spark, self.root, good)
+        entries = manifest.build(in_storage, listed).withColumns(
             {
                 "dataset": F.regexp_extract("path", "/?dataset=([^/]+)/", 1),
                 "table": F.regexp_extract("path", "/table=([^/]+)/", 1),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Kept for the life of the process; removes itself when the process ends.
 _LOCAL_SCRATCH: tempfile.TemporaryDirectory | None = None
@@ -48,3 +48,15 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write a frame once and read it back, for results that several later steps use.
+
+    The lineage ends at the written table, so a lost executor costs no recomputation, and
+    Catalyst plans the joins that follow by the table's true size.
+    """
+    spark = df.sparkSession
+    path = path or fresh_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

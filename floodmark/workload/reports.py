@@ -32,7 +32,7 @@ def _table_summary(spark: SparkSession, sf: str) -> DataFrame:
     tables = customers.select(F.col("c_mktsegment").alias("dataset"), name.alias("table"))
     segments = customers.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     orders = base.table(spark, sf, "orders")
-    partitions = keyed.join_per_key(orders, segments, ["o_custkey"], ["o_orderkey"], "inner").select(
+    partitions = orders.join(segments, "o_custkey").select(
         F.col("c_mktsegment").alias("dataset"),
         F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("table"),
         F.col("o_orderkey").alias("partition_id"),
