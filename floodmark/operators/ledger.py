@@ -1,5 +1,7 @@
 """Append-only ledgers of runs, tables, partitions, schema versions and acknowledgements.
 
+A row of the partitions ledger is the outcome of one partition in one run, good or bad.
+
 A change of state is a new row; the latest row of a key is its state. Plain Parquet
 has no MERGE, and appending keeps every earlier state for audit.
 """
@@ -16,13 +18,12 @@ from pyspark.sql import types as T
 from floodmark.operators.keyed import first_per_key, latest_per_key
 
 RUNS = "run_id string, state string, at timestamp_ntz, started_at timestamp_ntz"
-TASKS = """run_id string, dataset string, table string, partition_id string, schema_version int,
- state string, at timestamp_ntz, rows bigint, stored_bytes bigint, seconds double, error string"""
 TABLES = """project string, dataset string, table string, schema_version int,
  watermark timestamp_ntz, run_id string, at timestamp_ntz"""
 PARTITIONS = """project string, dataset string, table string, partition_id string,
- schema_version int, exported_modified timestamp_ntz, snapshot_time timestamp_ntz,
- synced_at timestamp_ntz, row_count bigint, exported_path string, run_id string, at timestamp_ntz"""
+ schema_version int, state string, error string, exported_modified timestamp_ntz,
+ snapshot_time timestamp_ntz, synced_at timestamp_ntz, row_count bigint, exported_path string,
+ run_id string, at timestamp_ntz"""
 VERSIONS = """dataset string, table string, version bigint, schema_hash string,
  shape_hash string, change_type string, n_changes bigint, widened boolean, valid_from timestamp_ntz"""
 FIELDS = """dataset string, table string, version bigint, path string, parent string,
@@ -31,7 +32,6 @@ ACKS = "dataset string, table string, version bigint, at timestamp_ntz"
 
 SCHEMAS = {
     "runs": RUNS,
-    "tasks": TASKS,
     "tables": TABLES,
     "partitions": PARTITIONS,
     "versions": VERSIONS,
@@ -87,7 +87,10 @@ class Ledgers:
             return latest_runs(self.read("runs"))
         if name == "versions":
             return latest_per_key(self.read("versions"), ["dataset", "table"], ["version"])
-        return latest_per_key(self.committed(name), KEYS[name], ["at", "run_id"])
+        rows = self.committed(name)
+        if name == "partitions":
+            rows = rows.where("state = 'completed'")
+        return latest_per_key(rows, KEYS[name], ["at", "run_id"])
 
     def append_run(self, run_id: str, state: str, at: str, started_at: str) -> None:
         values = {"run_id": run_id, "state": state, "at": at, "started_at": started_at}

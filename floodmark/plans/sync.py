@@ -222,7 +222,7 @@ class Lake:
         run_id: str,
         at: Column,
     ) -> None:
-        """Manifest, partition and task rows of the tables that were written as planned."""
+        """Manifest and partition rows of the tables that were written as planned."""
         good = [target for name, target in written.items() if name not in failed]
         if not good:
             return
@@ -245,6 +245,7 @@ class Lake:
         state = sums.join(plan.select(*KEY, "project", "last_modified"), KEY).withColumns(
             {
                 "run_id": F.lit(run_id),
+                "state": F.lit("completed"),
                 "at": at,
                 "exported_modified": F.col("last_modified"),
                 "snapshot_time": at,
@@ -259,11 +260,6 @@ class Lake:
             }
         )
         self.ledgers.append("partitions", state)
-        done = state.select(
-            *KEY, "run_id", "at", "schema_version", F.lit("completed").alias("state"),
-            F.col("row_count").alias("rows"),
-        )
-        self.ledgers.append("tasks", done)
 
     def _record_failures(
         self,
@@ -277,9 +273,10 @@ class Lake:
             [(*name.split(".", 1), versions[name], error) for name, error in failed.items()],
             "dataset string, table string, schema_version int, error string",
         )
-        rows = join_per_key(plan.select(*KEY), errors, TABLE_KEY, ["partition_id"], "inner")
+        planned = plan.select("project", *KEY)
+        rows = join_per_key(planned, errors, TABLE_KEY, ["partition_id"], "inner")
         self.ledgers.append(
-            "tasks",
+            "partitions",
             rows.withColumns({"run_id": F.lit(run_id), "state": F.lit("failed"), "at": at}),
         )
 
@@ -328,8 +325,10 @@ class Lake:
     def manifest(self) -> DataFrame:
         """Files of published runs."""
         listed = self.spark.read.schema(manifest.MANIFEST).json(f"{self.root}/manifest")
-        done = self.ledgers.committed("partitions").select("run_id", "dataset", "table").distinct()
-        return listed.join(done, ["run_id", "dataset", "table"], "left_semi")
+        done = self.ledgers.committed("partitions").where("state = 'completed'")
+        return listed.join(
+            done.select("run_id", *TABLE_KEY).distinct(), ["run_id", *TABLE_KEY], "left_semi"
+        )
 
     def read(self, source: TableSource, version: int | None = None) -> DataFrame:
         """Present rows of a table as its readers see them.

@@ -21,6 +21,8 @@ def build_session(app: str = "floodmark", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+        # Plans are built from many columns; noting the call site of each doubles the time.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
