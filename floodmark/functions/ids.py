@@ -46,6 +46,15 @@ def partition_bucket(ts: Column, granularity: str = "day") -> Column:
     return F.date_trunc(granularity, ts)
 
 
+def bucket_of_id(pid: Column, granularity: str = "day") -> Column:
+    """The bucket that :func:`partition_id` printed; null for the id of null values."""
+    if granularity == "day":
+        return partition_day(pid)
+    pattern = ID_PATTERNS[granularity]
+    shape = pid.rlike(f"^[0-9]{{{len(pattern)}}}$")
+    return F.when(shape, F.try_to_timestamp(pid, F.lit(pattern)))
+
+
 def table_parts(name: Column) -> Column:
     """``struct(dataset, table)`` of ``dataset.table``; null when there is no dot.
 

@@ -105,6 +105,15 @@ class Rule:
     batch_days: int = 7
     include: bool = True
 
+    def __post_init__(self) -> None:
+        if self.strategy not in ("partition", "full_refresh"):
+            raise ValueError(f"unknown strategy {self.strategy!r}")
+
+
+def rule_for(name: str, rules: Sequence[Rule], default: Rule = Rule("*")) -> Rule:
+    """The first rule that matches a ``dataset.table`` name."""
+    return next((r for r in rules if re.fullmatch(_glob(r.pattern), name)), default)
+
 
 def _glob(pattern: str) -> str:
     parts = [{"*": ".*", "?": "."}.get(ch, re.escape(ch)) for ch in pattern]
@@ -125,9 +134,6 @@ def apply_rules(tables: DataFrame, rules: Sequence[Rule], default: Rule = Rule("
             result = F.when(hit, value(rule)) if result is None else result.when(hit, value(rule))
         return value(default) if result is None else result.otherwise(value(default))
 
-    for rule in [*rules, default]:
-        if rule.strategy not in ("partition", "full_refresh"):
-            raise ValueError(f"unknown strategy {rule.strategy!r}")
     return tables.where(pick(lambda r: F.lit(r.include))).withColumns(
         {
             "strategy": pick(lambda r: F.lit(r.strategy)),

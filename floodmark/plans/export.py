@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from floodmark.functions import ids
 from floodmark.functions.hashing import hash_shard
 from floodmark.operators.keyed import join_counted
 from floodmark.sources.tables import TableSource
@@ -26,6 +27,9 @@ SMALLEST_FILE_BYTES = 64 * MIB
 LARGEST_FILE_BYTES = 2048 * MIB
 CODECS = ("zstd", "snappy")
 
+# Number of separate ranges that a scan filter may hold.
+MAX_SPANS = 64
+
 # Shuffled rows take about this many times the bytes of the Parquet files they become.
 SHUFFLE_TO_FILE = 3
 
@@ -119,16 +123,66 @@ def arrange(df: DataFrame, by: Sequence[str], layout: Layout = Layout()) -> Data
     return spread
 
 
-def assign_rows(df: DataFrame, plan: DataFrame, partition: Column, plan_rows: int) -> DataFrame:
-    """Rows of the planned partitions with their batch.
+def planned_spans(source: TableSource, plan: DataFrame) -> list[tuple]:
+    """First and last bucket of each planned batch; one span of all if there are many batches.
 
-    ``plan`` has one row per partition with ``partition_id`` and ``batch``; the caller
-    has counted it.
+    The plan has one row per partition. At most ``MAX_SPANS`` + 1 rows reach the driver.
+    """
+    bucket = ids.bucket_of_id(F.col("partition_id"), source.granularity)
+    edges = [
+        F.min(bucket).alias("first"),
+        F.max(bucket).alias("last"),
+        F.max(bucket.isNull()).alias("has_null"),
+    ]
+    spans = plan.groupBy("batch").agg(*edges).limit(MAX_SPANS + 1).collect()
+    if len(spans) > MAX_SPANS:
+        spans = plan.agg(*edges).collect()
+    return [tuple(r)[-3:] for r in spans]
+
+
+def within_spans(source: TableSource, spans: list[tuple]) -> DataFrame:
+    """Rows of a source that can belong to the planned batches.
+
+    The filter is a range on the raw partitioning column, so it reaches the file
+    statistics: exporting one changed day does not read the other years.
     """
-    known = plan.select("partition_id", "batch")
-    return join_counted(
-        df.withColumn("partition_id", partition), known, ["partition_id"], plan_rows
+    column = F.col(source.partition_on)
+    dtype = source.frame.schema[source.partition_on].dataType
+    step = F.expr(f"INTERVAL 1 {source.granularity.upper()}")
+    hit = F.lit(False)
+    for first, last, has_null in spans:
+        if first is not None:
+            end = F.lit(last).cast("timestamp_ntz") + step
+            hit = hit | ((column >= F.lit(first).cast(dtype)) & (column < end.cast(dtype)))
+        if has_null:
+            hit = hit | column.isNull()
+    return source.frame.where(hit)
+
+
+def assign_rows(source: TableSource, plan: DataFrame, plan_rows: int) -> DataFrame:
+    """Rows of the planned partitions with their partition id and batch.
+
+    ``plan`` has one row per partition; the caller has counted it. Rows meet it by date or
+    truncated time, and take the id's text from it, so no text is made per row.
+    """
+    if source.partition_on is None:
+        label = ids.batch_label(F.lit(ids.FULL), F.lit(ids.FULL))
+        return source.frame.withColumns({"partition_id": F.lit(ids.FULL), "batch": label})
+
+    def keyed(bucket: Column) -> dict[str, Column]:
+        # An equality join never matches nulls, so they get a flag of their own.
+        zero = F.lit("1970-01-01").cast("timestamp_ntz")
+        bucket = bucket.cast("timestamp_ntz")
+        return {"_bucket": F.coalesce(bucket, zero), "_none": bucket.isNull()}
+
+    rows = within_spans(source, planned_spans(source, plan)).withColumns(
+        keyed(ids.partition_bucket(F.col(source.partition_on), source.granularity))
+    )
+    known = plan.select("partition_id", "batch").withColumns(
+        keyed(ids.bucket_of_id(F.col("partition_id"), source.granularity))
     )
+    key = ["_bucket", "_none"]
+    return join_counted(rows, known, key, plan_rows).drop(*key)
 
 
 def safe_name(name: str) -> str:
@@ -159,7 +213,7 @@ def export_batches(
     The partition id stays in the files: a later run that exports one of the batch's
     partitions again replaces just those rows for readers.
     """
-    rows = assign_rows(source.frame, plan, source.partition_id(), plan_rows)
+    rows = assign_rows(source, plan, plan_rows)
     arranged = arrange(rows, ["batch"], layout)
     write_parquet(arranged, target, layout, ["batch"])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,8 +47,15 @@ class RunResult:
 class Lake:
     """A Parquet lake below one root, with its ledgers and manifest. One writer at a time."""
 
-    def __init__(self, spark: SparkSession, root: str, layout: export.Layout = export.Layout()):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        layout: export.Layout = export.Layout(),
+        at_once: int = 4,
+    ):
         self.spark = spark
+        self.at_once = at_once
         self.root = root.rstrip("/")
         self.layout = layout
         self.ledgers = Ledgers(spark, self.root)
@@ -75,28 +83,40 @@ class Lake:
             self.ledgers.append("runs", stale)
         self.ledgers.append_run(run_id, "running", now, now)
 
-        chosen = self._choose(sources, rules, incremental.Rule("*", batch_days=days))
+        default = incremental.Rule("*", batch_days=days)
+        chosen = [(s, incremental.rule_for(s.name, rules, default)) for s in sources]
+        # A full refresh takes the table as one partition.
+        chosen = [
+            (replace(s, partition_on=None) if r.strategy == "full_refresh" else s, r)
+            for s, r in chosen
+            if r.include
+        ]
         sources = [source for source, _ in chosen]
         versions = self._resolve_versions(sources, now)
         plan = self._plan(chosen, run_id)
         planned = plan.groupBy(*TABLE_KEY).agg(F.count(F.lit(1)).alias("n")).collect()
         sizes = {f"{r['dataset']}.{r['table']}": r["n"] for r in planned}
 
-        written: dict[str, str] = {}
-        failed: dict[str, str] = {}
-        for source in sources:
-            if source.name not in sizes:
-                continue
-            target = export.run_dir(
-                self.root, source.dataset, source.table, versions[source.name], run_id
-            )
+        todo = [source for source in sources if source.name in sizes]
+        targets = {
+            s.name: export.run_dir(self.root, s.dataset, s.table, versions[s.name], run_id)
+            for s in todo
+        }
+
+        def write(source: TableSource) -> str | None:
             layout = replace(self.layout, cluster_by=source.cluster_by or self.layout.cluster_by)
             mine = ledger.table_state(plan, source.dataset, source.table)
             try:
-                export.export_batches(source, mine, sizes[source.name], target, layout)
-                written[source.name] = target
+                export.export_batches(source, mine, sizes[source.name], targets[source.name], layout)
             except Exception as error:  # one table's failure must not stop the others
-                failed[source.name] = str(error)
+                return str(error)
+            return None
+
+        # Small tables do not fill a cluster one after the other, so several are written at once.
+        with export.file_sizing(self.spark, self.layout), ThreadPoolExecutor(self.at_once) as pool:
+            errors = dict(zip([s.name for s in todo], pool.map(write, todo)))
+        failed = {name: error for name, error in errors.items() if error is not None}
+        written = {name: targets[name] for name, error in errors.items() if error is None}
         if written:
             counted = self._count_written(list(written.values()), run_id)
             failed |= self._mismatches(plan, counted, list(written))
@@ -109,26 +129,6 @@ class Lake:
         self.ledgers.append_run(run_id, state, now, now)
         return RunResult(run_id, state, done, failed)
 
-    def _choose(
-        self,
-        sources: Sequence[TableSource],
-        rules: Sequence[incremental.Rule],
-        default: incremental.Rule,
-    ) -> list[tuple[TableSource, tuple[str, int]]]:
-        """Included sources with strategy and batch size. A full refresh is one partition."""
-        names = self.spark.createDataFrame(
-            [(s.dataset, s.table) for s in sources], "dataset string, table string"
-        )
-        picked = {
-            f"{r['dataset']}.{r['table']}": (r["strategy"], r["batch_days"])
-            for r in incremental.apply_rules(names, rules, default).collect()
-        }
-        return [
-            (replace(s, partition_on=None) if picked[s.name][0] == "full_refresh" else s, picked[s.name])
-            for s in sources
-            if s.name in picked
-        ]
-
     def _resolve_versions(self, sources: Sequence[TableSource], now: str) -> dict[str, int]:
         """Schema version of each table; schemas not seen before are recorded."""
         rows = [
@@ -151,39 +151,35 @@ class Lake:
             self.ledgers.append("fields", today.join(listed, TABLE_KEY))
         return {f"{r['dataset']}.{r['table']}": r["version"] for r in verdicts}
 
-    def _plan(self, chosen: list[tuple[TableSource, tuple[str, int]]], run_id: str) -> DataFrame:
+    def _plan(
+        self, chosen: list[tuple[TableSource, incremental.Rule]], run_id: str
+    ) -> DataFrame:
         """Partitions to export with their batches, written once and read back.
 
         The written tables cut the lineage: each later step reads some small files
         instead of discovering the sources again.
         """
-        found = stored(
-            union_all(
-                [
-                    discovery.discover(source).withColumns(
-                        {"strategy": F.lit(strategy), "batch_days": F.lit(days)}
-                    )
-                    for source, (strategy, days) in chosen
-                ]
-            ),
-            "found",
-            f"{self.root}/runs/{run_id}/found",
-        )
-        partial = incremental.changed_since(
-            found.where("strategy = 'partition'"), self.ledgers.latest("tables")
-        )
-        wanted = incremental.skip_exported(partial, self.ledgers.latest("partitions"))
-        wanted = stored(
-            wanted.unionByName(found.where("strategy = 'full_refresh'")),
-            "wanted",
-            f"{self.root}/runs/{run_id}/wanted",
-        )
+        found = {
+            strategy: [
+                discovery.discover(source).withColumn("batch_days", F.lit(rule.batch_days))
+                for source, rule in chosen
+                if rule.strategy == strategy
+            ]
+            for strategy in ("partition", "full_refresh")
+        }
+        wanted = found["full_refresh"]
+        if found["partition"]:
+            changed = incremental.changed_since(
+                union_all(found["partition"]), self.ledgers.latest("tables")
+            )
+            wanted = [*wanted, incremental.skip_exported(changed, self.ledgers.latest("partitions"))]
+        wanted = stored(union_all(wanted), "wanted", f"{self.root}/runs/{run_id}/wanted")
         plan = union_all(
             [
                 batches.label_batches(
                     batches.assign_batches(wanted.where(F.col("batch_days") == days), days)
                 )
-                for days in sorted({days for _, (_, days) in chosen})
+                for days in sorted({rule.batch_days for _, rule in chosen})
             ]
         )
         return stored(plan, "plan", f"{self.root}/runs/{run_id}/plan")

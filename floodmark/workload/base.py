@@ -90,12 +90,8 @@ event_parts as (
   from events group by 3
 )"""
 
-EVENT_TEXT = """concat_ws('|',
-    length(cast(round(value * 100) as bigint)::varchar) || ':' || cast(round(value * 100) as bigint)::varchar,
-    length(event_id::varchar) || ':' || event_id::varchar,
-    length(event_type) || ':' || event_type,
-    length(props) || ':' || props,
-    length(user_id::varchar) || ':' || user_id::varchar)"""
+EVENT_TEXT = """concat_ws('|', cast(round(value * 100) as bigint), event_id,
+    length(event_type) || ':' || event_type, length(props) || ':' || props, user_id)"""
 
 
 def fingerprint_sql(text: str) -> str:

@@ -67,11 +67,8 @@ def partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     with texts as (
-      select l_returnflag, l_linestatus, concat_ws('|',
-        length(cents::varchar) || ':' || cents::varchar,
-        length(l_linenumber::varchar) || ':' || l_linenumber::varchar,
-        length(l_orderkey::varchar) || ':' || l_orderkey::varchar,
-        length(l_partkey::varchar) || ':' || l_partkey::varchar) as txt
+      select l_returnflag, l_linestatus,
+        concat_ws('|', cents, l_linenumber, l_orderkey, l_partkey) as txt
       from (select *, cast(round(l_extendedprice * 100) as bigint) as cents from lineitem))
     select l_returnflag || l_linestatus as partition_id, count(*) as row_count,
       {base.fingerprint_sql('txt')} as fingerprint

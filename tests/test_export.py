@@ -91,6 +91,33 @@ def test_modified_day_replaces_only_itself(spark, tmp_path):
     assert fingerprint(lake.read(after)) == fingerprint(after.frame)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", TS, "date"])
+def test_only_planned_days_are_read(spark, tmp_path, kind):
+    from floodmark.operators import batches, discovery
+
+    path = str(tmp_path / "source")
+    nulls = spark.sql(f"select 1L as id, cast(null as {TS}) as ts, cast(null as {TS}) as changed, 'n' as v")
+    rows = table(spark).unionByName(nulls).withColumn("ts", F.col("ts").cast(kind))
+    rows.write.parquet(path)
+    src = source(spark.read.parquet(path))
+    plan = batches.label_batches(batches.assign_batches(discovery.discover(src), 7))
+    for wanted, count in ((["20250103", "20250115"], 200), (["__NULL__"], 1), (["20250120", "__NULL__"], 101)):
+        picked = plan.where(F.col("partition_id").isin(wanted))
+        got = export.assign_rows(src, picked, len(wanted))
+        counts = {r["partition_id"]: r["count"] for r in got.groupBy("partition_id").count().collect()}
+        assert set(counts) == set(wanted) and sum(counts.values()) == count
+    text = export.assign_rows(src, plan.where("partition_id = '20250103'"), 1)._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(ts" in text and "LessThan(ts" in text
+
+
+def test_hourly_partitions(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    src = source(table(spark, days=(1, 2)), granularity="hour")
+    lake.sync([src], "r1", "2025-02-01")
+    assert len(runs_of(lake)) == 48
+    assert fingerprint(lake.read(src)) == fingerprint(src.frame)
+
+
 def test_unfinished_run_stays_invisible(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     src = source(table(spark))
