@@ -355,6 +355,41 @@ class Lake:
             *counted.columns, F.coalesce("stored_bytes", F.lit(0)).alias("total_bytes")
         )
 
+    def late(self, sources: Sequence[TableSource]) -> DataFrame:
+        """Exported partitions that have changed since they were read."""
+        return incremental.late_partitions(
+            discovery.discover_all(sources), self.ledgers.latest("partitions")
+        )
+
+    def verify(self, source: TableSource, rate: float = 1.0) -> DataFrame:
+        """Row counts of source and lake by partition, or of a repeatable sample of partitions."""
+        pid = source.partition_id()
+        sides = [verify.count_rows(df, pid) for df in (source.frame, self.read(source))]
+        return verify.compare_counts(*[verify.sampled(side, rate) for side in sides])
+
+    def orphans(self, now: str) -> DataFrame:
+        """Data files over a day old that no published run lists."""
+        stored = files.inventory(self.spark, f"{self.root}/data").withColumn(
+            "path", F.concat(F.lit("data/"), "path")
+        )
+        return manifest.orphans(stored, self.manifest(), F.lit(now).cast("timestamp"))
+
+    def remove_orphans(self, now: str) -> int:
+        """Delete the directories of runs that were never published; returns their number.
+
+        Only whole run directories go, of which a dead run has one per table.
+        """
+        run = F.regexp_extract("path", "^(.*/run=[^/]+)/", 1).alias("run")
+        listed = self.manifest().select(run).distinct()
+        dead = self.orphans(now).select(run).distinct().join(listed, "run", "left_anti")
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        removed = 0
+        for row in dead.toLocalIterator():
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{row['run']}")
+            removed += path.getFileSystem(conf).delete(path, True)
+        return removed
+
     def acknowledge(self, dataset: str, table: str, version: int, now: str) -> None:
         """Accept a breaking version as the table's present one."""
         row = self.spark.createDataFrame(

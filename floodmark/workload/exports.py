@@ -277,9 +277,12 @@ def file_checksums(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    select strftime(ts, '%Y%m%d') as partition_id, count(*) as row_count,
-      (select count(*) from events) as published_rows, true as has_orphans
-    from events group by 1"""
+    select 'read' as what, strftime(ts, '%Y%m%d') as partition_id, count(*) as row_count
+    from events group by 2
+    union all
+    select 'listed', 'events', count(*) from events
+    union all
+    select 'orphaned', 'r2', count(*) from events"""
 )
 def staged_publish(spark: SparkSession, sf: str) -> DataFrame:
     """A second run writes its files and dies before it is closed."""
@@ -293,14 +296,19 @@ def staged_publish(spark: SparkSession, sf: str) -> DataFrame:
         F.col("path").startswith("data/")
     )
     later = F.current_timestamp() + F.expr("INTERVAL 2 DAYS")
-    orphaned = manifest.orphans(inventory, lake.manifest(), later)
-    orphan_only = orphaned.agg(
-        ((F.count(F.lit(1)) > 0) & F.bool_and(F.contains("path", F.lit("/run=r2/")))).alias("has_orphans")
+    stored = spark.read.parquet(f"{dead}/batch=all")
+    orphaned = (
+        manifest.orphans(inventory, lake.manifest(), later)
+        .join(files.rows_per_file(stored, lake.root), "path", "left")
+        .groupBy(F.regexp_extract("path", "/run=([^/]+)/", 1).alias("partition_id"))
+        .agg(F.sum("row_count").alias("row_count"))
     )
-    published = manifest.totals(lake.manifest()).select(F.col("row_count").alias("published_rows"))
-    counts = verify.count_rows(lake.read(source), source.partition_id())
-    # Both right sides are single rows of totals.
-    return counts.join(F.broadcast(published)).join(F.broadcast(orphan_only))
+    listed = manifest.totals(lake.manifest()).select(F.col("table").alias("partition_id"), "row_count")
+    read = verify.count_rows(lake.read(source), source.partition_id())
+    result = read.withColumn("what", F.lit("read"))
+    for what, counts in (("listed", listed), ("orphaned", orphaned)):
+        result = result.unionByName(counts.withColumn("what", F.lit(what)))
+    return result
 
 
 @query(

@@ -13,7 +13,10 @@ def spark():
     session = build_session(
         "floodmark-tests",
         "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"},
+        **{
+            "spark.sql.shuffle.partitions": "2",
+            "spark.ui.enabled": "false",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -136,7 +136,12 @@ def test_unfinished_run_stays_invisible(spark, tmp_path):
         lake.sync([changed], "r2", "2025-02-02")
     lake = Lake(spark, str(tmp_path))
     assert fingerprint(lake.read(src)) == before
+    assert lake.orphans("2000-01-01").count() == 0
+    assert lake.remove_orphans("2100-01-01") == 1
+    assert {r["partition_id"] for r in lake.late([changed]).collect()} == {"20250105", "20250106"}
     lake.sync([changed], "r3", "2025-02-05")
+    assert lake.verify(changed).where("matches").count() == 20
+    assert 0 < lake.verify(changed, rate=0.3).count() < 20
     assert fingerprint(lake.read(changed)) == fingerprint(changed.frame)
     states = {r["run_id"]: r["state"] for r in lake.ledgers.latest("runs").collect()}
     assert states == {"r1": "completed", "r2": "aborted", "r3": "completed"}
