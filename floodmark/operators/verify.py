@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floodmark.functions import hashing
+from floodmark.operators import discovery
+from floodmark.sources.tables import TableSource
 
 
 def count_rows(df: DataFrame, partition: Column) -> DataFrame:
-    """Rows by partition; only what the partition id needs is read."""
+    """Rows by the value of an expression; only what it needs is read."""
     return df.groupBy(partition.alias("partition_id")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def count_partitions(source: TableSource) -> DataFrame:
+    """Rows by partition of a source, grouped by date before the id is printed."""
+    found = discovery.discover(replace(source, modified_on=None))
+    return found.select("partition_id", F.col("total_rows").alias("row_count"))
+
+
 def compare_counts(
     source: DataFrame, exported: DataFrame, key: Sequence[str] = ("partition_id",)
 ) -> DataFrame:

@@ -363,9 +363,9 @@ class Lake:
 
     def verify(self, source: TableSource, rate: float = 1.0) -> DataFrame:
         """Row counts of source and lake by partition, or of a repeatable sample of partitions."""
-        pid = source.partition_id()
-        sides = [verify.count_rows(df, pid) for df in (source.frame, self.read(source))]
-        return verify.compare_counts(*[verify.sampled(side, rate) for side in sides])
+        lake_side = replace(source, frame=self.read(source))
+        counts = [verify.count_partitions(side) for side in (source, lake_side)]
+        return verify.compare_counts(*[verify.sampled(side, rate) for side in counts])
 
     def orphans(self, now: str) -> DataFrame:
         """Data files over a day old that no published run lists."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -304,7 +306,7 @@ def staged_publish(spark: SparkSession, sf: str) -> DataFrame:
         .agg(F.sum("row_count").alias("row_count"))
     )
     listed = manifest.totals(lake.manifest()).select(F.col("table").alias("partition_id"), "row_count")
-    read = verify.count_rows(lake.read(source), source.partition_id())
+    read = verify.count_partitions(replace(source, frame=lake.read(source)))
     result = read.withColumn("what", F.lit("read"))
     for what, counts in (("listed", listed), ("orphaned", orphaned)):
         result = result.unionByName(counts.withColumn("what", F.lit(what)))
@@ -332,7 +334,7 @@ def incremental_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     lake = Lake(spark, fresh_dir(spark, "two-runs"))
     lake.sync([before], "r1", "2024-02-01 00:00:00")
     lake.sync([after], "r2", "2024-02-02 00:00:00")
-    counts = verify.count_rows(lake.read(after), after.partition_id())
+    counts = verify.count_partitions(replace(after, frame=lake.read(after)))
     runs = lake.ledgers.latest("partitions").select("partition_id", "run_id")
     return counts.join(runs, "partition_id")
 
@@ -419,9 +421,11 @@ def verify_counts(spark: SparkSession, sf: str) -> DataFrame:
     events = base.table(spark, sf, "events")
     day = F.dayofmonth("ts")
     lost = (day == 5) | ((day == 9) & (F.col("event_type") == "error"))
-    pid = ids.partition_id(F.to_date("ts"))
-    source = verify.count_rows(events.where(day != 20), pid)
-    return verify.compare_counts(source, verify.count_rows(events.where(~lost), pid))
+    sides = [
+        verify.count_partitions(TableSource("logs", "events", rows, "ts"))
+        for rows in (events.where(day != 20), events.where(~lost))
+    ]
+    return verify.compare_counts(*sides)
 
 
 @query(

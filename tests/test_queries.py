@@ -26,5 +26,11 @@ def test_same_rows(spark, duck, name):
     assert oracle.compare(spark, duck, name, SF) is None
 
 
+@pytest.mark.parametrize("name", ["batch_plan_odd_ids", "late_partitions", "schema_diff", "value_diff", "summary"])
+def test_plans_join_by_key(spark, name):
+    plan = oracle.contract.queries()[name](spark, SF)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_entry(spark):
     assert oracle.contract.entry(spark).count() == 5
