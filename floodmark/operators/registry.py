@@ -225,7 +225,8 @@ def version_history(observed: DataFrame, bucket: Column | None = None) -> DataFr
     observation of a shape until the next shape. Its end is the start of the following
     version, found by equality on the version number.
     """
-    seen = fingerprints(observed, [*TABLE_KEY, "observed_at"])
+    # Numbering and the look-up of the following version read the fingerprints repeatedly.
+    seen = stored(fingerprints(observed, [*TABLE_KEY, "observed_at"]), "seen")
     numbered = count_changes(
         seen,
         TABLE_KEY,
