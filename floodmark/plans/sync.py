@@ -35,6 +35,9 @@ KEY = incremental.PARTITION_KEY
 LAYOUT = """partition_id string, dataset string, table string, schema_version string,
  run string, batch string"""
 
+# Readers would see the rows of both kinds of export.
+SWITCHED = "the table was exported under another strategy before; use a new table name"
+
 
 @dataclass(frozen=True)
 class RunResult:
@@ -97,7 +100,8 @@ class Lake:
         planned = plan.groupBy(*TABLE_KEY).agg(F.count(F.lit(1)).alias("n")).collect()
         sizes = {f"{r['dataset']}.{r['table']}": r["n"] for r in planned}
 
-        todo = [source for source in sources if source.name in sizes]
+        switched = self._switched(sources)
+        todo = [s for s in sources if s.name in sizes and s.name not in switched]
         targets = {
             s.name: export.run_dir(self.root, s.dataset, s.table, versions[s.name], run_id)
             for s in todo
@@ -116,6 +120,7 @@ class Lake:
         with export.file_sizing(self.spark, self.layout), ThreadPoolExecutor(self.at_once) as pool:
             errors = dict(zip([s.name for s in todo], pool.map(write, todo)))
         failed = {name: error for name, error in errors.items() if error is not None}
+        failed |= {name: SWITCHED for name in switched if name in sizes}
         written = {name: targets[name] for name, error in errors.items() if error is None}
         if written:
             counted = self._count_written(list(written.values()), run_id)
@@ -129,6 +134,14 @@ class Lake:
         self.ledgers.append_run(run_id, state, now, now)
         return RunResult(run_id, state, done, failed)
 
+    def _switched(self, sources: Sequence[TableSource]) -> set[str]:
+        """Tables exported whole before and by partition now, or the other way round."""
+        whole = F.col("partition_id") == ids.FULL
+        known = self.ledgers.latest("partitions").groupBy(*TABLE_KEY).agg(F.max(whole).alias("whole"))
+        before = {f"{r['dataset']}.{r['table']}": r["whole"] for r in known.collect()}
+        now = {s.name: s.partition_on is None for s in sources}
+        return {name for name, whole in now.items() if before.get(name, whole) != whole}
+
     def _resolve_versions(self, sources: Sequence[TableSource], now: str) -> dict[str, int]:
         """Schema version of each table; schemas not seen before are recorded."""
         rows = [

@@ -194,6 +194,10 @@ def test_rules_choose_strategy(spark, tmp_path):
     lake.sync([fewer, skipped], "r2", "2025-02-02", rules=rules)
     assert runs_of(lake) == {"full": "r2"}
     assert fingerprint(lake.read(fewer)) == fingerprint(fewer.frame)
+    # Partitions next to a full export would be read twice, so the switch is refused.
+    refused = lake.sync([source(table(spark, bump=(3,)))], "r3", "2025-02-03")
+    assert refused.state == "failed" and set(refused.failed) == {"shop.events"}
+    assert fingerprint(lake.read(fewer)) == fingerprint(fewer.frame)
 
 
 def test_manifest_matches_storage(spark, tmp_path):
