@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from floodmark.llm.base import keep, query, table
 from floodmark.llm.components import components
-from floodmark.llm.words import U64, mix, names_of, split, windows
+from floodmark.llm.words import U64, encoded, mix, named, windows
 
 BANDS, ROWS = 25, 5
 HASHES = 128
@@ -44,12 +44,11 @@ _FACTOR = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) * U64(2) + U64(1)
 _SHIFT = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 
 
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct names of the shingles of a whole text."""
-    names = names_of(split(text, lower=True))
-    if len(names) < width:
-        return windows(names, len(names)) if len(names) else names
-    return np.unique(windows(names, width))
+def shingles(texts: list, width: int) -> Iterator[np.ndarray]:
+    """Sorted distinct names of the shingles of each whole text, in turn."""
+    names, bounds = named([encoded(t).lower() for t in texts])
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        yield np.unique(windows(names[a:b], min(width, b - a))) if b > a else names[a:b]
 
 
 def minima(names: np.ndarray) -> np.ndarray:
@@ -75,8 +74,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for text in batch["text"]:
-                names = shingles(text, width)
+            for names in shingles(list(batch["text"]), width):
                 out.append((len(names), digest(names), minima(names).astype("<u4").tobytes()))
             more = pd.DataFrame(out, columns=["n_shingles", "digest", "minima"], index=batch.index)
             yield pd.concat([batch[["id"]], more], axis=1)
@@ -138,8 +136,7 @@ def links(rows: pd.DataFrame, width: int, percent: int, miss: float) -> list[tup
     """A forest of confirmed links of one block. ``side``: 1 are compared with all; ``own``: known components."""
     rows = rows.drop_duplicates(["rep", "digest"]).sort_values("rep", ignore_index=True)
     sets, keep_rows = [], []
-    for i, (text, known) in enumerate(zip(rows["text"], rows["digest"], strict=True)):
-        names = shingles(text, width)
+    for i, (names, known) in enumerate(zip(shingles(list(rows["text"]), width), rows["digest"], strict=True)):
         if digest(names) == known:  # else a row with the same id and another text
             sets.append(names)
             keep_rows.append(i)

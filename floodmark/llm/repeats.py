@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from floodmark.llm import exchange as X
 from floodmark.llm.base import keep, query, table
-from floodmark.llm.words import U64, mix, names_of, sequence, split, sums
+from floodmark.llm.words import U64, encoded, mix, named, sequence, split, sums
 
 #: Most words of a symbol after each round; the first round names runs, the others pairs.
 ROUNDS = (2, 3, 5, 11)
@@ -39,8 +39,8 @@ ROUNDS = (2, 3, 5, 11)
 REACH = 2 + sum(ROUNDS[:-1])
 #: Shortest window in which an edge of the last round is sure to lie with all its reach.
 LEAST_WINDOW = 2 * REACH + ROUNDS[-1]
-#: Words that are worked on at a time, about.
-SLAB = 400_000
+#: Bytes that are worked on at a time, about.
+SLAB = 2 << 20
 EDGE_BYTES = 6
 
 
@@ -77,10 +77,9 @@ def edges(names: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 class Slab:
     """Some texts' words in one array, with their edges and window names."""
 
-    def __init__(self, texts: list[list[bytes]], window: int):
+    def __init__(self, texts: list[bytes], window: int):
         self.window = window
-        self.bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        names = names_of([w for t in texts for w in t])
+        names, self.bounds = named(texts)
         self.size = len(names)
         self.end = np.repeat(self.bounds[1:], np.diff(self.bounds))
         self.prefix = sums(names)
@@ -114,13 +113,13 @@ class Slab:
 def slabs(blobs, columns: list[str], text: str, window: int) -> Iterator[tuple[pa.Table, Slab]]:
     """Whole texts, a few at a time."""
     for rows in X.unpacked(blobs, columns):
-        words, size, since = [], 0, 0
+        texts, size, since = [], 0, 0
         for i, value in enumerate(rows[text].to_pylist()):
-            words.append(split(value))
-            size += len(words[-1])
+            texts.append(encoded(value))
+            size += len(texts[-1])
             if size >= SLAB or i + 1 == rows.num_rows:
-                yield rows.slice(since, i + 1 - since), Slab(words, window)
-                words, size, since = [], 0, i + 1
+                yield rows.slice(since, i + 1 - since), Slab(texts, window)
+                texts, size, since = [], 0, i + 1
 
 
 def distinct(names: list[np.ndarray], others: list[np.ndarray] | None = None):
@@ -176,9 +175,6 @@ def repeated_edges(slab: Slab, names: np.ndarray, verdict: np.ndarray) -> np.nda
     return verdict[np.searchsorted(names, slab.edge_name)] if len(names) else np.zeros(0, bool)
 
 
-def chunk_edges(blobs, columns, text, window):
-    names, _, twice = distinct([slab.edge_name for _, slab in slabs(blobs, columns, text, window)])
-    return names, twice
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, carry: bool = False) -> DataFrame:
@@ -194,15 +190,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     packed = X.pack(docs, columns, chunks)
 
     def send_edges(chunk: int, blobs) -> pd.DataFrame:
-        names, twice = chunk_edges(blobs, columns, text_col, window)
+        names, _, twice = distinct([slab.edge_name for _, slab in slabs(blobs, columns, text_col, window)])
         return X.blocks(chunk, chunks, names, lambda a, b: flags(twice[a:b]), EDGE_BYTES)
 
     seen = keep(X.answered(X.over_chunks(packed, send_edges, X.BLOCKS), edge_verdicts, EDGE_BYTES), "edges")
 
     def candidates(blobs, right: pd.DataFrame):
-        names, _ = chunk_edges(blobs, columns, text_col, window)
+        held = list(slabs(blobs, columns, text_col, window))
+        names, _, _ = distinct([slab.edge_name for _, slab in held])
         verdict = X.in_order(right, bits).astype(bool)
-        for rows, slab in slabs(blobs, columns, text_col, window):
+        for rows, slab in held:
             at = slab.candidates(repeated_edges(slab, names, verdict))
             yield rows, slab, at, slab.window_names(at)
 

@@ -2,34 +2,15 @@
 
 from __future__ import annotations
 
-from hashlib import blake2b
-
 import numpy as np
 
 U64 = np.uint64
 
-#: Words whose names a Python worker remembers; beyond it the table starts anew.
-REMEMBERED = 250_000
-
 # Odd multiplier of the rolling names and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-class Names(dict):
-    """word -> 64-bit name, by a digest, so that every task gives a word the same name."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        name = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        self[word] = name
-        return name
-
-
-NAMES = Names()
-
-
 def encoded(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
@@ -40,8 +21,39 @@ def split(text: str | None, lower: bool = False) -> list[bytes]:
     return (data.lower() if lower else data).split()  # bytes.lower() maps A-Z only
 
 
-def names_of(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(NAMES.__getitem__, words), U64, len(words))
+# One random odd number per byte value.
+_BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
+
+#: Bytes that are not part of a word.
+WHITE = np.zeros(256, bool)
+WHITE[[0x20, *range(0x09, 0x0E)]] = True
+
+#: Bytes that are named at a time, about.
+_PART = 1 << 21
+
+
+def named(texts: list[bytes], gaps: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit names of all words of some texts, and the first word of each text and the end.
+
+    A name is a function of a word's bytes, so every task gives a word the same name.
+    ``gaps`` says which bytes are not part of a word, the space among them.
+    """
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    part = gaps[data]
+    turn = np.flatnonzero(np.diff(part, prepend=True))
+    starts, ends = turn[::2], turn[1::2]
+    names = np.empty(len(starts), U64)
+    at = 0
+    while at < len(starts):
+        low = starts[at]
+        upto = max(int(np.searchsorted(ends, low + _PART)), at + 1)
+        prefix = np.zeros(ends[upto - 1] - low + 1, U64)
+        np.cumsum(_BYTES[data[low : ends[upto - 1]]] * _powers("up", len(prefix) - 1), out=prefix[1:])
+        a, b = starts[at:upto] - low, ends[at:upto] - low
+        names[at:upto] = mix((prefix[b] - prefix[a]) * _powers("down", len(prefix))[a])
+        at = upto
+    first = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return names, np.searchsorted(starts, first)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
