@@ -62,9 +62,9 @@ def pack(docs: DataFrame, columns: list[str], chunks: int) -> DataFrame:
     return flat.mapInArrow(packed, "chunk int, blob binary")
 
 
-def unpacked(blobs, columns: list[str]) -> Iterator[pa.Table]:
-    for blob in blobs:
-        yield pa.ipc.open_stream(blob).read_all().rename_columns(columns)
+def unpacked(blobs, columns: list[str]) -> pa.Table:
+    """A chunk's rows."""
+    return pa.concat_tables([pa.ipc.open_stream(blob).read_all() for blob in blobs]).rename_columns(columns)
 
 
 def over_chunks(packed: DataFrame, fn: Callable, schema: str, answers: DataFrame | None = None) -> DataFrame:

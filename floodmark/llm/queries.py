@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from floodmark.llm import forest, near, packing, repeats, topk  # noqa: F401  (they register)
+from floodmark.llm import chat, forest, near, packing, repeats, topk  # noqa: F401  (they register)
 from floodmark.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -112,14 +112,14 @@ class Slab:
 
 def slabs(blobs, columns: list[str], text: str, window: int) -> Iterator[tuple[pa.Table, Slab]]:
     """Whole texts, a few at a time."""
-    for rows in X.unpacked(blobs, columns):
-        texts, size, since = [], 0, 0
-        for i, value in enumerate(rows[text].to_pylist()):
-            texts.append(encoded(value))
-            size += len(texts[-1])
-            if size >= SLAB or i + 1 == rows.num_rows:
-                yield rows.slice(since, i + 1 - since), Slab(texts, window)
-                texts, size, since = [], 0, i + 1
+    rows = X.unpacked(blobs, columns)
+    texts, size, since = [], 0, 0
+    for i, value in enumerate(rows[text]):
+        texts.append(encoded(value.as_py()))
+        size += len(texts[-1])
+        if size >= SLAB or i + 1 == rows.num_rows:
+            yield rows.slice(since, i + 1 - since), Slab(texts, window)
+            texts, size, since = [], 0, i + 1
 
 
 def distinct(names: list[np.ndarray], others: list[np.ndarray] | None = None):
@@ -230,15 +230,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         verdict = X.in_order(right[right["step"] == 1], bits).astype(bool)
         if len(verdict) != len(names):
             raise RuntimeError("a chunk's windows changed between two passes")
-        hit = names[verdict]
-        # Equal first parts with unequal second parts are told apart by the second.
-        pairs = set(zip(hit.tolist(), other[verdict].tolist(), strict=True)) if len(np.unique(names)) < len(names) else None
         out = []
         for rows, slab, at, (name, rest) in found:
-            good = np.isin(name, hit)
-            if pairs is not None:
-                good &= np.fromiter((x in pairs for x in zip(name.tolist(), rest.tolist(), strict=True)), bool, len(name))
-            out.append(result(rows, slab.covered(at[good]), slab.bounds))
+            place = np.searchsorted(names, name)
+            while len(step := np.flatnonzero(other[place] != rest)):  # equal first parts
+                place[step] += 1
+            out.append(result(rows, slab.covered(at[verdict[place]]), slab.bounds))
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=[f.name for f in schema])
 
     def result(rows: pa.Table, gone: np.ndarray, bounds: np.ndarray) -> pd.DataFrame:
