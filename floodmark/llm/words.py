@@ -32,16 +32,19 @@ WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _PART = 1 << 21
 
 
-def named(texts: list[bytes], gaps: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+def named(texts: list[bytes], gaps: np.ndarray = WHITE, joiner: bytes = b" ", head: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """64-bit names of all words of some texts, and the first word of each text and the end.
 
     A name is a function of a word's bytes, so every task gives a word the same name.
-    ``gaps`` says which bytes are not part of a word, the space among them.
+    ``gaps`` says which bytes are not part of a word, the joiner among them; ``head`` names
+    words by their first bytes only.
     """
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    data = np.frombuffer(joiner.join(texts) + joiner, np.uint8)
     part = gaps[data]
     turn = np.flatnonzero(np.diff(part, prepend=True))
     starts, ends = turn[::2], turn[1::2]
+    if head:
+        ends = np.minimum(ends, starts + head)
     names = np.empty(len(starts), U64)
     at = 0
     while at < len(starts):
