@@ -31,7 +31,7 @@ def made_up(n=500, seed=4):
 
 
 def test_held_out_accuracy(spark):
-    docs, labels = made_up()
+    docs, labels = made_up(1500)
     df = spark.createDataFrame(docs, "doc_id long, text string, kind string")
     told = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     got = quality.classify(df, told).select("row.doc_id", "row.kind", "rejected", "weak").collect()
