@@ -144,7 +144,8 @@ class Codec:
     def decode(self, rows: list) -> list[bytes]:
         """The bytes of lists of ids."""
         out = [b""] * len(rows)
-        pairs = [(k, p, i) for k, ids in enumerate(rows) if ids is not None for p, i in enumerate(ids) if i is not None]
+        # A null among integers arrives as a float that differs from itself.
+        pairs = [(k, p, int(i)) for k, ids in enumerate(rows) if ids is not None for p, i in enumerate(ids) if i is not None and i == i]
         if pairs:
             row, pos, ids = zip(*pairs, strict=True)
             self.db.register("ids", pa.table({"row": pa.array(row, pa.int64()), "pos": pa.array(pos, pa.int64()), "id": pa.array(ids, pa.int32())}))

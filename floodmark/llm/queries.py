@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from floodmark.llm import bpe, chat, forest, near, packing, quality, repeats, topk  # noqa: F401  (they register)
+from floodmark.llm import bpe, chat, forest, license, near, packing, quality, repeats, topk  # noqa: F401  (they register)
 from floodmark.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
