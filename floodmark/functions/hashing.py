@@ -67,7 +67,10 @@ def hash_shard(key: Column, shards: int) -> Column:
 
 
 def in_sample(key: Column, rate: float) -> Column:
-    """Whether a key belongs to the repeatable sample at ``rate``."""
+    """Whether a key belongs to the repeatable sample at ``rate``; a null key counts as empty text."""
     if not 0 <= rate <= 1:
         raise ValueError("rate must lie between 0 and 1")
-    return hash_shard(key, 1_000_000) < F.lit(round(rate * 1_000_000))
+    millionths = round(rate * 1_000_000)
+    if rate and not millionths:
+        raise ValueError("a rate below a millionth would take nothing")
+    return hash_shard(F.coalesce(key.cast("string"), F.lit("")), 1_000_000) < F.lit(millionths)

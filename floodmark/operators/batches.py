@@ -40,7 +40,7 @@ def assign_batches(parts: DataFrame, days: int = DEFAULT_DAYS) -> DataFrame:
         .otherwise(F.floor(F.date_diff(day, F.col("_first")) / days))
     )
     return (
-        join_per_key(parts, edges, TABLE_KEY, ["partition_id"], "inner")
+        join_per_key(parts, edges, TABLE_KEY, "inner")
         .withColumn("batch_idx", index.cast("bigint"))
         .drop("_first", "_last")
     )
@@ -66,4 +66,4 @@ def label_batches(assigned: DataFrame) -> DataFrame:
     labels = assigned.groupBy(*key).agg(
         ids.batch_label(F.min("partition_id"), F.max("partition_id")).alias("batch")
     )
-    return join_per_key(assigned, labels, key, ["partition_id"], "inner")
+    return join_per_key(assigned, labels, key, "inner")

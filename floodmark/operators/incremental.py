@@ -22,7 +22,7 @@ def changed_since(parts: DataFrame, tables: DataFrame) -> DataFrame:
     ``tables`` has one row per table with ``watermark``.
     """
     marks = tables.select(*TABLE_KEY, F.col("watermark").alias("_mark"))
-    joined = join_per_key(parts, marks, TABLE_KEY, ["partition_id"])
+    joined = join_per_key(parts, marks, TABLE_KEY)
     keep = (
         F.col("_mark").isNull()
         | F.col("last_modified").isNull()
@@ -37,7 +37,7 @@ def skip_exported(
     """Drop partitions already exported in their present form.
 
     ``state`` has one row per partition with ``exported_modified`` and ``exported_path``.
-    With an inventory, a state row counts only while its file is still there.
+    A partition without a change time cannot be known to be the same, and is kept. With an inventory, a state row counts only while its file is still there.
     """
     done = state.where(F.col("exported_path").isNotNull() & (F.col("exported_path") != ""))
     if inventory is not None:
@@ -45,8 +45,10 @@ def skip_exported(
         done = done.join(there, "exported_path", "left_semi")
     done = done.select(*PARTITION_KEY, "exported_modified")
     joined = parts.join(done, PARTITION_KEY, "left")
-    fresh = F.col("exported_modified").isNull() | (
-        F.col("last_modified") > F.col("exported_modified")
+    fresh = (
+        F.col("exported_modified").isNull()
+        | F.col("last_modified").isNull()
+        | (F.col("last_modified") > F.col("exported_modified"))
     )
     return joined.where(fresh).drop("exported_modified")
 

@@ -7,47 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 16
 
-# A row of keys and labels takes about 100 bytes, so this bounds a broadcast to some 20 MB.
-MAX_BROADCAST_ROWS = 200_000
-
-
-def join_per_key(
-    many: DataFrame,
-    one: DataFrame,
-    on: Sequence[str],
-    spread_by: Sequence[str],
-    how: str = "left",
-    salts: int = SALTS,
-) -> DataFrame:
+def join_per_key(many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``many`` rows per key with at most ``one`` row per key.
 
-    Each row of ``one`` is repeated once per salt and each row of ``many`` takes the
-    salt of its ``spread_by`` columns, so a hot key is split over ``salts`` tasks. There
-    is no broadcast hint: AQE broadcasts ``one`` when its measured size allows.
+    A plain equality join without a hint. The side with one row per key is broadcast only
+    when Spark has measured it below the session's threshold; otherwise both sides are
+    shuffled and AQE cuts the partition of a hot key by measured bytes into as many tasks
+    as it needs, each of which meets the key's one row.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
-        raise ValueError(f"join type {how!r} cannot be salted on the right side")
-    salted = many.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    copies = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
-
-
-def join_counted(
-    rows: DataFrame, few: DataFrame, on: Sequence[str], few_rows: int, how: str = "inner"
-) -> DataFrame:
-    """Join table rows, of any number per key, with a list of keys whose length was counted.
-
-    A short list is broadcast and the table is not shuffled. For a long one the rows are
-    salted by the input task they come from: neither a hot key nor many copies of one row
-    then meet in a single task, and a task that runs again repeats the same salts.
-    """
-    if few_rows <= MAX_BROADCAST_ROWS:
-        return rows.join(F.broadcast(few), list(on), how)
-    salted = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    copies = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+        raise ValueError(f"join type {how!r} cannot be split on the left side")
+    return many.join(one, list(on), how)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

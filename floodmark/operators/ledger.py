@@ -25,9 +25,10 @@ PARTITIONS = """project string, dataset string, table string, partition_id strin
  snapshot_time timestamp_ntz, synced_at timestamp_ntz, row_count bigint, exported_path string,
  run_id string, at timestamp_ntz"""
 VERSIONS = """dataset string, table string, version bigint, schema_hash string,
- shape_hash string, change_type string, n_changes bigint, widened boolean, valid_from timestamp_ntz"""
+ shape_hash string, change_type string, n_changes bigint, widened boolean, valid_from timestamp_ntz,
+ physical_hash string, schema_json string, run_id string"""
 FIELDS = """dataset string, table string, version bigint, path string, parent string,
- name string, type string, mode string, description string, depth int"""
+ name string, type string, mode string, description string, depth int, run_id string"""
 ACKS = "dataset string, table string, version bigint, at timestamp_ntz"
 
 SCHEMAS = {
@@ -86,7 +87,7 @@ class Ledgers:
         if name == "runs":
             return latest_runs(self.read("runs"))
         if name == "versions":
-            return latest_per_key(self.read("versions"), ["dataset", "table"], ["version"])
+            return latest_per_key(self.committed("versions"), ["dataset", "table"], ["version"])
         rows = self.committed(name)
         if name == "partitions":
             rows = rows.where("state = 'completed'")

@@ -20,11 +20,16 @@ def build(stored: DataFrame, counted: DataFrame) -> DataFrame:
     """Manifest rows from the files in storage and the row counts of those files.
 
     Sizes and checksums come from storage after the write and row counts from reading
-    the files, so nothing depends on what the writer believed it wrote.
+    the files, so nothing depends on what the writer believed it wrote. A stored file
+    without rows is empty; rows of a file that is not in storage are an error.
     """
     rows = counted.groupBy("path").agg(F.sum("row_count").alias("row_count"))
-    return stored.join(rows, "path", "left").withColumn(
-        "row_count", F.coalesce("row_count", F.lit(0))
+    lost = F.raise_error(F.concat(F.lit("counted rows of a file that is not in storage: "), "path"))
+    return stored.join(rows, "path", "full").withColumns(
+        {
+            "path": F.when(F.col("size").isNull(), lost).otherwise(F.col("path")),
+            "row_count": F.coalesce("row_count", F.lit(0)),
+        }
     )
 
 
@@ -38,11 +43,6 @@ def merge(*manifests: DataFrame) -> DataFrame:
     return first_per_key(everything, FILE_KEY, ["_rank", *tie]).drop("_rank")
 
 
-def add_files(manifest: DataFrame, new: DataFrame) -> DataFrame:
-    """Manifest after an export: a path written again is described by the newer run."""
-    return merge(new, manifest)
-
-
 def totals(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("dataset", "table").agg(
         F.count(F.lit(1)).alias("n_files"),

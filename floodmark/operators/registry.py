@@ -8,6 +8,7 @@ the driver's analyser anyway before its table can be read.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -281,19 +282,46 @@ def current_version(versions: DataFrame, acks: DataFrame) -> DataFrame:
     )
 
 
-def resolve(today: DataFrame, stored: DataFrame) -> DataFrame:
+def physical_hash(schema: T.StructType) -> str:
+    """Names the stored types of a schema, whatever the order of its fields.
+
+    Warehouse types are wider: INT and BIGINT are both INT64, but a file of one cannot be
+    read as the other, so they must not lie under one version.
+    """
+
+    def listed(dtype: T.DataType) -> str:
+        if isinstance(dtype, T.StructType):
+            return "{" + ",".join(sorted(f"{f.name}:{listed(f.dataType)}" for f in dtype.fields)) + "}"
+        if isinstance(dtype, T.ArrayType):
+            return f"[{listed(dtype.elementType)}]"
+        return dtype.simpleString()
+
+    return sha256(listed(schema).encode()).hexdigest()
+
+
+def resolve(today: DataFrame, stored: DataFrame, physical: DataFrame | None = None) -> DataFrame:
     """Version of each table's present schema against its latest stored version.
 
     A table seen for the first time is at version 1, an unchanged shape keeps its version,
-    any other shape is the next version. ``is_new`` marks versions to be recorded.
+    any other shape is the next version. ``physical`` has one row per table with its
+    ``physical_hash``: a change of stored types alone is a version too, marked ``retyped``.
+    ``is_new`` marks versions to be recorded.
     """
     known = stored.select(
         *TABLE_KEY, F.col("version").alias("_version"), F.col("shape_hash").alias("_shape")
     )
-    same = F.col("_shape") == F.col("shape_hash")
+    found = fingerprints(today, TABLE_KEY)
+    shaped = F.col("_shape") == F.col("shape_hash")
+    retyped = F.lit(False)
+    if physical is not None:
+        found = found.join(physical.select(*TABLE_KEY, "physical_hash"), TABLE_KEY, "left")
+        known = known.join(
+            stored.select(*TABLE_KEY, F.col("physical_hash").alias("_physical")), TABLE_KEY
+        )
+        retyped = shaped & (F.col("_physical") != F.col("physical_hash"))
+    same = shaped & ~F.coalesce(retyped, F.lit(False))
     return (
-        fingerprints(today, TABLE_KEY)
-        .join(known, TABLE_KEY, "left")
+        found.join(known, TABLE_KEY, "left")
         .withColumn(
             "version",
             F.when(F.col("_version").isNull(), F.lit(1))
@@ -302,7 +330,8 @@ def resolve(today: DataFrame, stored: DataFrame) -> DataFrame:
             .cast("bigint"),
         )
         .withColumn("is_new", F.col("_version").isNull() | ~same)
-        .drop("_version", "_shape")
+        .withColumn("retyped", F.coalesce(retyped, F.lit(False)))
+        .drop("_version", "_shape", "_physical")
     )
 
 

@@ -7,14 +7,14 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floodmark.functions import ids
 from floodmark.functions.hashing import hash_shard
-from floodmark.operators.keyed import join_counted
-from floodmark.sources.tables import TableSource
+from floodmark.operators.keyed import join_per_key
+from floodmark.sources.tables import TableSource, union_all, with_text
 
 MIB = 1024 * 1024
 
@@ -27,8 +27,8 @@ SMALLEST_FILE_BYTES = 64 * MIB
 LARGEST_FILE_BYTES = 2048 * MIB
 CODECS = ("zstd", "snappy")
 
-# Number of separate ranges that a scan filter may hold.
-MAX_SPANS = 64
+# Ranges in the filter of one scan; more ranges are read by more scans, never by a wider one.
+RANGES_A_SCAN = 64
 
 # Shuffled rows take about this many times the bytes of the Parquet files they become.
 SHUFFLE_TO_FILE = 3
@@ -123,47 +123,65 @@ def arrange(df: DataFrame, by: Sequence[str], layout: Layout = Layout()) -> Data
     return spread
 
 
-def planned_spans(source: TableSource, plan: DataFrame) -> list[tuple]:
-    """First and last bucket of each planned batch; one span of all if there are many batches.
+@dataclass(frozen=True)
+class Spans:
+    """Ranges of adjacent planned buckets, both ends included, and whether null rows are planned."""
+
+    ranges: tuple[tuple, ...]
+    nulls: bool
+
 
-    The plan has one row per partition. At most ``MAX_SPANS`` + 1 rows reach the driver.
+def planned_spans(source: TableSource, plan: DataFrame) -> Spans:
+    """Ranges of adjacent buckets of a plan that has one row per partition of one table.
+
+    Buckets that were not planned are in no range, however many ranges that makes. What
+    reaches the driver is one row per range.
     """
-    bucket = ids.bucket_of_id(F.col("partition_id"), source.granularity)
-    edges = [
-        F.min(bucket).alias("first"),
-        F.max(bucket).alias("last"),
-        F.max(bucket.isNull()).alias("has_null"),
-    ]
-    spans = plan.groupBy("batch").agg(*edges).limit(MAX_SPANS + 1).collect()
-    if len(spans) > MAX_SPANS:
-        spans = plan.agg(*edges).collect()
-    return [tuple(r)[-3:] for r in spans]
-
-
-def within_spans(source: TableSource, spans: list[tuple]) -> DataFrame:
-    """Rows of a source that can belong to the planned batches.
-
-    The filter is a range on the raw partitioning column, so it reaches the file
-    statistics: exporting one changed day does not read the other years.
+    step = F.expr(f"INTERVAL 1 {source.granularity.upper()}")
+    bucket = ids.bucket_of_id(F.col("partition_id"), source.granularity).cast("timestamp_ntz")
+    buckets = plan.select(bucket.alias("bucket")).distinct()
+    order = Window.orderBy("bucket")
+    opens = ~F.lag("bucket").over(order).eqNullSafe(F.col("bucket") - step)
+    runs = (
+        buckets.where("bucket is not null")
+        .withColumn("run", F.sum(opens.cast("int")).over(order))
+        .groupBy("run")
+        .agg(F.min("bucket").alias("first"), F.max("bucket").alias("last"))
+        .orderBy("first")
+    )
+    nulls = bool(buckets.where("bucket is null").take(1))
+    return Spans(tuple((r["first"], r["last"]) for r in runs.collect()), nulls)
+
+
+def within_spans(source: TableSource, spans: Spans) -> DataFrame:
+    """Rows of a source that belong to the planned buckets.
+
+    The filters are ranges on the raw partitioning column, so they reach the file
+    statistics: exporting some changed days does not read the days between them.
     """
     column = F.col(source.partition_on)
     dtype = source.frame.schema[source.partition_on].dataType
     step = F.expr(f"INTERVAL 1 {source.granularity.upper()}")
-    hit = F.lit(False)
-    for first, last, has_null in spans:
-        if first is not None:
-            end = F.lit(last).cast("timestamp_ntz") + step
-            hit = hit | ((column >= F.lit(first).cast(dtype)) & (column < end.cast(dtype)))
-        if has_null:
-            hit = hit | column.isNull()
-    return source.frame.where(hit)
 
+    def one(first, last) -> Column:
+        end = F.lit(last).cast("timestamp_ntz") + step
+        return (column >= F.lit(first).cast(dtype)) & (column < end.cast(dtype))
 
-def assign_rows(source: TableSource, plan: DataFrame, plan_rows: int) -> DataFrame:
+    hits = [one(*r) for r in spans.ranges] + ([column.isNull()] if spans.nulls else [])
+    scans = []
+    for k in range(0, len(hits), RANGES_A_SCAN):
+        some = hits[k : k + RANGES_A_SCAN]
+        while len(some) > 1:  # a balanced tree, as a long chain of ORs nests too deep
+            some = [a | b for a, b in zip(some[::2], some[1::2])] + some[len(some) // 2 * 2 :]
+        scans.append(source.frame.where(some[0]))
+    return union_all(scans) if scans else source.frame.where(F.lit(False))
+
+
+def assign_rows(source: TableSource, plan: DataFrame) -> DataFrame:
     """Rows of the planned partitions with their partition id and batch.
 
-    ``plan`` has one row per partition; the caller has counted it. Rows meet it by date or
-    truncated time, and take the id's text from it, so no text is made per row.
+    ``plan`` has one row per partition. Rows meet it by date or truncated time, and take
+    the id's text from it, so no text is made per row.
     """
     if source.partition_on is None:
         label = ids.batch_label(F.lit(ids.FULL), F.lit(ids.FULL))
@@ -182,7 +200,7 @@ def assign_rows(source: TableSource, plan: DataFrame, plan_rows: int) -> DataFra
         keyed(ids.bucket_of_id(F.col("partition_id"), source.granularity))
     )
     key = ["_bucket", "_none"]
-    return join_counted(rows, known, key, plan_rows).drop(*key)
+    return join_per_key(rows, known, key, "inner").drop(*key)
 
 
 def safe_name(name: str) -> str:
@@ -204,7 +222,6 @@ def run_dir(root: str, dataset: str, table: str, version: int, run_id: str) -> s
 def export_batches(
     source: TableSource,
     plan: DataFrame,
-    plan_rows: int,
     target: str,
     layout: Layout = Layout(),
 ) -> None:
@@ -213,8 +230,10 @@ def export_batches(
     The partition id stays in the files: a later run that exports one of the batch's
     partitions again replaces just those rows for readers.
     """
-    rows = assign_rows(source, plan, plan_rows)
-    arranged = arrange(rows, ["batch"], layout)
+    rows = assign_rows(source, plan)
+    # A table that is one partition is one batch: its input splits become its files.
+    whole = source.partition_on is None and not layout.cluster_by
+    arranged = rows if whole else arrange(rows, ["batch"], layout)
     write_parquet(arranged, target, layout, ["batch"])
 
 
@@ -246,26 +265,33 @@ def full_dir(root: str, source: TableSource, stamp: str) -> str:
 
 
 def read_published(
-    spark: SparkSession, root: str, dataset: str, table: str, version: int, current: DataFrame
+    spark: SparkSession,
+    root: str,
+    dataset: str,
+    table: str,
+    version: int,
+    current: DataFrame,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Present rows of a table in one schema version, from published runs only.
 
     ``current`` has one row per partition with the run that exported it last. The join on
     run and partition leaves out unpublished runs and replaced partitions; dynamic pruning
-    skips the directories of runs it does not name.
+    skips the directories of runs it does not name. ``schema`` is the one recorded for the
+    version; without it, it is that of the files.
     """
     path = f"{table_dir(root, dataset, table)}/schema_version=v{version}"
     layout = {"run", "batch"}
-    stored = spark.read.parquet(path).schema
+    if schema is None:
+        schema = spark.read.parquet(path).schema
+    own = [f for f in schema.fields if f.name not in {*layout, "partition_id"}]
     # Directory names are text whatever they look like.
-    typed = T.StructType(
-        [T.StructField(f.name, T.StringType()) if f.name in layout else f for f in stored.fields]
-    )
+    typed = with_text(T.StructType(own), "partition_id", *sorted(layout))
     files = spark.read.schema(typed).parquet(path)
     keep = current.where(
         (F.col("dataset") == dataset)
         & (F.col("table") == table)
         & (F.col("schema_version") == version)
     ).select(F.col("run_id").alias("run"), "partition_id")
-    rows = join_counted(files, keep, ["run", "partition_id"], keep.count(), "left_semi")
+    rows = join_per_key(files, keep, ["run", "partition_id"], "left_semi")
     return rows.drop(*layout, "partition_id")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from floodmark.functions import ids
 from floodmark.operators import (
@@ -85,7 +88,22 @@ class Lake:
         if not stale.isEmpty():
             self.ledgers.append("runs", stale)
         self.ledgers.append_run(run_id, "running", now, now)
-
+        try:
+            return self._run(sources, run_id, now, days, rules)
+        except Exception:
+            # Nothing of the run is published; the next one need not wait for it.
+            self.ledgers.append_run(run_id, "failed", now, now)
+            raise
+
+    def _run(
+        self,
+        sources: Sequence[TableSource],
+        run_id: str,
+        now: str,
+        days: int,
+        rules: Sequence[incremental.Rule],
+    ) -> RunResult:
+        at = F.lit(now).cast("timestamp_ntz")
         default = incremental.Rule("*", batch_days=days)
         chosen = [(s, incremental.rule_for(s.name, rules, default)) for s in sources]
         # A full refresh takes the table as one partition.
@@ -95,7 +113,10 @@ class Lake:
             if r.include
         ]
         sources = [source for source, _ in chosen]
-        versions = self._resolve_versions(sources, now)
+        if not sources:  # the rules leave nothing to do
+            self.ledgers.append_run(run_id, "completed", now, now)
+            return RunResult(run_id, "completed", 0, {})
+        versions = self._resolve_versions(sources, run_id, now)
         plan = self._plan(chosen, run_id)
         planned = plan.groupBy(*TABLE_KEY).agg(F.count(F.lit(1)).alias("n")).collect()
         sizes = {f"{r['dataset']}.{r['table']}": r["n"] for r in planned}
@@ -111,7 +132,7 @@ class Lake:
             layout = replace(self.layout, cluster_by=source.cluster_by or self.layout.cluster_by)
             mine = ledger.table_state(plan, source.dataset, source.table)
             try:
-                export.export_batches(source, mine, sizes[source.name], targets[source.name], layout)
+                export.export_batches(source, mine, targets[source.name], layout)
             except Exception as error:  # one table's failure must not stop the others
                 return str(error)
             return None
@@ -142,8 +163,13 @@ class Lake:
         now = {s.name: s.partition_on is None for s in sources}
         return {name for name, whole in now.items() if before.get(name, whole) != whole}
 
-    def _resolve_versions(self, sources: Sequence[TableSource], now: str) -> dict[str, int]:
-        """Schema version of each table; schemas not seen before are recorded."""
+    def _resolve_versions(
+        self, sources: Sequence[TableSource], run_id: str, now: str
+    ) -> dict[str, int]:
+        """Schema version of each table; schemas not seen before are recorded.
+
+        Records carry the run's id: those of a run that dies are never in force.
+        """
         rows = [
             (s.dataset, s.table, *f) for s in sources for f in registry.flatten(s.frame.schema, s.modes)
         ]
@@ -152,16 +178,29 @@ class Lake:
             "dataset string, table string, path string, parent string, name string, type string, "
             "mode string, description string, depth int",
         )
-        resolved = registry.resolve(today, self.ledgers.latest("versions"))
+        physical = self.spark.createDataFrame(
+            [(s.dataset, s.table, registry.physical_hash(s.frame.schema), s.frame.schema.json()) for s in sources],
+            "dataset string, table string, physical_hash string, schema_json string",
+        )
+        resolved = registry.resolve(today, self.ledgers.latest("versions"), physical)
         verdicts = resolved.select(*TABLE_KEY, "version", "is_new").collect()
         if any(r["is_new"] for r in verdicts):
-            found = registry.describe_new(resolved, today, self.ledgers.read("fields"))
-            self.ledgers.append(
-                "versions", found.withColumn("valid_from", F.lit(now).cast("timestamp_ntz"))
-            )
+            found = registry.describe_new(resolved, today, self.ledgers.committed("fields"))
+            # Stored types that changed within one warehouse type break no reader.
+            kept = F.col("retyped")
+            found = found.withColumns(
+                {
+                    "change_type": F.when(kept, F.lit("ADDITIVE")).otherwise(F.col("change_type")),
+                    "widened": F.col("widened") | kept,
+                    "valid_from": F.lit(now).cast("timestamp_ntz"),
+                    "run_id": F.lit(run_id),
+                }
+            ).join(physical.select(*TABLE_KEY, "schema_json"), TABLE_KEY)
             new = [(r["dataset"], r["table"], r["version"]) for r in verdicts if r["is_new"]]
             listed = self.spark.createDataFrame(new, "dataset string, table string, version bigint")
-            self.ledgers.append("fields", today.join(listed, TABLE_KEY))
+            # Fields first: a version without its fields would make the next one all ADD.
+            self.ledgers.append("fields", today.join(listed, TABLE_KEY).withColumn("run_id", F.lit(run_id)))
+            self.ledgers.append("versions", found)
         return {f"{r['dataset']}.{r['table']}": r["version"] for r in verdicts}
 
     def _plan(
@@ -283,7 +322,7 @@ class Lake:
             "dataset string, table string, schema_version int, error string",
         )
         planned = plan.select("project", *KEY)
-        rows = join_per_key(planned, errors, TABLE_KEY, ["partition_id"], "inner")
+        rows = join_per_key(planned, errors, TABLE_KEY, "inner")
         self.ledgers.append(
             "partitions",
             rows.withColumns({"run_id": F.lit(run_id), "state": F.lit("failed"), "at": at}),
@@ -332,30 +371,84 @@ class Lake:
     # -- readers ---------------------------------------------------------------
 
     def manifest(self) -> DataFrame:
-        """Files of published runs."""
+        """Files that hold present rows, with the number of those; ``superseded`` is the rest.
+
+        A partition that was exported again counts in its newest run only. The rows by file
+        and partition that each run counted tell what is left of a file.
+        """
+        listed = self.published()
+        counted = self._written()
+        if counted is None:
+            return listed.withColumn("superseded", F.lit(0).cast("bigint"))
+        current = self.ledgers.latest("partitions").select(*KEY, "run_id")
+        run = F.regexp_extract("path", "/run=([^/]+)/", 1)
+        live = (
+            counted.withColumn("run_id", run)
+            .join(current, ["run_id", *KEY], "left_semi")
+            .groupBy("path")
+            .agg(F.sum("row_count").alias("live"))
+        )
+        return listed.join(live, "path").select(
+            *[c for c in listed.columns if c != "row_count"],
+            F.col("live").alias("row_count"),
+            (F.col("row_count") - F.col("live")).alias("superseded"),
+        )
+
+    def _written(self) -> DataFrame | None:
+        """Rows by file and partition of all runs."""
+        schema = "dataset string, table string, schema_version string, batch string, partition_id string, row_count bigint, path string"
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/runs/*/written")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def published(self) -> DataFrame:
+        """Files of published runs, also those whose rows were all exported again."""
         listed = self.spark.read.schema(manifest.MANIFEST).json(f"{self.root}/manifest")
         done = self.ledgers.committed("partitions").where("state = 'completed'")
         return listed.join(
             done.select("run_id", *TABLE_KEY).distinct(), ["run_id", *TABLE_KEY], "left_semi"
         )
 
-    def read(self, source: TableSource, version: int | None = None) -> DataFrame:
+    def _schemas(self, source: TableSource) -> dict[int, T.StructType]:
+        """Recorded schemas of a table by version."""
+        mine = ledger.table_state(self.ledgers.committed("versions"), source.dataset, source.table)
+        rows = mine.where("schema_json is not null").select("version", "schema_json").collect()
+        return {r["version"]: T.StructType.fromJson(json.loads(r["schema_json"])) for r in rows}
+
+    def in_force(self, source: TableSource) -> int | None:
+        row = ledger.table_state(self.current_versions(), source.dataset, source.table).first()
+        return row["current_version"] if row else None
+
+    def read(
+        self, source: TableSource, version: int | None = None, strict: bool = True
+    ) -> DataFrame:
         """Present rows of a table as its readers see them.
 
-        Without a version, all versions are read, each in its own schema, and cast to the
-        table's present one.
+        Without a version, all versions are read, each in the schema recorded for it, and
+        cast to the schema in force: the newest that is not breaking or is acknowledged.
+        Strict casts fail on a value that does not fit; others make it null.
         """
         current = self.ledgers.latest("partitions")
+        schemas = self._schemas(source)
         mine = ledger.table_state(current, source.dataset, source.table)
         if version is None:
             found = [r[0] for r in mine.select("schema_version").distinct().collect()]
         else:
             found = [version]
         pieces = [
-            export.read_published(self.spark, self.root, source.dataset, source.table, v, current)
+            export.read_published(
+                self.spark, self.root, source.dataset, source.table, v, current, schemas.get(v)
+            )
             for v in sorted(found)
         ]
-        return unify.unify(pieces, source.frame.schema)
+        wanted = version if version is not None else self.in_force(source)
+        target = schemas.get(wanted, source.frame.schema)
+        if not pieces:  # never exported
+            return self.spark.createDataFrame([], target)
+        return unify.unify(pieces, target, strict)
 
     def summary(self) -> DataFrame:
         tables = self.ledgers.latest("tables").select(
@@ -385,16 +478,24 @@ class Lake:
         stored = files.inventory(self.spark, f"{self.root}/data").withColumn(
             "path", F.concat(F.lit("data/"), "path")
         )
-        return manifest.orphans(stored, self.manifest(), F.lit(now).cast("timestamp"))
+        return manifest.orphans(stored, self.published(), F.lit(now).cast("timestamp"))
 
     def remove_orphans(self, now: str) -> int:
         """Delete the directories of runs that were never published; returns their number.
 
-        Only whole run directories go, of which a dead run has one per table.
+        Only whole run directories go, of which a dead run has one per table. A run that is
+        not closed and has written in any table within a day may be going on: it keeps all
+        its files however old they are.
         """
         run = F.regexp_extract("path", "^(.*/run=[^/]+)/", 1).alias("run")
-        listed = self.manifest().select(run).distinct()
+        listed = self.published().select(run).distinct()
+        found = files.inventory(self.spark, f"{self.root}/data")
+        young = F.col("modified") >= F.lit(now).cast("timestamp") - F.expr("INTERVAL 24 HOURS")
+        active = found.where(young).select(F.regexp_extract("path", "/run=([^/]+)/", 1).alias("run_id"))
+        running = self.ledgers.latest("runs").where("state = 'running'")
+        going = running.join(active.distinct(), "run_id", "left_semi").select("run_id")
         dead = self.orphans(now).select(run).distinct().join(listed, "run", "left_anti")
+        dead = dead.withColumn("run_id", F.regexp_extract("run", "run=([^/]+)$", 1)).join(going, "run_id", "left_anti")
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         removed = 0
@@ -412,7 +513,7 @@ class Lake:
 
     def current_versions(self) -> DataFrame:
         """Version in force and latest version of each table."""
-        return registry.current_version(self.ledgers.read("versions"), self.ledgers.read("acks"))
+        return registry.current_version(self.ledgers.committed("versions"), self.ledgers.read("acks"))
 
     # -- full export -----------------------------------------------------------
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,15 +11,20 @@ from pyspark.sql import functions as F
 PARQUET = "*.parquet"
 
 
-def plain_path(path: Column) -> Column:
-    """``file:///a`` and ``file:/a`` name one file; keep the short form."""
-    return F.regexp_replace(path, "^([a-zA-Z][a-zA-Z0-9+.-]*):/+", "$1:/")
+def relative_path(path: Column, root: str) -> Column:
+    """The part of a file path below ``root``, which it begins with.
+
+    ``file:///a`` and ``file:/a`` name one folder, and a root without a scheme may be in
+    any store. A path that does not begin with the root stays as it is.
+    """
+    scheme, _, rest = root.partition(":/") if re.match(r"[a-zA-Z][a-zA-Z0-9+.\-]*:/", root) else ("", "", root)
+    store = f"{re.escape(scheme)}:/+" if scheme else r"(?:[a-zA-Z][a-zA-Z0-9+.\-]*:(?://[^/]*)?)?/*"
+    return F.regexp_replace(path, f"^{store}{re.escape(rest.strip('/'))}/+", "")
 
 
-def relative_path(path: Column, root: str) -> Column:
-    """The part of a file path below ``root``."""
-    marker = root.split("://", 1)[-1].strip("/") + "/"
-    return F.substring_index(path, marker, -1)
+def plain_text(path: Column) -> Column:
+    """A path as stores know it: ``_metadata.file_path`` has blanks and others as %20."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def _files(spark: SparkSession, root: str | list[str], pattern: str) -> DataFrame:
@@ -62,6 +68,6 @@ def rows_per_file(df: DataFrame, root: str, *by: str) -> DataFrame:
     return (
         df.groupBy(F.col("_metadata.file_path").alias("_path"), *by)
         .agg(F.count(F.lit(1)).alias("row_count"))
-        .withColumn("path", relative_path(F.col("_path"), root))
+        .withColumn("path", relative_path(plain_text(F.col("_path")), root))
         .drop("_path")
     )

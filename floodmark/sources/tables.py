@@ -66,11 +66,14 @@ def scan_partition(source: TableSource, partition: str) -> DataFrame:
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    """UNION ALL by column name."""
-    result, *rest = frames
-    for frame in rest:
-        result = result.unionByName(frame)
-    return result
+    """UNION ALL by column name, as a balanced tree: a chain is analysed once per frame again."""
+    frames = list(frames)
+    if not frames:
+        raise ValueError("nothing to unite")
+    while len(frames) > 1:
+        pairs = [a.unionByName(b) for a, b in zip(frames[::2], frames[1::2])]
+        frames = pairs + frames[len(frames) // 2 * 2 :]
+    return frames[0]
 
 
 def with_text(schema: T.StructType, *names: str) -> T.StructType:

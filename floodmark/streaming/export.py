@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from floodmark.functions import ids
-from floodmark.operators.keyed import join_counted
+from floodmark.operators.keyed import join_per_key
 from floodmark.plans import export
 from floodmark.sources.tables import with_text
 
@@ -80,7 +80,7 @@ def read_exported(
     layout = with_text(schema, "partition_id", "kind").add("batch_id", T.LongType())
     rows = spark.read.schema(layout).parquet(f"{root}/data")
     good = commits(spark, root).select("batch_id")
-    done = join_counted(rows, good, ["batch_id"], good.count(), "left_semi")
+    done = join_per_key(rows, good, ["batch_id"], "left_semi")
     if kind is not None:
         done = done.where(F.col("kind") == kind)
     return done.drop("batch_id")

@@ -26,7 +26,7 @@ def _export(spark: SparkSession, source: TableSource, days: int, root: str) -> D
     planned.write.parquet(plan_dir)
     plan = spark.read.schema(planned.schema).parquet(plan_dir)
     target = export.run_dir(root, source.dataset, source.table, 1, "r1")
-    export.export_batches(source, plan, plan.count(), target)
+    export.export_batches(source, plan, target)
     return spark.read.parquet(target)
 
 

@@ -352,7 +352,7 @@ def _state(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     where not exists (
       select 1 from state s join inventory i on i.path = s.exported_path
       where s.partition_id = p.partition_id and s.exported_path <> ''
-        and (p.last_modified is null or p.last_modified <= s.exported_modified))"""
+        and p.last_modified <= s.exported_modified)"""
 )
 def skip_exported(spark: SparkSession, sf: str) -> DataFrame:
     parts = discovery.discover(base.shipped_orders(spark, sf)).select(*PARTS)

@@ -103,10 +103,10 @@ def test_only_planned_days_are_read(spark, tmp_path, kind):
     plan = batches.label_batches(batches.assign_batches(discovery.discover(src), 7))
     for wanted, count in ((["20250103", "20250115"], 200), (["__NULL__"], 1), (["20250120", "__NULL__"], 101)):
         picked = plan.where(F.col("partition_id").isin(wanted))
-        got = export.assign_rows(src, picked, len(wanted))
+        got = export.assign_rows(src, picked)
         counts = {r["partition_id"]: r["count"] for r in got.groupBy("partition_id").count().collect()}
         assert set(counts) == set(wanted) and sum(counts.values()) == count
-    text = export.assign_rows(src, plan.where("partition_id = '20250103'"), 1)._jdf.queryExecution().toString()
+    text = export.assign_rows(src, plan.where("partition_id = '20250103'"))._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(ts" in text and "LessThan(ts" in text
 
 
@@ -272,3 +272,98 @@ def test_stream_batch_without_commit_is_invisible(spark, tmp_path):
     before = streaming.read_exported(spark, out, rows.schema).count()
     rows.withColumns({"partition_id": F.lit("x"), "kind": F.lit("on_time")}).write.partitionBy("kind").parquet(f"{out}/data/batch_id=99")
     assert streaming.read_exported(spark, out, rows.schema).count() == before == 100
+
+
+def test_scattered_days_are_read_alone(spark, tmp_path):
+    from floodmark.operators import batches, discovery
+
+    path = str(tmp_path / "source")
+    days = spark.range(1, 181).selectExpr("id", f"cast(date_add(date'2024-12-31', cast(id as int)) as {TS}) as ts", "'v' as v")
+    days = days.withColumn("changed", F.col("ts"))
+    days.repartitionByRange(60, "ts").write.parquet(path)
+    src = source(spark.read.parquet(path))
+    plan = batches.label_batches(batches.assign_batches(discovery.discover(src), 7))
+    wanted = [f"{d:%Y%m%d}" for d in (dt.date(2025, 1, 1) + dt.timedelta(days=2 * k) for k in range(70))]
+    picked = plan.where(F.col("partition_id").isin(wanted))
+    spans = export.planned_spans(src, picked)
+    assert len(spans.ranges) == 70 and not spans.nulls
+    read = export.within_spans(src, spans)
+    assert read.count() == 70  # not the days between them
+    assert sorted(r["partition_id"] for r in export.assign_rows(src, picked).collect()) == wanted
+    assert "PushedFilters: [Or(" in read._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exported_again_counts_once(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "a lake"))  # a blank is %20 in the names that Spark reports
+    before = source(table(spark))
+    lake.sync([before], "r1", "2025-02-01")
+    after = source(table(spark, bump=(5,), extra=7))
+    lake.sync([after], "r2", "2025-02-02")
+    listed = lake.manifest()
+    assert listed.agg(F.sum("row_count")).first()[0] == after.frame.count() == lake.read(after).count()
+    assert listed.agg(F.sum("superseded")).first()[0] == 100
+    assert lake.published().agg(F.sum("row_count")).first()[0] == after.frame.count() + 100
+
+
+@pytest.mark.parametrize("kinds", [("int", "bigint"), ("float", "double"), ("decimal(9,2)", "decimal(12,2)")])
+def test_wider_stored_types_make_a_version(spark, tmp_path, kinds):
+    lake = Lake(spark, str(tmp_path))
+    for k, kind in enumerate(kinds):
+        frame = spark.sql(f"select cast(id as {kind}) as n, cast('2025-01-0{k + 1}' as {TS}) as ts, cast('2025-01-0{k + 1}' as {TS}) as changed from range(5)")
+        src = source(frame)
+        lake.sync([src], f"r{k}", f"2025-02-0{k + 1}")
+    versions = {r["version"]: (r["change_type"], r["widened"]) for r in lake.ledgers.read("versions").collect()}
+    assert versions == {1: ("INITIAL", False), 2: ("ADDITIVE", True)}
+    rows = lake.read(src)
+    assert rows.schema["n"].dataType == src.frame.schema["n"].dataType and rows.count() == 10 - 5 * (k == 0)
+
+
+def test_acknowledged_version_is_what_readers_get(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    make = lambda value, day_: spark.sql(f"select {value} as n, cast('2025-01-0{day_}' as {TS}) as ts, cast('2025-01-0{day_}' as {TS}) as changed")
+    lake.sync([source(make("'x'", 1))], "r1", "2025-02-01")
+    src = source(make("5L", 2))
+    lake.sync([src], "r2", "2025-02-02")
+    assert sorted(r["n"] for r in lake.read(src).collect()) == ["5", "x"]
+    lake.acknowledge(src.dataset, src.table, 2, "2025-02-03")
+    assert sorted((r["n"] for r in lake.read(src, strict=False).collect()), key=str) == [5, None]
+
+
+def test_dead_runs_leave_no_version_and_are_closed(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path))
+    src = source(table(spark))
+    lake.sync([src], "r1", "2025-02-01")
+    wider = source(table(spark).withColumn("more", F.lit(1)))
+    with monkeypatch.context() as m:
+        m.setattr(Lake, "_plan", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            lake.sync([wider], "r2", "2025-02-02")
+    assert {r["run_id"]: r["state"] for r in lake.ledgers.latest("runs").collect()} == {"r1": "completed", "r2": "failed"}
+    assert lake.current_versions().first()["latest_version"] == 1
+    assert fingerprint(lake.read(src)) == fingerprint(src.frame)
+
+
+def test_rules_that_leave_nothing(spark, tmp_path):
+    from floodmark.operators.incremental import Rule
+
+    lake = Lake(spark, str(tmp_path))
+    src = source(table(spark))
+    assert lake.sync([src], "r1", "2025-02-01", rules=[Rule("*", include=False)]).state == "completed"
+    assert lake.read(src).count() == 0
+
+
+@pytest.mark.parametrize(
+    "root, path, want",
+    [
+        ("s3a://lake", "s3a://lake/data/dataset=lake/table=t/x.parquet", "data/dataset=lake/table=t/x.parquet"),
+        ("s3a://lake", "s3a://lake/data/dataset=datalake/table=t/x.parquet", "data/dataset=datalake/table=t/x.parquet"),
+        ("/tmp/a", "file:///tmp/a/data/tmp/a/x.parquet", "data/tmp/a/x.parquet"),
+        ("file:///tmp/a", "file:/tmp/a/x.parquet", "x.parquet"),
+        ("/lake/", "hdfs://host:8020/lake/lake/x.parquet", "lake/x.parquet"),
+        ("/lake", "file:/other/lake/x.parquet", "file:/other/lake/x.parquet"),
+    ],
+)
+def test_relative_paths_are_anchored(spark, root, path, want):
+    from floodmark.sources.files import relative_path
+
+    assert spark.range(1).select(relative_path(F.lit(path), root)).first()[0] == want

@@ -287,15 +287,33 @@ def test_latest_and_first_per_key(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_salted_joins_equal_plain_joins(spark, how):
+def test_join_per_key(spark, how):
     many = spark.range(500).select((F.col("id") % 3).alias("k"), "id")
     one = spark.createDataFrame([(0, "x"), (2, "y")], "k bigint, v string")
     want = sorted(map(tuple, many.join(one, "k", how).collect()))
-    assert sorted(map(tuple, keyed.join_per_key(many, one, ["k"], ["id"], how).collect())) == want
-    if how != "left_anti":
-        for counted in (2, keyed.MAX_BROADCAST_ROWS + 1):
-            got = keyed.join_counted(many, one, ["k"], counted, how)
-            assert sorted(map(tuple, got.collect())) == want
+    assert sorted(map(tuple, keyed.join_per_key(many, one, ["k"], how).collect())) == want
+    with pytest.raises(ValueError):
+        keyed.join_per_key(many, one, ["k"], "full")
+
+
+def test_hot_key_is_split_by_measured_bytes(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        many = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 10 < 9, 0).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+        joined = keyed.join_per_key(many, spark.range(200_000).select(F.col("id").alias("k"), F.lit(1).alias("one")), ["k"], "inner")
+        assert len(joined.collect()) == 200_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_snapshot_as_of(spark):
@@ -388,7 +406,7 @@ def test_manifest_merge_and_totals(spark):
     merged = manifest.merge(m1, m2)
     assert {r["path"]: r["sha256"] for r in merged.collect()}["part-00002.parquet"] == "def"
     assert tuple(manifest.totals(merged).first())[2:] == (3, 600, 6000)
-    assert {r["sha256"] for r in manifest.add_files(m1, m2).collect()} == {"abc", "dup", "ghi"}
+    assert {r["sha256"] for r in manifest.merge(m2, m1).collect()} == {"abc", "dup", "ghi"}
 
 
 def test_manifest_json_roundtrip(spark):

@@ -18,10 +18,10 @@ def duck():
 
 
 def test_each_query_has_sql():
-    assert set(oracle.contract.queries()) == set(oracle.contract.oracle_sql())
+    assert set(oracle.contract.QUERIES) == set(oracle.contract.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle.contract.queries()))
+@pytest.mark.parametrize("name", sorted(oracle.contract.QUERIES))
 def test_same_rows(spark, duck, name):
     assert oracle.compare(spark, duck, name, SF) is None
 
