@@ -27,7 +27,7 @@ from floodmark.llm.base import keep, query, table
 from floodmark.llm.words import U64, mix, named
 
 #: Rows that the word list and the scorer are fitted on, at most.
-FIT_ROWS = 20_000
+FIT_ROWS = 12_000
 #: Words of the list, at most, and documents that must have a word.
 LIST_WORDS, LIST_SEEN = 4000, 5
 HASH_BITS = 18
