@@ -365,6 +365,68 @@ def sync_schema_change(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _two_runs(spark: SparkSession, sf: str, label: str, first) -> tuple[Lake, TableSource]:
+    """A lake of orders after two runs: all days as ``first`` makes them, then those from the 15th on."""
+    orders = base.table(spark, sf, "orders")
+    moved = F.col("o_orderdate") + F.expr("INTERVAL 3650 DAYS")
+    changed = F.when(F.dayofmonth("o_orderdate") >= 15, moved).otherwise(F.col("o_orderdate"))
+    frames = first(orders).withColumn("changed_at", F.col("o_orderdate")), orders.withColumn("changed_at", changed)
+    lake = Lake(spark, fresh_dir(spark, label))
+    for k, frame in enumerate(frames, 1):
+        source = TableSource("shop", "orders", frame, "o_orderdate", "changed_at")
+        lake.sync([source], f"r{k}", f"2024-02-0{k} 00:00:00", days=365)
+    return lake, source
+
+
+_BY_STATUS = """select o_orderstatus, count(*) as n, sum(o_orderkey)::bigint as keys,
+  min(o_orderkey) as first_key from orders group by 1"""
+
+
+def _by_status(df: DataFrame) -> DataFrame:
+    return df.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.min("o_orderkey").alias("first_key")
+    )
+
+
+@query(
+    """select strftime(ts, '%Y%m%d') as partition_id, count(*) as row_count, min(event_id) as first_event
+    from events where dayofmonth(ts) % 2 = 0 group by 1"""
+)
+def export_scattered_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Every other day is planned: as many ranges as days, and nothing between them is read."""
+    events = base.events(spark, sf)
+    plan = batches.label_batches(batches.assign_batches(discovery.discover(events), 7))
+    even = plan.where(F.substring("partition_id", 7, 2).cast("int") % 2 == 0)
+    rows = export.assign_rows(events, even)
+    return rows.groupBy("partition_id").agg(F.count(F.lit(1)).alias("row_count"), F.min("event_id").alias("first_event"))
+
+
+@query("""select 'shop' as dataset, 'orders' as "table", count(*) as row_count from orders""")
+def totals_after_reexport(spark: SparkSession, sf: str) -> DataFrame:
+    """Days exported twice count once."""
+    lake, _ = _two_runs(spark, sf, "reexport", lambda orders: orders)
+    return manifest.totals(lake.manifest()).select("dataset", "table", "row_count")
+
+
+@query(_BY_STATUS)
+def sync_type_widened(spark: SparkSession, sf: str) -> DataFrame:
+    """INT became BIGINT: a version of its own, and all rows are read."""
+    narrow = lambda orders: orders.withColumn("o_orderkey", F.col("o_orderkey").cast("int"))
+    lake, source = _two_runs(spark, sf, "widened", narrow)
+    return _by_status(lake.read(source))
+
+
+@query(_BY_STATUS)
+def ack_changes_read(spark: SparkSession, sf: str) -> DataFrame:
+    """STRING became BIGINT, which breaks readers: they get BIGINT once that is acknowledged."""
+    text = lambda orders: orders.withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
+    lake, source = _two_runs(spark, sf, "acked", text)
+    if dict(lake.read(source).dtypes)["o_orderkey"] != "string":
+        raise RuntimeError("a breaking version is in force before it was acknowledged")
+    lake.acknowledge("shop", "orders", 2, "2024-02-03 00:00:00")
+    return _by_status(lake.read(source))
+
+
 @query(
     """
     select 'logs' as dataset, 'events' as "table", 1 as schema_version,
