@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from floodmark.llm.words import U64
 
 #: Characters of text in a chunk, about; a chunk is what one task holds at a time.
-CHUNK_CHARS = 16 << 20
+CHUNK_CHARS = 8 << 20
 
 BLOCKS = "chunk int, bucket int, names binary, extra binary"
 ANSWERS = "chunk int, bucket int, answer binary"
@@ -69,11 +69,19 @@ def unpacked(blobs, columns: list[str]) -> pa.Table:
 
 def over_chunks(packed: DataFrame, fn: Callable, schema: str, answers: DataFrame | None = None) -> DataFrame:
     """fn(chunk, blobs[, answers as pandas]) -> pandas, for each chunk."""
-    if answers is None:
-        return packed.groupBy("chunk").applyInPandas(lambda left: fn(int(left["chunk"].iloc[0]), left["blob"]), schema)
+
+    def alone(left: pd.DataFrame) -> pd.DataFrame:
+        out = fn(int(left["chunk"].iloc[0]), left["blob"])
+        pa.default_memory_pool().release_unused()  # a worker lives on and may hold nothing of a chunk
+        return out
 
     def both(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return fn(int((left if len(left) else right)["chunk"].iloc[0]), left["blob"], right)
+        out = fn(int((left if len(left) else right)["chunk"].iloc[0]), left["blob"], right)
+        pa.default_memory_pool().release_unused()
+        return out
+
+    if answers is None:
+        return packed.groupBy("chunk").applyInPandas(alone, schema)
 
     return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(both, schema)
 

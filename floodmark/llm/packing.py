@@ -29,8 +29,8 @@ from floodmark.llm.words import split
 
 #: Pieces that one task packs at a time.
 SHARD = 50_000
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 400_000
+#: Words, and pieces of words, whose ids a Python worker remembers.
+REMEMBERED, PIECES = 300_000, 200_000
 SLAB = 300_000
 
 
@@ -66,7 +66,7 @@ class WordIds:
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             new = words
-        if len(self.pieces) > REMEMBERED:
+        if len(self.pieces) > PIECES:
             self.pieces.clear()
         hard = []
         for word in new:

@@ -37,7 +37,7 @@ ROUNDS_EM, EPOCHS = 40, 6
 REJECT = 0.6
 #: Chance that a given label is right.
 TRUST = 0.98
-SLAB = 2 << 20
+SLAB = 1 << 20
 
 # Bytes of words: digits, letters and everything beyond ASCII.
 _GAPS = np.ones(256, bool)

@@ -40,7 +40,7 @@ REACH = 2 + sum(ROUNDS[:-1])
 #: Shortest window in which an edge of the last round is sure to lie with all its reach.
 LEAST_WINDOW = 2 * REACH + ROUNDS[-1]
 #: Bytes that are worked on at a time, about.
-SLAB = 2 << 20
+SLAB = 1 << 20
 EDGE_BYTES = 6
 
 
