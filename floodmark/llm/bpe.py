@@ -41,23 +41,24 @@ _OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]"
 # Latin letters, perhaps with a blank in front and signs behind: two pieces at most.
 _PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 
+# A pair's code is its rank, its first position and the position after it, 23 bits for each
+# position: a word's least code is its leftmost pair of least rank.
 CONTRACT = """
 with recursive states(word, pos, token, done) as (
   select word, pos, token, false from tokens
   union all
-  select word, pos, case when pos = best % 16777216 then (best // 16777216)::int else token end, best is null
-  from (
-    select word, pos, token, lag(pos) over (partition by word order by pos) as before,
-           min(rank * 16777216 + pos) over (partition by word order by pos rows between unbounded preceding and unbounded following) as best
-    from (
-      select s.word, s.pos, s.token, m.rank
+  (
+    with pairs as (
+      select s.word, s.pos, s.token, m.rank * 70368744177664 + s.pos * 8388608::bigint + s.follows as code
       from (
-        select word, pos, token, lead(token) over (partition by word order by pos) as next
-        from states where not done
+        select word, pos, token, lead(token) over w as next, lead(pos) over w as follows
+        from states where not done window w as (partition by word order by pos)
       ) s left join merges m on m.left_token = s.token and m.right_token = s.next
-    )
+    ), best as (select word, min(code) as best from pairs group by word)
+    select p.word, pos, case when pos = best // 8388608 % 8388608 then (best // 70368744177664)::int else token end, best is null
+    from pairs p join best b on p.word = b.word
+    where best is null or pos <> best % 8388608
   )
-  where best is null or before is null or before <> best % 16777216
 )
 select word, string_agg(token::varchar, ',' order by pos) as ids, string_agg(hex, '' order by pos) as hex
 from states join vocabulary on id = token
