@@ -22,6 +22,8 @@ MIB = 1024 * 1024
 ZSTD_LEVEL = 9
 PAGE_BYTES = 1 * MIB
 DICTIONARY_BYTES = 2 * MIB
+GROUP_ROWS = 1_048_576
+FORMAT = "v2"
 TARGET_FILE_BYTES = 256 * MIB
 SMALLEST_FILE_BYTES = 64 * MIB
 LARGEST_FILE_BYTES = 2048 * MIB
@@ -36,12 +38,16 @@ SHUFFLE_TO_FILE = 3
 
 @dataclass(frozen=True)
 class Layout:
-    """How rows are spread over files. ``max_rows`` bounds a file whatever its bytes."""
+    """How rows are spread over files.
+
+    ``max_rows`` bounds a file whatever its bytes, ``group_rows`` a row group.
+    """
 
     codec: str = "zstd"
     level: int = ZSTD_LEVEL
     target_bytes: int = TARGET_FILE_BYTES
     max_rows: int = 0
+    group_rows: int = GROUP_ROWS
     cluster_by: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
@@ -83,6 +89,8 @@ def write_parquet(
         .option("compression", layout.codec)
         .option("parquet.page.size", PAGE_BYTES)
         .option("parquet.dictionary.page.size", DICTIONARY_BYTES)
+        .option("parquet.block.row.count.limit", layout.group_rows)
+        .option("parquet.writer.version", FORMAT)
     )
     if layout.codec == "zstd":
         writer = writer.option("parquet.compression.codec.zstd.level", layout.level)

@@ -367,3 +367,17 @@ def test_relative_paths_are_anchored(spark, root, path, want):
     from floodmark.sources.files import relative_path
 
     assert spark.range(1).select(relative_path(F.lit(path), root)).first()[0] == want
+
+
+def test_row_groups_are_bounded_in_rows(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "rows")
+    export.write_parquet(spark.range(0, 50_000, 1, 1), path, export.Layout(group_rows=10_000))
+    (file,) = (tmp_path / "rows").glob("*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    sizes = [groups.row_group(k).num_rows for k in range(groups.num_row_groups)]
+    assert sum(sizes) == 50_000 and max(sizes) <= 10_000
+    # Version 2 writes sorted numbers as differences.
+    assert "DELTA_BINARY_PACKED" in groups.row_group(0).column(0).encodings
+    assert spark.read.parquet(path).count() == 50_000
