@@ -26,11 +26,11 @@ BLOCKS = "chunk int, bucket int, names binary, extra binary"
 ANSWERS = "chunk int, bucket int, answer binary"
 
 
-def chunk_count(docs: DataFrame, text: str) -> int:
+def chunk_count(docs: DataFrame, text: str, size: int = CHUNK_CHARS) -> int:
     """Chunks of bounded size, at least as many as shuffle partitions."""
     chars = docs.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-chars // CHUNK_CHARS))
+    return max(least, -(-chars // size))
 
 
 def pack(docs: DataFrame, columns: list[str], chunks: int) -> DataFrame:
