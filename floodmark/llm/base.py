@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,20 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it.
+
+    A cluster that ships the library to its executors needs no more than that; this serves
+    sessions that were started from another folder.
+    """
+    own = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if own not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([own, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

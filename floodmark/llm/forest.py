@@ -128,11 +128,16 @@ def compare(rows: pd.DataFrame, cosine: float) -> tuple[pd.DataFrame, list[tuple
     codes = np.full((len(rows), width), np.iinfo(np.int64).max)
     for k, c in enumerate(rows["codes"]):
         codes[k, : len(c)] = c
-    own = np.zeros(len(i), bool)
-    for a in range(0, len(i), 20_000):
-        left, right = codes[i[a : a + 20_000]], codes[j[a : a + 20_000]]
+    # Vectors of a tight group mostly lie in the same leaves: kinds of leaf lists are compared.
+    kinds, kind = np.unique(codes, axis=0, return_inverse=True)
+    kind = kind.ravel()
+    met, pair = np.unique(kind[i] * len(kinds) + kind[j], return_inverse=True)
+    mine = np.zeros(len(met), bool)
+    for a in range(0, len(met), 4000):
+        left, right = kinds[met[a : a + 4000] // len(kinds)], kinds[met[a : a + 4000] % len(kinds)]
         common = (left[:, :, None] == right[:, None, :]).any(axis=2)
-        own[a : a + 20_000] = left[np.arange(len(left)), common.argmax(axis=1)] == here
+        mine[a : a + 4000] = left[np.arange(len(left)), common.argmax(axis=1)] == here
+    own = mine[pair.ravel()]
     number = rows["number"].to_numpy()
     n = np.bincount(i[own], weights=number[j[own]], minlength=len(rows)) + np.bincount(j[own], weights=number[i[own]], minlength=len(rows))
     label, cid = np.arange(len(rows)), rows["cid"].to_numpy()

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from floodmark.llm.base import keep, query, table
-from floodmark.llm.words import U64, encoded, named, windows
+from floodmark.llm.words import U64, encoded, in_slabs, named, windows
 
 # Phrases and their labels (fixed values).
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -49,7 +49,6 @@ PHRASE_K, TEMPLATE_K = 2, 3
 GAP = 4
 #: Share of a template's k-grams that a span needs, and share of its words that verify it.
 LEAST_VOTES, LEAST_WORDS = 0.4, 0.9
-SLAB = 1 << 20
 
 _GAPS = np.ones(256, bool)
 _GAPS[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
@@ -97,18 +96,16 @@ def scan(
 
     def rolling(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, since, size = [], 0, 0
-            for i, text in enumerate(batch["text"]):
-                texts.append(encoded(text).lower())
-                size += len(texts[-1])
-                if size >= SLAB or i + 1 == len(batch):
-                    out = []
-                    for (n, two), (_, three) in zip(grams(texts, PHRASE_K), grams(texts, TEMPLATE_K), strict=True):
-                        found = np.concatenate([_tagged(two, PHRASE_K), _tagged(three, TEMPLATE_K)]).view(np.int64)
-                        out.append((n, len(two), found))
-                    more = pd.DataFrame(out, columns=["words", "n_two", "grams"], index=batch.index[since : i + 1])
-                    yield pd.concat([batch[["key", "id"]].iloc[since : i + 1], more], axis=1)
-                    texts, since, size = [], i + 1, 0
+            since = 0
+            for texts in in_slabs([encoded(t).lower() for t in batch["text"]]):
+                out = []
+                for (n, two), (_, three) in zip(grams(texts, PHRASE_K), grams(texts, TEMPLATE_K), strict=True):
+                    found = np.concatenate([_tagged(two, PHRASE_K), _tagged(three, TEMPLATE_K)]).view(np.int64)
+                    out.append((n, len(two), found))
+                rows = batch[["key", "id"]].iloc[since : since + len(texts)]
+                more = pd.DataFrame(out, columns=["words", "n_two", "grams"], index=rows.index)
+                yield pd.concat([rows, more], axis=1)
+                since += len(texts)
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = flat.mapInPandas(rolling, f"key long, id {kind}, words long, n_two int, grams array<long>")
@@ -175,7 +172,8 @@ def _count(text):
 
     @F.pandas_udf("long")
     def count(texts: pd.Series) -> pd.Series:
-        return pd.Series([int(n) for n in np.diff(named([encoded(t).lower() for t in texts], _GAPS)[1])], dtype="int64")
+        counts = [np.diff(named(some, _GAPS)[1]) for some in in_slabs([encoded(t).lower() for t in texts])]
+        return pd.Series(np.concatenate(counts) if counts else [], dtype="int64")
 
     return count(text)
 

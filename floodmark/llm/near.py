@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from floodmark.llm.base import keep, query, table
 from floodmark.llm.components import components
-from floodmark.llm.words import U64, encoded, mix, named, windows
+from floodmark.llm.words import U64, encoded, in_slabs, mix, named, windows
 
 BANDS, ROWS = 25, 5
 HASHES = 128
@@ -46,9 +46,10 @@ _SHIFT = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 
 def shingles(texts: list, width: int) -> Iterator[np.ndarray]:
     """Sorted distinct names of the shingles of each whole text, in turn."""
-    names, bounds = named([encoded(t).lower() for t in texts])
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        yield np.unique(windows(names[a:b], min(width, b - a))) if b > a else names[a:b]
+    for some in in_slabs([encoded(t).lower() for t in texts]):
+        names, bounds = named(some)
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield np.unique(windows(names[a:b], min(width, b - a))) if b > a else names[a:b]
 
 
 def minima(names: np.ndarray) -> np.ndarray:

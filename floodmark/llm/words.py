@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 U64 = np.uint64
@@ -59,6 +61,16 @@ def named(texts: list[bytes], gaps: np.ndarray = WHITE, joiner: bytes = b" ", he
     return names, np.searchsorted(starts, first)
 
 
+def in_slabs(texts: list[bytes], size: int = 1 << 19) -> Iterator[list[bytes]]:
+    """Whole texts, some ``size`` bytes at a time: what naming them takes is many times that."""
+    since, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text)
+        if held >= size or i + 1 == len(texts):
+            yield texts[since : i + 1]
+            since, held = i + 1, 0
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread all bits of 64-bit values (one to one)."""
     x = x ^ (x >> U64(30))
