@@ -31,11 +31,11 @@ from floodmark.llm.components import components
 from floodmark.llm.near import by_key
 from floodmark.llm.topk import valid
 
-TREES = 10
+TREES = 8
 #: Overlap to both sides of a threshold, on unit vectors.
 SPILL = 0.03
 #: Vectors of a leaf or block, sampled vectors that fit a node, levels of a round, most rounds.
-LEAF, SAMPLE, LEVELS, ROUNDS = 1024, 4000, 4, 12
+LEAF, SAMPLE, LEVELS, ROUNDS = 2048, 4000, 4, 12
 
 
 def units(vectors) -> np.ndarray:
@@ -77,7 +77,7 @@ def leaves(classes: DataFrame, trees: int, spill: float, leaf: int) -> DataFrame
     rows = classes.withColumn("tree", tree).select("cid", "embedding", F.xxhash64("label", "dim", "tree").alias("leaf"))
     done, most = [], None
     for turn in range(ROUNDS):
-        rows = keep(rows, "leaves")
+        rows = keep(rows, "leaves") if turn else rows  # roots are made again from the classes
         sizes = rows.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > leaf)
         sizes = keep(sizes, "large-leaves")
         largest = sizes.agg(F.max("n")).first()[0]
@@ -174,7 +174,7 @@ def near_vectors(
     classes = good.groupBy("label", "embedding").agg(F.min("id").alias("rep"), F.count("*").alias("number"))
     classes = keep(classes.withColumns({"dim": F.size("embedding"), "cid": F.monotonically_increasing_id()}), "classes")
 
-    placed = keep(leaves(classes, trees, spill, leaf), "leaves")
+    placed = leaves(classes, trees, spill, leaf)
     codes = placed.groupBy("cid").agg(F.sort_array(F.collect_set("leaf")).alias("codes"))
     sizes = placed.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(leaf)).cast("int").alias("n_blocks"), F.count("*").alias("n")).where("n > 1")
     rows = placed.join(sizes.drop("n"), "leaf").join(codes, "cid").join(classes.select("cid", "number"), "cid")
