@@ -169,13 +169,13 @@ def top_k(
 
 ORACLE = """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(1024 * x::double)::bigint) as v, len(embedding) as dim
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v, len(embedding) as dim
   from embeddings
   where vec_id is not null and embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), p as (
   select q.vec_id as query_id, c.vec_id,
-         list_sum(list_transform(range(1, q.dim + 1), i -> q.v[i] * c.v[i]))::bigint as score
+         list_sum(list_transform(range(1, q.dim + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
   from v q join v c on q.dim = c.dim and q.vec_id <> c.vec_id where q.vec_id % 100 = 0
 )
 select query_id, rank::integer as rank, vec_id, score
