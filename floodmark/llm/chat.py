@@ -97,23 +97,22 @@ def best_paths(messages: DataFrame, best: int = 1) -> DataFrame:
     n = nodes.count()
     # state: what lies between a message and the root as far as the jumps have come
     state = nodes.select("node", F.col("parent").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("length"))
-    jumps = []
-    while (1 << len(jumps)) <= max(n, 1):
-        state = keep(state, "jumps")
-        jumps.append(state.where("up is not null").select("node", "up"))
-        if not jumps[-1].take(1):
-            jumps.pop()
-            break
-        above = state.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("total").alias("more"), F.col("length").alias("steps"))
-        state = state.join(above, "up", "left").select(
-            "node",
-            F.col("next").alias("up"),
-            (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-            (F.col("length") + F.coalesce("steps", F.lit(0))).alias("length"),
+    state = keep(state, "jumps")
+    jumps, done, going = [], state.where("up is null"), state.where("up is not null")
+    # Only messages that have not reached their root are joined again.
+    while (1 << len(jumps)) <= max(n, 1) and going.take(1):
+        jumps.append(going.select("node", "up"))
+        above = going.unionByName(done).select(
+            F.col("node").alias("up"), F.col("up").alias("next"), F.col("total").alias("more"), F.col("length").alias("steps")
         )
+        further = going.join(above, "up").select(
+            "node", F.col("next").alias("up"), (F.col("total") + F.col("more")).alias("total"), (F.col("length") + F.col("steps")).alias("length")
+        )
+        further = keep(further, "jumps")
+        done, going = done.unionByName(further.where("up is null")), further.where("up is not null")
     parents = nodes.where("parent is not null").select(F.col("parent").alias("node")).distinct()
     leaves = nodes.join(parents, "node", "left_anti").select("tree", F.col("node").alias("leaf"))
-    rooted = state.where("up is null").select(F.col("node").alias("leaf"), (F.col("total") / F.col("length")).alias("mean"))
+    rooted = done.select(F.col("node").alias("leaf"), (F.col("total") / F.col("length")).alias("mean"))
     # The limit on the rank also holds before the shuffle: a tree sends a few leaves per task.
     order = Window.partitionBy("tree").orderBy(F.desc("mean"), "leaf")
     path = leaves.join(rooted, "leaf").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
