@@ -107,6 +107,22 @@ def long(data: bytes, width: int) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(U64)
 
 
+def close(names: np.ndarray) -> bytes:
+    """Sorted names with all 64 bits: their upper 3 bytes by steps, mostly of one byte, then the lower 5."""
+    upper = names >> U64(40)
+    return int(upper[0]).to_bytes(3, "little") + narrow(np.diff(upper, prepend=upper[:1])) + np.ascontiguousarray(names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def open_up(data: bytes) -> np.ndarray:
+    """Names as written by close()."""
+    width = data[3]
+    n = (len(data) - 4) // (width + 5)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8, offset=4 + n * width).reshape(n, 5)
+    upper = np.cumsum(np.frombuffer(data, f"<u{width}", offset=4, count=n), dtype=U64) + U64(int.from_bytes(data[:3], "little"))
+    return out.reshape(-1).view("<u8").astype(U64) | (upper << U64(40))
+
+
 def cut(names: np.ndarray, width: int) -> np.ndarray:
     """Names as ``width`` bytes hold them."""
     return names if width == 8 else names & ~U64((1 << (64 - 8 * width)) - 1)
@@ -122,9 +138,12 @@ def slices(names: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
         yield int(bucket[a]), int(a), int(b)
 
 
-def blocks(chunk: int, buckets: int, names: np.ndarray, extra: Callable[[int, int], bytes], width: int = 8) -> pd.DataFrame:
-    """Blocks of sorted names; ``extra(a, b)`` gives what goes along with names a to b."""
-    rows = [(chunk, k, short(names[a:b], width), extra(a, b)) for k, a, b in slices(names, buckets)]
+def blocks(chunk: int, buckets: int, names: np.ndarray, extra: Callable[[int, int], bytes], width: int | None = 8) -> pd.DataFrame:
+    """Blocks of sorted names; ``extra(a, b)`` gives what goes along with names a to b.
+
+    Without a width the names are as close() writes them.
+    """
+    rows = [(chunk, k, short(names[a:b], width) if width else close(names[a:b]), extra(a, b)) for k, a, b in slices(names, buckets)]
     return pd.DataFrame(rows, columns=["chunk", "bucket", "names", "extra"])
 
 

@@ -12,6 +12,9 @@ then sends what its contexts' first-seen n-grams add up to and gets the contexts
 first chunk of a bucket that sent an n-gram counts it for its context, so each is counted
 once. A token's chance is evaluated from the longest context down.
 
+Names travel with all their 64 bits (see exchange.close): an n-gram of a corpus with N distinct
+ones shares its count with another by a chance of N / 2**64, which is 1e-9 at N = 2e10.
+
 Defined results: null text is empty and has the end token alone; rows of a null id are training rows;
 rows of equal id are rows; without training rows all chances are those of the unknown class.
 """
@@ -33,20 +36,11 @@ from floodmark.llm.words import U64, encoded, mix, named
 DISCOUNTED = 5
 #: Characters of a chunk: a larger one sends fewer n-grams twice.
 CHUNK_CHARS = 16 << 20
-#: Bytes of a name that travel, of words and of longer n-grams and contexts. The bucket adds its
-#: number: a bucket has some million names whatever the corpus, so one n-gram in a million
-#: shares its count with another; words, whose counts are reported, practically never do.
-WORD_BYTES, GRAM_BYTES = 7, 5
 _START, _END = U64(0x243F6A8885A308D3), U64(0x13198A2E03707344)
 
 ANSWERS = "chunk int, bucket int, answer binary, stats array<long>"
 
 
-def width(kind: int) -> int:
-    """Name bytes of a kind of blocks: words, longer n-grams by order, then contexts."""
-    return GRAM_BYTES if kind else WORD_BYTES
-
-
 def discounts(seen: np.ndarray) -> np.ndarray:
     """Factors of the counts 1 to DISCOUNTED; ``seen[r]`` n-grams occur r times."""
     k, out = DISCOUNTED, np.ones(DISCOUNTED + 1)
@@ -101,9 +95,9 @@ class Chunk:
             if k:  # the word k places back, or the start, goes in front of the context
                 back = np.where(place >= k, np.roll(tokens, k), _START)
                 context = back if k == 1 else mix(context * U64(0x9E3779B97F4A7C15) + back)
-                self.contexts.append(X.cut(mix(context), GRAM_BYTES))
+                self.contexts.append(mix(context))
             gram = mix(tokens) if not k else mix(mix(context) * U64(0xD1B54A32D192ED03) + tokens)
-            names, inverse, counts = grouped(X.cut(gram, width(k)), self.train)
+            names, inverse, counts = grouped(gram, self.train)
             self.names.append(names), self.inverse.append(inverse), self.counts.append(counts)
 
 
@@ -119,11 +113,10 @@ def grouped(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.nda
     return ordered[new], inverse, np.bincount(group, weights=weights[order], minlength=int(new.sum()))
 
 
-def add_up(rows: pd.DataFrame, chunks: int) -> pd.DataFrame:
+def add_up(rows: pd.DataFrame) -> pd.DataFrame:
     """Corpus counts of a bucket's n-grams for each block, who counts them, and counts of counts."""
     rows = rows.sort_values("chunk", ignore_index=True)
-    wide = width(int(rows["bucket"].iloc[0]) // chunks)
-    parts = [X.long(x, wide) for x in rows["names"]]
+    parts = [X.open_up(x) for x in rows["names"]]
     sizes = [len(p) for p in parts]
     counts = np.concatenate([X.widen(x) for x in rows["extra"]])
     order = np.argsort(np.concatenate(parts), kind="stable")  # earlier chunks first
@@ -168,7 +161,7 @@ def read(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def add_up_contexts(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("chunk", ignore_index=True)
-    parts = [X.long(x, GRAM_BYTES) for x in rows["names"]]
+    parts = [X.open_up(x) for x in rows["names"]]
     sizes = [len(p) for p in parts]
     sums = [read(x, n) for x, n in zip(rows["extra"], sizes, strict=True)]
     _, group = np.unique(np.concatenate(parts), return_inverse=True)
@@ -225,7 +218,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     packed = X.pack(docs.select(F.col(f"`{id_col}`").alias("id"), held.alias("held"), F.col(f"`{text_col}`").alias("text")), columns, chunks)
 
     def kind_blocks(chunk: int, kind: int, names: np.ndarray, extra) -> pd.DataFrame:
-        out = X.blocks(chunk, chunks, names, extra, width(kind))
+        out = X.blocks(chunk, chunks, names, extra, width=None)
         return out.assign(bucket=out["bucket"] + kind * chunks)
 
     def send_grams(chunk: int, blobs) -> pd.DataFrame:
@@ -234,7 +227,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         return pd.concat(sent, ignore_index=True)
 
     sent = X.over_chunks(packed, send_grams, X.BLOCKS)
-    known = keep(sent.groupBy("bucket").applyInPandas(lambda rows: add_up(rows, chunks), ANSWERS), "ngrams")
+    known = keep(sent.groupBy("bucket").applyInPandas(add_up, ANSWERS), "ngrams")
     kind = F.floor(F.col("bucket") / chunks).cast("int").alias("kind")
     sums = known.where("chunk = -1").select(kind, F.posexplode("stats")).groupBy("kind", "pos").agg(F.sum("col").alias("n")).collect()
     stats = np.zeros((order, DISCOUNTED + 3), np.int64)  # occurrences, distinct, seen once, twice, ...

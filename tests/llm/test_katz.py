@@ -6,7 +6,7 @@ from zlib import crc32
 import numpy as np
 import pytest
 
-from floodmark.llm import katz
+from floodmark.llm import exchange, katz
 
 END, START = "</end>", "<start>"
 
@@ -95,3 +95,23 @@ def test_no_training_rows_and_empty_table(spark):
     (r,) = katz.score(docs).collect()
     assert tuple(r) == (held, True, 3, 0, 0, 0.0, 0.0)
     assert katz.score(docs.limit(0)).collect() == []
+
+
+def test_bigrams_with_equal_upper_bytes_are_told_apart(spark):
+    # The names of (start, n1381280) and (start, n284381) share their upper 40 bits, as do those of the contexts c and d.
+    train = [i for i in range(60) if crc32(str(i).encode()) % 7 != 2]
+    c, d = "n554803", "n1331045"
+    texts = ["n1381280"] * 5 + ["n284381"] * 2 + [f"{c} x"] * 7 + [f"{d} y x"] * 3
+    rows = [*zip(train, texts), (1000 + next(i for i in range(100) if crc32(str(1000 + i).encode()) % 7 == 2), f"n284381 {d} x {c} y")]
+    got = sorted(map(tuple, katz.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    want = sorted(brute(rows, 2)[0])
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert np.allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-9)
+
+
+def test_close_names_come_back_whole():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 1000):
+        for high in (1 << 20, 1 << 45, 1 << 63):
+            names = np.sort(rng.integers(0, high, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+            assert (exchange.open_up(exchange.close(names)) == names).all()
