@@ -16,9 +16,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
-    gone = near.near_duplicates(docs, width=5, percent=80).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near duplicates, that with the smallest id (a null id last).
+
+    Rows are judged, not ids: repeated ids and null ids are rows like others. Their keys are a
+    table, so all steps see the same ones.
+    """
+    rows = keep(docs.select(F.monotonically_increasing_id().alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "rows")
+    found = near.near_duplicates(rows.select("key", "row.text"), id_col="key", width=5, percent=80)
+    grouped = keep(found.select("key", "component_id"), "near-rows")
+    groups = grouped.where("key != component_id").select("component_id").distinct()
+    members = grouped.join(groups, "component_id").join(rows.select("key", F.col("row.doc_id").alias("doc_id")), "key")
+    stays = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("least"))
+    gone = members.select("key").join(stays.select(F.col("least.key").alias("key")), "key", "left_anti")
+    return rows.join(gone, "key", "left_anti").select("row.*")
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

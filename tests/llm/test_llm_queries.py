@@ -45,3 +45,29 @@ def test_pipeline_stages(spark):
 def test_one_row_per_document(spark, name):
     got = oracle.contract.queries()[name](spark, SF)
     assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_repeated_rows_stay_once_in_the_pipeline(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    plain = corpus_pipeline.run(spark, SF).select("doc_id").distinct()
+    clean = labels.where("quality = 1 and toxic = 0").join(plain, "doc_id").join(docs, "doc_id").where("size(split(text, ' ')) >= 40")
+    a, b, c, d = [r.doc_id for r in clean.orderBy("doc_id").limit(4).collect()]
+    again = docs.where(f"doc_id = {a}")  # the same row twice under one id
+    nulls = docs.where(f"doc_id = {b}").withColumn("doc_id", F.lit(None).cast("long"))  # copies under null ids only
+    copy = docs.where(f"doc_id = {c}").withColumn("doc_id", F.lit(-1).cast("long"))  # c's text under a smaller id, ...
+    other = docs.where(f"doc_id = {d}").withColumn("doc_id", F.lit(c).cast("long"))  # ... and d's text under c's id
+    rows = docs.where(f"doc_id not in ({b}, {d})").unionByName(again).unionByName(nulls).unionByName(nulls).unionByName(copy).unionByName(other)
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+
+    stage = corpus_pipeline.near_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    texts = {i: docs.where(f"doc_id = {i}").first().text for i in (a, b, c, d)}
+    kept = [(r.doc_id, r.text) for r in stage.collect()]
+    assert [sum(t == texts[i] for _, t in kept) for i in (a, b, c, d)] == [1, 1, 1, 1]
+    assert (-1, texts[c]) in kept and (c, texts[d]) in kept and (None, texts[b]) in kept
+
+    out = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
+    assert {a, None, -1, c} <= out
