@@ -26,7 +26,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodmark.llm.base import keep, query, table
@@ -69,8 +69,13 @@ def digest(names: np.ndarray) -> bytes:
     return np.array(parts, "<u8").tobytes()
 
 
+def text_key(text_col: str) -> Column:
+    """What tells the texts of one id apart."""
+    return F.unhex(F.md5(F.col(f"`{text_col}`").cast("binary"))).alias("text_key")
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """id, n_shingles, digest of the set, minima."""
+    """id, n_shingles, digest of the set, minima, key of the text."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -78,10 +83,10 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
             for names in shingles(list(batch["text"]), width):
                 out.append((len(names), digest(names), minima(names).astype("<u4").tobytes()))
             more = pd.DataFrame(out, columns=["n_shingles", "digest", "minima"], index=batch.index)
-            yield pd.concat([batch[["id"]], more], axis=1)
+            yield pd.concat([batch[["id"]], more, batch[["text_key"]]], axis=1)
 
-    inner = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return inner.mapInPandas(rows, "id long, n_shingles long, digest binary, minima binary")
+    inner = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), text_key(text_col))
+    return inner.mapInPandas(rows, "id long, n_shingles long, digest binary, minima binary, text_key binary")
 
 
 @lru_cache
@@ -135,15 +140,10 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def links(rows: pd.DataFrame, width: int, percent: int, miss: float) -> list[tuple[int, int]]:
     """A forest of confirmed links of one block. ``side``: 1 are compared with all; ``own``: known components."""
-    rows = rows.drop_duplicates(["rep", "digest"]).sort_values("rep", ignore_index=True)
-    sets, keep_rows = [], []
-    for i, (names, known) in enumerate(zip(shingles(list(rows["text"]), width), rows["digest"], strict=True)):
-        if digest(names) == known:  # else a row with the same id and another text
-            sets.append(names)
-            keep_rows.append(i)
-    rows = rows.iloc[keep_rows].reset_index(drop=True)
     if len(rows) < 2:
         return []
+    rows = rows.sort_values(["rep", "digest"], ignore_index=True)
+    sets = list(shingles(list(rows["text"]), width))
     least = least_matches(percent, miss)
     minima_of = np.stack([np.frombuffer(x, "<u4") for x in rows["minima"]])
     reps, compares, turn = rows["rep"].tolist(), rows["side"].to_numpy() == 1, np.arange(len(rows))
@@ -207,7 +207,10 @@ def near_duplicates(
     """id, n_shingles, component_id, kept; links need 100 * shared >= percent * union."""
     marks = keep(sketch(docs, id_col, text_col, width), "sketch")
     classes = keep(
-        marks.where("n_shingles > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.first("minima").alias("minima")),
+        marks.where("n_shingles > 0 and id is not null")
+        .groupBy("digest")
+        .agg(F.min(F.struct("id", "text_key")).alias("least"), F.first("minima").alias("minima"))
+        .select("digest", F.col("least.id").alias("rep"), "least.text_key", "minima"),
         "classes",
     )
     step = 4 * ROWS
@@ -217,12 +220,15 @@ def near_duplicates(
     near = bands.join(shared, "band").where("rep != center").select(F.col("rep").alias("a"), F.col("center").alias("b"))
     parts = keep(components(near), "parts").withColumnRenamed("component", "part")
 
-    sizes = parts.groupBy("part").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("n_blocks"))
-    placed = parts.join(sizes, "part").select("part", F.col("node").alias("rep"), "n_blocks")
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int")).join(classes, "rep")
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("rep"), F.col(f"`{text_col}`").alias("text"))
-    # The smaller rows are hashed per partition; the texts are neither sorted nor broadcast.
-    members = keep(texts.join(placed.hint("shuffle_hash"), "rep"), "members")
+    # An id may stand for several classes; each goes on with the text that has its set.
+    nodes = parts.withColumnRenamed("node", "rep").join(classes, "rep")
+    sizes = nodes.groupBy("part").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("n_blocks"))
+    dealt = F.xxhash64("rep", "digest")
+    placed = nodes.join(sizes, "part").withColumn("block", F.pmod(dealt, F.col("n_blocks")).cast("int"))
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("rep"), F.col(f"`{text_col}`").alias("text"), text_key(text_col))
+    # Repeated rows are one before the texts move.
+    texts = texts.where("rep is not null and text is not null").dropDuplicates(["rep", "text_key"])
+    members = keep(texts.join(placed.hint("shuffle_hash"), ["rep", "text_key"]).drop("text_key"), "members")
 
     to = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("n_blocks") - 1)).otherwise(F.array("block"))
     first = members.withColumns({"block_a": F.explode(to), "block_b": F.lit(-1), "own": F.col("rep"), "side": F.lit(1)})
@@ -238,9 +244,10 @@ def near_duplicates(
         main = groups.groupBy("part").agg(F.max_by("own", F.struct("n", "own")).alias("main"), F.count("*").alias("groups"))
         rest = owned.join(main.where("groups > 1"), "part").select("part", "rep", "own", (F.col("own") != F.col("main")).alias("outside"))
         rest = keep(rest, "rest")
-        outside = rest.where("outside").groupBy("part").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("n_outside"))
+        left = members.select("part", "rep").join(rest.where("outside").select("rep"), "rep")
+        outside = left.groupBy("part").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("n_outside"))
         again = members.join(rest.join(outside, "part").drop("part"), "rep")
-        again = again.withColumn("row_block", F.pmod(F.xxhash64("rep"), F.col("n_outside")).cast("int"))
+        again = again.withColumn("row_block", F.pmod(dealt, F.col("n_outside")).cast("int"))
         rows = again.where("outside").withColumns({"block_a": F.col("row_block"), "block_b": F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)), "side": F.lit(1)})
         columns = again.withColumns({"block_a": F.explode(F.sequence(F.lit(0), F.col("n_outside") - 1)), "block_b": F.col("block"), "side": F.lit(0)})
         # A row that is on both sides of a task counts once, as one that is compared.

@@ -68,3 +68,19 @@ def test_pruning_bounds_follow_the_miss_probability():
     loose, strict = near.least_matches(85, 1e-2), near.least_matches(85, 1e-9)
     assert all(a > b for a, b in zip(loose, strict, strict=True)) and list(loose) == sorted(loose)
     assert near.least_matches(85, 1e-6)[-1] < 0.85 * near.HASHES
+
+
+@pytest.mark.parametrize("block", [512, 4])
+def test_each_text_of_an_id_reaches_its_near_copies(spark, block):
+    rng = random.Random(6)
+    rows = []
+    for k in range(12):  # two texts under id k, each the smallest of its class, each with a near copy
+        for side in (1, 2):
+            text = [f"w{k}x{side}x{rng.randrange(1000)}" for _ in range(60)]
+            rows += [(k, " ".join(text))] * rng.randint(1, 2)
+            rows.append((100 * side + k, " ".join([*text[:-1], "changed"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near.near_duplicates(docs, width=3, percent=85, block=block).collect()
+    want = brute(rows, 3, 85)
+    assert {r[2] for r in want} == set(range(12))
+    assert sorted(map(tuple, got), key=str) == want
