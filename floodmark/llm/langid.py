@@ -16,13 +16,14 @@ are not held out and not learned from; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,12 +149,15 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_r
     told = docs.where(has_letter(text) & F.col(f"`{lang_col}`").isNotNull())
     told = told.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), text.alias("text"), F.xxhash64(text).alias("mark"))
     # Texts count once however many copies they have; only their marks are shuffled.
-    marks = told.select("lang", "mark").distinct()
-    many = marks.select("lang").distinct().count()
-    each = max(1, fit_rows // max(1, many))
-    ranked = marks.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy("mark")))
-    last = ranked.where(F.col("turn") <= each).groupBy("lang").agg(F.max("mark").alias("last"))
-    chosen = told.join(last, "lang").where("mark <= last").groupBy("lang", "mark").agg(F.first("text").alias("text"))
+    counts = told.select("lang", "mark").distinct().groupBy("lang").count()
+    # One row for each language, and of more than ``fit_rows`` languages those with most texts.
+    counts = counts.orderBy(F.desc("count"), "lang").limit(fit_rows).collect()
+    each = max(1, fit_rows // max(1, len(counts)))
+    # Marks are spread evenly, so a bound on them gives a few more than wanted; the rest is cut below.
+    wanted = each + 8 * math.sqrt(each)
+    last = [(r.lang, int(min(1.0, wanted / r["count"]) * (1 << 64)) - (1 << 63) - 1) for r in counts]
+    last = docs.sparkSession.createDataFrame(last, "lang string, last long")
+    chosen = told.join(F.broadcast(last), "lang").where("mark <= last").groupBy("lang", "mark").agg(F.first("text").alias("text"))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,11 +169,13 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_r
                     langs.append(lang), marks.append(mark), cut.append(rows[k].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(marks, pa.int64()), pa.array(cut, pa.binary())], ["lang", "mark", "window"])
 
-    # At most FIT_ROWS * FIT_WINDOWS windows of 256 bytes.
+    # Some FIT_ROWS * FIT_WINDOWS windows of 256 bytes.
     found = sorted(chosen.mapInArrow(some, "lang string, mark long, window binary").collect())
     if not found:
         return None
     languages = sorted({r.lang for r in found})
+    smallest = {lang: set(sorted({r.mark for r in found if r.lang == lang})[:each]) for lang in languages}
+    found = [r for r in found if r.mark in smallest[r.lang]]
     rows = np.frombuffer(b"".join(bytes(r.window) for r in found), np.uint8).reshape(-1, WINDOW)
     return train(rows, np.array([languages.index(r.lang) for r in found]), languages)
 
