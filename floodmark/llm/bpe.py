@@ -5,10 +5,19 @@ DuckDB database in memory with the merge table: for every pair of tokens that ma
 the pair and its rank. Rows (word, position, token) of the words it has not met before are
 joined with it, and each word's leftmost pair of least rank is contracted, again and again,
 until no word has a pair left. Decoding joins ids with the vocabulary's bytes and aggregates
-them in order. A task remembers a bounded number of words, so it asks for new ones only.
-
-Defined results: null and empty texts have no ids; every row of the input gives a row; unknown ids
-in a list to decode, and null ids, are left out.
+them in order; the bytes that a round trip hashes are those that the ids decode to. A task
+remembers a bounded number of words, so it asks for new ones only.
+
+A word longer than ``SECTION`` bytes is contracted in sections that overlap by half, and two
+sections are joined at a token that both have at the same place. Every two neighbours of the
+result then are neighbours in the encoding of a section, and the encoding of a word is the one
+sequence of tokens of which this is true. Sections that have no token in common are made
+twice as long. So the work of a word is linear in its length, except for words whose sections
+agree nowhere, and a query holds a bounded number of rows.
+
+Defined results: null and empty texts have no ids; every row of the input gives a row, also where
+ids repeat, are null or exceed 2**53; texts and words of any length are encoded whole; unknown
+ids in a list to decode, and null ids, are left out; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,8 +26,9 @@ import base64
 import re
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import accumulate
 
-import pandas as pd
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +42,8 @@ PIECES, SEGMENTS = 1_000_000, 600_000
 #: Characters that are encoded at a time, about.
 SLAB = 4 << 20
 MEMORY = "400MB"
+#: Bytes of a section of a long word, and bytes that one query contracts, about.
+SECTION, CONTRACTED = 64, 1 << 17
 
 # Blank and line characters begin a new piece after any other character; so texts can be cut
 # there first, unless they hold other white space.
@@ -42,7 +54,8 @@ _OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]"
 _PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 
 # A pair's code is its rank, its first position and the position after it, 23 bits for each
-# position: a word's least code is its leftmost pair of least rank.
+# position (longer words are refused): a word's least code is its leftmost pair of least rank.
+LONGEST = 1 << 23
 CONTRACT = """
 with recursive states(word, pos, token, done) as (
   select word, pos, token, false from tokens
@@ -60,9 +73,7 @@ with recursive states(word, pos, token, done) as (
     where best is null or pos <> best % 8388608
   )
 )
-select word, string_agg(token::varchar, ',' order by pos) as ids, string_agg(hex, '' order by pos) as hex
-from states join vocabulary on id = token
-where done group by word
+select word, list(token order by pos) as ids from states where done group by word
 """
 
 DECODE = """
@@ -80,7 +91,8 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
         self.base = [self.ranks[bytes([b])] for b in range(256)]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
+        # Nothing is spilled to the worker's own disk: queries are bounded instead.
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         left, right, rank = [], [], []
         for token, r in self.ranks.items():
             for k in range(1, len(token)):
@@ -89,8 +101,9 @@ class Codec:
                     left.append(a), right.append(b), rank.append(r)
         self.fill("merges", left_token=pa.array(left, pa.int32()), right_token=pa.array(right, pa.int32()), rank=pa.array(rank, pa.int64()))
         self.fill("vocabulary", id=pa.array(self.ranks.values(), pa.int32()), hex=pa.array([t.hex() for t in self.ranks]))
-        self.words: dict[str, bytes] = {}  # ids, a bar, bytes
-        self.ids: dict[str, bytes] = {}
+        self.length = {r: len(t) for t, r in self.ranks.items()}
+        self.words: dict[str, list[int]] = {}
+        self.ids: dict[str, bytes] = {}  # decimals joined by commas
         self.bytes: dict[str, bytes] = {}
 
     def fill(self, name: str, **columns: pa.Array) -> None:
@@ -98,8 +111,67 @@ class Codec:
         self.db.execute(f"create or replace table {name} as select * from given")
         self.db.unregister("given")
 
-    def contract(self, words: list[str]) -> None:
-        """Remember ids and bytes of new words."""
+    def contract(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of words, some at a time."""
+        out, since, held = [], 0, 0
+        for i, word in enumerate(words):
+            held += len(word)
+            if held >= CONTRACTED or i + 1 == len(words):
+                out += self._contract(words[since : i + 1])
+                since, held = i + 1, 0
+        return out
+
+    def _contract(self, words: list[bytes]) -> list[list[int]]:
+        if max(map(len, words)) >= LONGEST:
+            raise ValueError(f"{LONGEST} bytes without a place to cut them")
+        sizes = np.array([len(w) for w in words])
+        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        pos = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        token = np.array(self.base, np.int32)[np.frombuffer(b"".join(words), np.uint8)]
+        self.db.register("tokens", pa.table({"word": word, "pos": pos.astype(np.int32), "token": token}))
+        out: list[list[int]] = [[] for _ in words]
+        for k, ids in self.db.execute(CONTRACT).fetchall():
+            out[k] = ids
+        self.db.unregister("tokens")
+        return out
+
+    def encode_words(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of words of any length."""
+        out: list[list[int] | None] = [None] * len(words)
+        open_words, size = list(range(len(words))), SECTION
+        while open_words:
+            sections = {k: [words[k][a : a + size] for a in range(0, max(len(words[k]) - size // 2, 1), size // 2)] for k in open_words}
+            found = iter(self.contract([s for k in open_words for s in sections[k]]))
+            for k in open_words:
+                out[k] = self.joined([next(found) for _ in sections[k]], size // 2)
+            open_words, size = [k for k in open_words if out[k] is None], 2 * size
+        return out
+
+    def joined(self, sections: list[list[int]], step: int) -> list[int] | None:
+        """Ids of a word from those of its sections, each ``step`` bytes after the one before; None if two agree nowhere."""
+        ids = sections[0]
+        places = list(accumulate([0, *map(self.length.__getitem__, ids)]))[:-1]
+        for k, other in enumerate(sections[1:], 1):
+            known = {}
+            for i in range(len(ids) - 1, -1, -1):
+                if places[i] < k * step:
+                    break
+                known[places[i], ids[i]] = i
+            at = k * step
+            for j, token in enumerate(other):
+                i = known.get((at, token))
+                if i is not None:
+                    del ids[i:], places[i:]
+                    ids += other[j:]
+                    places += accumulate([at, *map(self.length.__getitem__, other[j:-1])])
+                    break
+                at += self.length[token]
+            else:
+                return None
+        return ids
+
+    def learn_words(self, words: list[str]) -> None:
+        """Remember the ids of new words."""
         hard = []
         for word in words:
             data = word.encode("utf-8", "surrogatepass")
@@ -107,18 +179,9 @@ class Codec:
             if rank is None:
                 hard.append((word, data))
             else:  # a word that is a token is that token
-                self.words[word] = b"%d|%b" % (rank, data)
-        if not hard:
-            return
-        number, pos, token = [], [], []
-        for k, (_, data) in enumerate(hard):
-            number += [k] * len(data)
-            pos += range(len(data))
-            token += map(self.base.__getitem__, data)
-        self.db.register("tokens", pa.table({"word": pa.array(number, pa.int32()), "pos": pa.array(pos, pa.int32()), "token": pa.array(token, pa.int32())}))
-        for k, ids, hexed in self.db.execute(CONTRACT).fetchall():
-            self.words[hard[k][0]] = b"%b|%b" % (ids.encode(), bytes.fromhex(hexed))
-        self.db.unregister("tokens")
+                self.words[word] = [rank]
+        for (word, _), ids in zip(hard, self.encode_words([d for _, d in hard]), strict=True):
+            self.words[word] = ids
 
     def segments(self, text: str) -> list[str]:
         return self.pattern.findall(text) if _OTHER_SPACE.search(text) else _SEGMENT.findall(text)
@@ -135,11 +198,12 @@ class Codec:
         wanted = {p for found in pieces.values() for p in found}
         if len(self.words) + len(wanted) > PIECES:
             self.words.clear()
-        self.contract(list(wanted.difference(self.words)))
-        for segment, found in pieces.items():
-            known = [self.words[p].partition(b"|") for p in found]
-            self.ids[segment] = b",".join([k[0] for k in known])
-            self.bytes[segment] = b"".join([k[2] for k in known])
+        self.learn_words(list(wanted.difference(self.words)))
+        found_ids = [[i for p in found for i in self.words[p]] for found in pieces.values()]
+        # What a segment's ids decode to is remembered, not what they came from.
+        for segment, ids, data in zip(pieces, found_ids, self.decode(found_ids), strict=True):
+            self.ids[segment] = b",".join([b"%d" % i for i in ids])
+            self.bytes[segment] = data
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """Per text: its ids as decimals joined by commas, and the bytes that they decode to."""
@@ -151,11 +215,12 @@ class Codec:
     def decode(self, rows: list) -> list[bytes]:
         """The bytes of lists of ids."""
         out = [b""] * len(rows)
-        # A null among integers arrives as a float that differs from itself.
-        pairs = [(k, p, int(i)) for k, ids in enumerate(rows) if ids is not None for p, i in enumerate(ids) if i is not None and i == i]
-        if pairs:
-            row, pos, ids = zip(*pairs, strict=True)
-            self.db.register("ids", pa.table({"row": pa.array(row, pa.int64()), "pos": pa.array(pos, pa.int64()), "id": pa.array(ids, pa.int32())}))
+        sizes = np.array([0 if ids is None else len(ids) for ids in rows], np.int64)
+        if sizes.sum():
+            row = np.repeat(np.arange(len(rows)), sizes)
+            pos = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            ids = pa.array([i for some in rows if some is not None for i in some], pa.int32())
+            self.db.register("ids", pa.table({"row": row, "pos": pos, "id": ids}))
             for k, hexed in self.db.execute(DECODE).fetchall():
                 out[k] = bytes.fromhex(hexed)
             self.db.unregister("ids")
@@ -180,35 +245,38 @@ def _in_slabs(texts: list[str | None]) -> Iterator[list[str | None]]:
             since, size = i + 1, 0
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str, path: str, pattern: str, form, fields: list[T.StructField]) -> DataFrame:
+def _rows(docs: DataFrame, id_col: str, text_col: str, path: str, pattern: str, form, fields: list[T.StructField], kinds: list[pa.DataType]) -> DataFrame:
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *fields])
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
-            found = [form(*x) for texts in _in_slabs(batch["text"].tolist()) for x in own.encode(texts)]
-            more = pd.DataFrame(found, columns=[f.name for f in fields], index=batch.index)
-            yield pd.concat([batch[["id"]], more], axis=1)
+            since = 0
+            for texts in _in_slabs(batch.column("text").to_pylist()):
+                found = [form(*x) for x in own.encode(texts)]
+                # Ids of rows stay Arrow values: pandas would round large ones beside a null.
+                cells = [pa.array(list(c), t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(since, len(texts)), *cells], schema.names)
+                since += len(texts)
 
     inner = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return inner.mapInPandas(work, schema).withColumnRenamed("id", id_col)
+    return inner.mapInArrow(work, schema).withColumnRenamed("id", id_col)
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """id, ids: the token ids of each whole text."""
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     form = lambda ids, _: ([int(x) for x in ids.split(b",")] if ids else [],)
-    return _rows(docs, id_col, text_col, path, pattern, form, [T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return _rows(docs, id_col, text_col, path, pattern, form, [T.StructField("ids", T.ArrayType(T.IntegerType()))], [pa.list_(pa.int32())])
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """All columns, with ``decoded`` (binary) for each list of ids."""
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
-    @F.pandas_udf("binary")
-    def bytes_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(codec(path, pattern).decode(batch.tolist()), dtype=object)
+    @F.arrow_udf("binary")
+    def bytes_of(ids: pa.Array) -> pa.Array:
+        return pa.array(codec(path, pattern).decode(ids.to_pylist()), pa.binary())
 
     return rows.withColumn("decoded", bytes_of(F.col(f"`{ids_col}`")))
 
@@ -218,7 +286,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     form = lambda ids, data: (ids.count(b",") + 1 if ids else 0, sha256(ids).hexdigest(), sha256(data).hexdigest())
-    return _rows(docs, id_col, text_col, path, pattern, form, fields)
+    return _rows(docs, id_col, text_col, path, pattern, form, fields, [pa.int64(), pa.string(), pa.string()])
 
 
 @query()

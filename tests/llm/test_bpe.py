@@ -1,5 +1,6 @@
 import base64
 import random
+import time
 from hashlib import sha256
 
 import duckdb
@@ -49,6 +50,27 @@ def test_rows_and_decoding(spark, library):
     assert bpe.round_trip(docs.limit(0)).collect() == []
 
 
+def test_long_words_are_the_librarys(library):
+    rng = random.Random(5)
+    own = bpe.Codec(PATH, public_tokenizers.PATTERN)
+    tokens = sorted(own.ranks)
+    texts = ["".join(rng.choice(kind) for _ in range(n)) for n in (63, 64, 65, 96, 97, 129, 700, 3000) for kind in ("ab", "abc", "ABab01+/", "-=", "=", "日本語テスト", "éèà")]
+    texts += [b"".join(rng.choice(tokens) for _ in range(200)).decode("utf-8", "ignore").replace(" ", "") for _ in range(40)]
+    for text in texts:
+        ((ids, data),) = own.encode([text])
+        assert [int(x) for x in ids.split(b",")] == library.encode_ordinary(text), text[:80]
+        assert data == text.encode()
+
+
+def test_a_megabyte_without_a_blank(library):
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1 << 20))
+    start = time.monotonic()
+    ((ids, data),) = bpe.codec(PATH, public_tokenizers.PATTERN).encode([text])
+    assert time.monotonic() - start < 60
+    assert [int(x) for x in ids.split(b",")] == library.encode_ordinary(text) and data == text.encode()
+
+
 def test_decode_leaves_out_unknown_ids(spark):
     ids = spark.createDataFrame([([None, 99_999_999],), (None,), ([],)], "ids array<int>")
     assert [bytes(r.decoded) for r in bpe.decode(ids).collect()] == [b""] * 3
