@@ -7,19 +7,22 @@ becomes smallest, ties to the smallest gap. With every size at hand a shard of s
 pieces ends within a sequence or two of its tokens / length, so shards cost next to nothing.
 
 Defined results: null or empty text has the end id alone; a row of its own for each row of
-the input, also where ids repeat; an empty table gives no rows.
+the input, also where ids repeat, are null or exceed 2**53; the strings of special tokens in a
+text are those tokens, as the tokenizer takes them (``plain`` makes them ordinary text); an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,8 +45,6 @@ BYTE_FORM = {b: chr(b) for b in _PRINTED} | {b: chr(256 + k) for k, b in enumera
 
 # Words of plain Latin letters and ASCII signs: lower case and composition change nothing else.
 _LATIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0134-\u0148\u014a-\u017e]+")
-# The vocabulary's own splitting pattern for such words (fixed value).
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|[^\w\s]+(?:_+[^\w\s]*)*|_+(?:[^\w\s]+_*)*")
 
 
 class WordIds:
@@ -51,28 +52,36 @@ class WordIds:
 
     The tokenizer never joins characters across white space, so a text's ids are its words'.
     Pieces of Latin words go straight to the tokenizer's merges and are remembered as well.
+    With ``plain`` the strings of special tokens are ordinary text; else they are those tokens.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
-        self.path, self.known, self.pieces = path, {}, {}
+        self.path, self.known, self.ids_of_piece = path, {}, {}
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = plain
+        # The vocabulary's own splitting pattern, that of its first pre-tokenizer.
+        self.cut = regex.compile(json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        strings = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(len(split(s.decode())) != 1 or split(s.decode())[0] != s for s in strings):
+            raise ValueError("a token of this vocabulary holds white space")
+        self.special = re.compile(b"|".join(map(re.escape, strings))) if strings and not plain else None
 
     def learn(self, words: set[bytes]) -> None:
         new = words.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             new = words
-        if len(self.pieces) > PIECES:
-            self.pieces.clear()
+        if len(self.ids_of_piece) > PIECES:
+            self.ids_of_piece.clear()
         hard = []
         for word in new:
             text = word.decode("utf-8", "replace")
-            if _LATIN.fullmatch(text):
-                self.known[word] = b"".join(map(self.piece, _PIECES.findall(text.lower())))
+            if _LATIN.fullmatch(text) and not (self.special and self.special.search(word)):
+                self.known[word] = b"".join(map(self.piece, self.cut(text.lower())))
             else:
                 hard.append(word)
         new = hard
@@ -83,26 +92,26 @@ class WordIds:
                 self.known[word] = np.array(e.ids, "<u4").tobytes()
 
     def piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
+        ids = self.ids_of_piece.get(piece)
         if ids is None:
             form = piece.encode().decode("latin-1").translate(BYTE_FORM)
-            ids = self.pieces[piece] = np.array([t.id for t in self.tokenizer.model.tokenize(form)], "<u4").tobytes()
+            ids = self.ids_of_piece[piece] = np.array([t.id for t in self.tokenizer.model.tokenize(form)], "<u4").tobytes()
         return ids
 
     def encode(self, words: list[bytes]) -> bytes:
         return b"".join(map(self.known.__getitem__, words))
 
 
-_WORD_IDS: dict[str, WordIds] = {}
+_WORD_IDS: dict[tuple[str, bool], WordIds] = {}
 
 
-def word_ids(path: str) -> WordIds:
-    if path not in _WORD_IDS:
-        _WORD_IDS[path] = WordIds(path)
-    return _WORD_IDS[path]
+def word_ids(path: str, plain: bool = False) -> WordIds:
+    if (path, plain) not in _WORD_IDS:
+        _WORD_IDS[path, plain] = WordIds(path, plain)
+    return _WORD_IDS[path, plain]
 
 
-def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, length: int, end_id: int = 0, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, length: int, end_id: int = 0, with_ids: bool = False, plain: bool = False) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, optionally ids (little-endian)."""
     fields = [
         T.StructField("doc", docs.schema[id_col].dataType),
@@ -115,32 +124,37 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, length:
         fields.append(T.StructField("ids", T.BinaryType()))
     end = int(end_id).to_bytes(4, "little")
 
-    def cut(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = word_ids(tokenizer)
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), *([pa.binary()] if with_ids else [])]
 
-        def some(docs_words: list) -> pd.DataFrame:
-            ids_of.learn({w for _, words in docs_words for w in words})
+    def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of = word_ids(tokenizer, plain)
+
+        def some(batch: pa.RecordBatch, held: list[tuple[int, list[bytes]]]) -> pa.RecordBatch:
+            ids_of.learn(set().union(*(words for _, words in held)))
             out = []
-            for doc, words in docs_words:
+            for i, words in held:
                 data = ids_of.encode(words) + end
                 for k, at in enumerate(range(0, len(data), 4 * length)):
                     part = data[at : at + 4 * length]
-                    out.append((doc, k, at // 4, len(part) // 4, crc32(part), *([part] if with_ids else [])))
-            return pd.DataFrame(out, columns=[f.name for f in fields])
+                    out.append((i, k, at // 4, len(part) // 4, crc32(part), *([part] if with_ids else [])))
+            source, *cells = zip(*out, strict=True)
+            # Ids stay Arrow values: pandas would round large ones beside a null.
+            doc = batch.column("doc").take(pa.array(source))
+            return pa.RecordBatch.from_arrays([doc, *(pa.array(c, t) for c, t in zip(cells, kinds, strict=True))], [f.name for f in fields])
 
         for batch in rows:
             held, size = [], 0
-            for doc, text in zip(batch["doc"], batch["text"], strict=True):
-                held.append((None if pd.isna(doc) else doc, split(text)))
+            for i, text in enumerate(batch.column("text")):
+                held.append((i, split(text.as_py())))
                 size += len(held[-1][1])
                 if size >= SLAB:
-                    yield some(held)
+                    yield some(batch, held)
                     held, size = [], 0
             if held:
-                yield some(held)
+                yield some(batch, held)
 
     inner = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
-    return inner.mapInPandas(cut, T.StructType(fields))
+    return inner.mapInArrow(cut, T.StructType(fields))
 
 
 def sum_of_squares(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -178,22 +192,26 @@ def pack(
     length: int = 2048,
     end_id: int = 0,
     with_ids: bool = False,
+    plain: bool = False,
 ) -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset[, ids]."""
+    """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset[, ids].
+
+    With ``plain`` the strings of special tokens inside texts are ordinary text.
+    """
     tokenizer = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    cut = keep(pieces(docs, id_col, text_col, tokenizer, length, end_id, with_ids), "pieces")
+    cut = keep(pieces(docs, id_col, text_col, tokenizer, length, end_id, with_ids, plain), "pieces")
     shards = max(1, -(-cut.where(F.col("length") < length).count() // SHARD))
     # Equal rows get equal keys; their order in a shard does not matter, as they are alike.
     key = F.xxhash64("doc", "piece", "ids_crc32")
     dealt = cut.withColumn("shard", F.when(F.col("length") < length, F.pmod(key, F.lit(shards))).cast("int"))
     schema = T.StructType([*dealt.schema.fields, T.StructField("home", T.LongType()), T.StructField("offset", T.LongType())])
 
-    def place(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "ids_crc32", "piece"], ascending=[False, True, True], ignore_index=True, kind="stable")
+    def place(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("length", "descending"), ("ids_crc32", "ascending"), ("piece", "ascending")])
         home, offset, _ = sum_of_squares(rows["length"].to_numpy(), length)
-        return rows.assign(home=home, offset=offset)
+        return rows.append_column("home", pa.array(home)).append_column("offset", pa.array(offset))
 
-    placed = dealt.where("shard is not null").groupBy("shard").applyInPandas(place, schema)
+    placed = dealt.where("shard is not null").groupBy("shard").applyInArrow(place, schema)
     # Shares of the numbers: even ones for the shards' sequences, odd ones for full pieces.
     mixed = placed.withColumn("sequence_id", (F.col("home") * shards + F.col("shard")) * 2)
     alone = dealt.where("shard is null").withColumn("offset", F.lit(0).cast("long"))

@@ -16,7 +16,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def whole():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -32,11 +31,14 @@ def test_ids_are_the_tokenizers(whole):
     texts = [r[0] for r in duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet'").fetchall()]
     rng = random.Random(3)
     texts += ODD + ["".join(rng.choice(ODD[0] + ODD[1] + ODD[3] + "   ") for _ in range(60)) for _ in range(300)]
-    known = packing.word_ids(PATH)
-    for text in texts:
-        words = split(text)
-        known.learn(set(words))
-        assert np.frombuffer(known.encode(words), "<u4").tolist() == whole(text), text[:200]
+    texts += ["a<|endoftext|>b it<|endoftext|>'s <|endoftext|><|startoftext|>É́<|startoftext|>1 <|ENDOFTEXT|> < |endoftext|> <|endoftext|"]
+    plain = Tokenizer.from_file(PATH)
+    plain.encode_special_tokens = True
+    for known, want in [(packing.word_ids(PATH), whole), (packing.word_ids(PATH, True), lambda t: plain.encode(t, add_special_tokens=False).ids)]:
+        for text in texts:
+            words = split(text)
+            known.learn(set(words))
+            assert np.frombuffer(known.encode(words), "<u4").tolist() == want(text), text[:200]
 
 
 def check(rows, texts, whole, length):
