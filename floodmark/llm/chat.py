@@ -22,7 +22,7 @@ import re
 from collections.abc import Iterator
 from hashlib import sha256
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -130,14 +130,17 @@ def format_paths(messages: DataFrame, best: int = 1) -> DataFrame:
     turns = path.groupBy("tree", "leaf", "rank").agg(F.sort_array(F.collect_list(F.struct(-F.col("above"), "role", "text"))).alias("turns"))
     turns = turns.select("tree", "leaf", "rank", F.transform("turns", lambda t: F.struct(F.coalesce(t["role"], F.lit("")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text"))).alias("turns"))
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Ids stay Arrow values: pandas would round large ones beside a null.
         for batch in batches:
-            done = [formatted([(t["role"], t["text"]) for t in turns]) for turns in batch["turns"]]
-            more = {"n_turns": [len(t) for t in batch["turns"]], "text": [x for x, _ in done], "mask": [m for _, m in done]}
-            yield pd.concat([batch[["tree", "leaf", "rank"]], pd.DataFrame(more, index=batch.index)], axis=1)
+            given = batch.column("turns").to_pylist()
+            done = [formatted([(t["role"], t["text"]) for t in turns]) for turns in given]
+            more = [pa.array([len(t) for t in given], pa.int64()), pa.array([x for x, _ in done], pa.string()), pa.array([m for _, m in done], pa.list_(pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *more], [*names, "n_turns", "text", "mask"])
 
+    names = ["tree", "leaf", "rank"]
     kind = messages.schema["tree"].dataType.simpleString()
-    return turns.mapInPandas(rows, f"tree {kind}, leaf long, rank int, n_turns long, text string, mask array<array<long>>")
+    return turns.mapInArrow(rows, f"tree {kind}, leaf long, rank int, n_turns long, text string, mask array<array<long>>")
 
 
 @query()
@@ -147,14 +150,16 @@ def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     out = format_paths(chained(rows, "conv_id", "turn", "role", "text"))
 
-    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for conv, text, mask in zip(batch["tree"], batch["text"], batch["mask"], strict=True):
+            for text, mask in zip(batch.column("text").to_pylist(), batch.column("mask").to_pylist(), strict=True):
                 turns = read_back(text)
                 told = sha256("".join(f"{role}\n{body}\n" for role, body in turns).encode("utf-8", "surrogatepass")).hexdigest()
                 loss = "".join(unescape(text[a:b]) for a, b in mask)
-                rows.append((None if pd.isna(conv) else int(conv), len(turns), told, len(loss), sha256(loss.encode("utf-8", "surrogatepass")).hexdigest(), len(text)))
-            yield pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+                rows.append((len(turns), told, len(loss), sha256(loss.encode("utf-8", "surrogatepass")).hexdigest(), len(text)))
+            cells = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds]
+            yield pa.RecordBatch.from_arrays([batch.column("tree"), *cells], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return out.mapInPandas(digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    return out.mapInArrow(digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

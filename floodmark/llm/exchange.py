@@ -67,6 +67,15 @@ def unpacked(blobs, columns: list[str]) -> pa.Table:
     return pa.concat_tables([pa.ipc.open_stream(blob).read_all() for blob in blobs]).rename_columns(columns)
 
 
+# Integers and flags that may be null: numpy would make floats of them and round large ones.
+_EXACT = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype(), pa.bool_(): pd.BooleanDtype()}
+
+
+def to_pandas(rows: pa.Table) -> pd.DataFrame:
+    """Rows as they are, also integers beyond 2**53 beside nulls."""
+    return rows.to_pandas(types_mapper=_EXACT.get)
+
+
 def over_chunks(packed: DataFrame, fn: Callable, schema: str, answers: DataFrame | None = None) -> DataFrame:
     """fn(chunk, blobs[, answers as pandas]) -> pandas, for each chunk."""
 

@@ -270,7 +270,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         per_doc = lambda values: np.bincount(own.doc, weights=values, minlength=len(own.n))
         return pd.DataFrame(
             {
-                "id": rows["id"].to_pandas(),
+                "id": X.to_pandas(rows.select(["id"]))["id"],
                 "held_out": rows["held"].to_pandas().astype(bool),
                 "n_tokens": own.n,
                 "n_known": per_doc(count > 0).astype(np.int64),

@@ -26,6 +26,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,16 +78,15 @@ def text_key(text_col: str) -> Column:
 def sketch(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """id, n_shingles, digest of the set, minima, key of the text."""
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Ids stay Arrow values: pandas would round large ones beside a null.
         for batch in batches:
-            out = []
-            for names in shingles(list(batch["text"]), width):
-                out.append((len(names), digest(names), minima(names).astype("<u4").tobytes()))
-            more = pd.DataFrame(out, columns=["n_shingles", "digest", "minima"], index=batch.index)
-            yield pd.concat([batch[["id"]], more, batch[["text_key"]]], axis=1)
+            out = [(len(names), digest(names), minima(names).astype("<u4").tobytes()) for names in shingles(batch.column("text").to_pylist(), width)]
+            more = [pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *more, batch.column("text_key")], ["id", "n_shingles", "digest", "minima", "text_key"])
 
     inner = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), text_key(text_col))
-    return inner.mapInPandas(rows, "id long, n_shingles long, digest binary, minima binary, text_key binary")
+    return inner.mapInArrow(rows, "id long, n_shingles long, digest binary, minima binary, text_key binary")
 
 
 @lru_cache

@@ -175,8 +175,6 @@ def repeated_edges(slab: Slab, names: np.ndarray, verdict: np.ndarray) -> np.nda
     return verdict[np.searchsorted(names, slab.edge_name)] if len(names) else np.zeros(0, bool)
 
 
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, carry: bool = False) -> DataFrame:
     """Per row: id, n_words, n_removed, spans (removed word ranges, end exclusive), kept_text.
 
@@ -257,8 +255,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             spans.append(turn.reshape(-1, 2).tolist())
         if carry:
             at = rows.column_names.index(text_col)
-            return rows.set_column(at, text_col, pa.array(texts, rows.schema.field(at).type)).to_pandas()
-        return pd.DataFrame({id_col: rows[id_col].to_pandas(), "n_words": n_words, "n_removed": n_removed, "spans": spans, "kept_text": texts})
+            return X.to_pandas(rows.set_column(at, text_col, pa.array(texts, rows.schema.field(at).type)))
+        return pd.DataFrame({id_col: X.to_pandas(rows.select([id_col]))[id_col], "n_words": n_words, "n_removed": n_removed, "spans": spans, "kept_text": texts})
 
     steps = seen.withColumn("step", F.lit(0)).unionByName(judged.withColumn("step", F.lit(1)))
     return X.over_chunks(packed, finish, schema, steps)
