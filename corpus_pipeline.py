@@ -40,8 +40,8 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in sequences of 2048 tokens."""
-    return packing.pack(docs, tokenizer=public_tokenizers.path("word_bpe_49k.json"), length=2048, end_id=0)
+    """Pieces of documents with their places in sequences of 2048 tokens; special tokens in texts are plain text."""
+    return packing.pack(docs, tokenizer=public_tokenizers.path("word_bpe_49k.json"), length=2048, end_id=0, plain=True)
 
 
 STAGES = [
