@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # The id given to a table without partitions, and to rows whose
 # partitioning column is null.
 FULL = "full"
+SHARD = "shard"
 NULL_PARTITION = "__NULL__"
 
 # Id patterns of time-partitioned tables by granularity.
@@ -66,6 +67,20 @@ def table_parts(name: Column) -> Column:
     )
 
 
+def shard_id(shard: Column, shards: int) -> Column:
+    """Id of a hash shard. It names the number of shards: another number makes other ids."""
+    return F.format_string(f"{SHARD}-{shards:05d}-%05d", shard)
+
+
+def kind_of_id(pid: Column) -> Column:
+    """Whether an id names a whole table, a hash shard or a span of time."""
+    return (
+        F.when(pid == FULL, F.lit("whole"))
+        .when(pid.startswith(f"{SHARD}-"), F.lit("shards"))
+        .otherwise(F.lit("times"))
+    )
+
+
 def batch_label(start: Column, end: Column) -> Column:
     return F.concat(start, F.lit("_"), end)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from floodmark.functions import ids
+from floodmark.functions import hashing, ids
 from floodmark.sources.tables import TableSource, union_all
 
 PARTITION_COLUMNS = [
@@ -87,6 +87,25 @@ def discover(source: TableSource, with_bytes: bool = False) -> DataFrame:
     ).select(*PARTITION_COLUMNS)
 
 
+def discover_shards(source: TableSource) -> DataFrame:
+    """Hash shards of a table without partitions, with the fingerprint of each one's content.
+
+    All columns are read once; fingerprints are sums, so what is shuffled is one row per
+    shard and task, and a shard with most of the rows costs no more than any other.
+    """
+    grouped = source.frame.groupBy(source.partition_id().alias("partition_id")).agg(*hashing.fingerprint_aggregates(source.frame))
+    return grouped.select(
+        F.lit(source.project).alias("project"),
+        F.lit(source.dataset).alias("dataset"),
+        F.lit(source.table).alias("table"),
+        "partition_id",
+        F.col("row_count").alias("total_rows"),
+        F.lit(None).cast("bigint").alias("total_logical_bytes"),
+        F.lit(None).cast("timestamp_ntz").alias("last_modified"),
+        "fingerprint",
+    )
+
+
 def discover_all(
     sources: Sequence[TableSource],
     modified_since: Column | None = None,

@@ -70,6 +70,40 @@ def suppress_unchanged(parts: DataFrame, previous: DataFrame) -> DataFrame:
     return parts.join(previous.select(*same), same, "left_anti")
 
 
+def changed_shards(found: DataFrame, state: DataFrame) -> DataFrame:
+    """Hash shards to export: those whose rows or fingerprint differ from what is exported.
+
+    A shard that was exported with rows and is not found any more comes with no rows, so
+    that its rows can be retired. ``state`` has the latest row of each exported shard.
+    """
+    before = state.where(F.col("row_count") > 0).select(
+        *PARTITION_KEY, F.col("row_count").alias("total_rows"), "fingerprint", "project"
+    )
+    same = [*PARTITION_KEY, "total_rows", "fingerprint"]
+    changed = found.join(before.select(*same), same, "left_anti")
+    gone = before.join(found.select(*PARTITION_KEY), PARTITION_KEY, "left_anti").select(
+        "project", *PARTITION_KEY, F.lit(0).cast("bigint").alias("total_rows")
+    )
+    return changed.unionByName(gone, allowMissingColumns=True)
+
+
+def mark_unchanged(parts: DataFrame, state: DataFrame) -> DataFrame:
+    """Add ``unchanged``: rows and logical bytes are those of the exported partition.
+
+    A change time also moves when only metadata changed; such partitions need no new export.
+    Partitions without logical bytes (nobody asked for them) count as changed.
+    """
+    known = state.select(
+        *PARTITION_KEY, F.col("row_count").alias("_rows"), F.col("logical_bytes").alias("_bytes")
+    )
+    same = (F.col("total_rows") == F.col("_rows")) & (F.col("total_logical_bytes") == F.col("_bytes"))
+    return (
+        parts.join(known, PARTITION_KEY, "left")
+        .withColumn("unchanged", F.coalesce(same, F.lit(False)))
+        .drop("_rows", "_bytes")
+    )
+
+
 def advance_watermark(outcome: DataFrame) -> DataFrame:
     """New watermark by table from partition outcomes with ``committed`` and ``last_modified``.
 
@@ -100,12 +134,17 @@ def late_partitions(parts: DataFrame, state: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """Strategy of the tables whose ``dataset.table`` matches a pattern with ``*`` and ``?``."""
+    """Strategy of the tables whose ``dataset.table`` matches a pattern with ``*`` and ``?``.
+
+    With ``skip_unchanged`` partitions with a new change time, but the same rows and logical
+    bytes as exported, are not exported again; finding that out reads all their columns.
+    """
 
     pattern: str
     strategy: str = "partition"
     batch_days: int = 7
     include: bool = True
+    skip_unchanged: bool = False
 
     def __post_init__(self) -> None:
         if self.strategy not in ("partition", "full_refresh"):

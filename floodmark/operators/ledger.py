@@ -23,7 +23,7 @@ TABLES = """project string, dataset string, table string, schema_version int,
 PARTITIONS = """project string, dataset string, table string, partition_id string,
  schema_version int, state string, error string, exported_modified timestamp_ntz,
  snapshot_time timestamp_ntz, synced_at timestamp_ntz, row_count bigint, exported_path string,
- run_id string, at timestamp_ntz"""
+ run_id string, at timestamp_ntz, logical_bytes bigint, fingerprint string"""
 VERSIONS = """dataset string, table string, version bigint, schema_hash string,
  shape_hash string, change_type string, n_changes bigint, widened boolean, valid_from timestamp_ntz,
  physical_hash string, schema_json string, run_id string"""
@@ -65,6 +65,11 @@ class Ledgers:
             ]
         ).write.mode("append").parquet(f"{self.root}/{name}")
 
+    def append_new(self, name: str, rows: DataFrame, keys: Sequence[str], run_id: str) -> None:
+        """Append the rows whose keys the ledger does not have from this run yet."""
+        there = self.read(name).where(F.col("run_id") == run_id).select(*keys)
+        self.append(name, rows.join(there, list(keys), "left_anti"))
+
     def read(self, name: str) -> DataFrame:
         try:
             return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}")

@@ -143,22 +143,22 @@ def planned_spans(source: TableSource, plan: DataFrame) -> Spans:
     """Ranges of adjacent buckets of a plan that has one row per partition of one table.
 
     Buckets that were not planned are in no range, however many ranges that makes. What
-    reaches the driver is one row per range.
+    reaches the driver is one row per range, from one job.
     """
     step = F.expr(f"INTERVAL 1 {source.granularity.upper()}")
     bucket = ids.bucket_of_id(F.col("partition_id"), source.granularity).cast("timestamp_ntz")
     buckets = plan.select(bucket.alias("bucket")).distinct()
     order = Window.orderBy("bucket")
     opens = ~F.lag("bucket").over(order).eqNullSafe(F.col("bucket") - step)
+    # Null buckets sort first and open nothing, so they are run 0, which no other bucket is in.
     runs = (
-        buckets.where("bucket is not null")
-        .withColumn("run", F.sum(opens.cast("int")).over(order))
+        buckets.withColumn("run", F.sum((opens & F.col("bucket").isNotNull()).cast("int")).over(order))
         .groupBy("run")
         .agg(F.min("bucket").alias("first"), F.max("bucket").alias("last"))
-        .orderBy("first")
+        .collect()
     )
-    nulls = bool(buckets.where("bucket is null").take(1))
-    return Spans(tuple((r["first"], r["last"]) for r in runs.collect()), nulls)
+    ranges = sorted((r["first"], r["last"]) for r in runs if r["first"] is not None)
+    return Spans(tuple(ranges), len(ranges) < len(runs))
 
 
 def within_spans(source: TableSource, spans: Spans) -> DataFrame:
@@ -191,6 +191,9 @@ def assign_rows(source: TableSource, plan: DataFrame) -> DataFrame:
     ``plan`` has one row per partition. Rows meet it by date or truncated time, and take
     the id's text from it, so no text is made per row.
     """
+    if source.shard_on is not None:
+        known = plan.where("total_rows > 0").select("partition_id", "batch")
+        return join_per_key(source.frame.withColumn("partition_id", source.partition_id()), known, ["partition_id"], "inner")
     if source.partition_on is None:
         label = ids.batch_label(F.lit(ids.FULL), F.lit(ids.FULL))
         return source.frame.withColumns({"partition_id": F.lit(ids.FULL), "batch": label})
@@ -240,8 +243,9 @@ def export_batches(
     """
     rows = assign_rows(source, plan)
     # A table that is one partition is one batch: its input splits become its files.
-    whole = source.partition_on is None and not layout.cluster_by
-    arranged = rows if whole else arrange(rows, ["batch"], layout)
+    whole = source.kind == "whole" and not layout.cluster_by
+    by = ["batch", "partition_id"] if source.kind == "shards" else ["batch"]
+    arranged = rows if whole else arrange(rows, by, layout)
     write_parquet(arranged, target, layout, ["batch"])
 
 

@@ -25,6 +25,7 @@ from floodmark.operators import (
     unify,
     verify,
 )
+from floodmark.operators.journal import RUN, Journal, remove
 from floodmark.operators.keyed import join_per_key
 from floodmark.operators.ledger import Ledgers
 from floodmark.plans import export
@@ -60,9 +61,12 @@ class Lake:
         root: str,
         layout: export.Layout = export.Layout(),
         at_once: int = 4,
+        big_decimals: str = "decimal",
     ):
+        """``big_decimals`` says how decimals of more than 9 digits after the point are stored."""
         self.spark = spark
         self.at_once = at_once
+        self.big_decimals = big_decimals
         self.root = root.rstrip("/")
         self.layout = layout
         self.ledgers = Ledgers(spark, self.root)
@@ -83,19 +87,43 @@ class Lake:
         handle the tables together. Everything a run writes lies under its own id, and
         readers see it only once the closing row of the run is in the ledger: a run that
         dies half way changes nothing for them and its files become orphans.
+
+        A run that died, failed or was aborted goes on where it stopped when it is started
+        again under its id with the same sources: the plan and the tables that it noted as
+        written stand, tables that it left half written are written anew.
         """
         at = F.lit(now).cast("timestamp_ntz")
-        stale = ledger.abort_rows(self.ledgers.read("runs"), at)
-        if not stale.isEmpty():
-            self.ledgers.append("runs", stale)
+        state = self._reopen(run_id, at, now)
         self.ledgers.append_run(run_id, "running", now, now)
         try:
-            return self._run(sources, run_id, now, days, rules)
+            return self._run(sources, run_id, now, days, rules, resumed=state is not None)
         except Exception:
             # Nothing of the run is published; the next one need not wait for it.
             self.ledgers.append_run(run_id, "failed", now, now)
             raise
 
+    def _reopen(self, run_id: str, at: Column, now: str) -> str | None:
+        """The state of an earlier attempt of a run, if there is one; stale other runs are aborted."""
+        runs = self.ledgers.read("runs")
+        stale = ledger.abort_rows(runs, at).where(F.col("run_id") != run_id)
+        if not stale.isEmpty():
+            self.ledgers.append("runs", stale)
+        known = ledger.latest_runs(runs.where(F.col("run_id") == run_id)).first()
+        if known is None:
+            return None
+        if known["state"] in ("completed", "partial"):
+            raise ValueError(f"run {run_id} is {known['state']}; a new run needs a new id")
+        if known["state"] != "running" and dt.datetime.fromisoformat(now) <= known["at"]:
+            raise ValueError(f"run {run_id} was closed at {known['at']}; start it again at a later time")
+        return known["state"]
+
+    def unfinished(self) -> DataFrame:
+        """Steps that runs which are not closed have noted: run_id, name, step, detail."""
+        going = self.ledgers.latest("runs").where(~F.col("state").isin("completed", "partial"))
+        rows = [Journal(self.spark, self.root, r["run_id"]) for r in going.select("run_id").collect()]
+        noted = [(j.folder.split("/")[-2], n, s, json.dumps(d)) for j in rows for (s, n), d in j.steps().items()]
+        return self.spark.createDataFrame(noted, "run_id string, name string, step string, detail string")
+
     def _run(
         self,
         sources: Sequence[TableSource],
@@ -103,22 +131,38 @@ class Lake:
         now: str,
         days: int,
         rules: Sequence[incremental.Rule],
+        resumed: bool,
     ) -> RunResult:
         at = F.lit(now).cast("timestamp_ntz")
+        journal = Journal(self.spark, self.root, run_id)
+        done = journal.steps() if resumed else {}
         default = incremental.Rule("*", batch_days=days)
         chosen = [(s, incremental.rule_for(s.name, rules, default)) for s in sources]
         # A full refresh takes the table as one partition.
         chosen = [
-            (replace(s, partition_on=None) if r.strategy == "full_refresh" else s, r)
+            (replace(s, partition_on=None, shard_on=None) if r.strategy == "full_refresh" else s, r)
             for s, r in chosen
             if r.include
         ]
+        chosen = [(replace(s, frame=self._storable(s.frame)), r) for s, r in chosen]
+        if ("planned", RUN) in done:  # what was not planned then waits for the next run
+            planned_names = done["versions", RUN]
+            chosen = [(s, r) for s, r in chosen if s.name in planned_names]
+            if lacking := sorted(planned_names.keys() - {s.name for s, _ in chosen}):
+                raise ValueError(f"run {run_id} was planned with other tables as well: {', '.join(lacking)}")
         sources = [source for source, _ in chosen]
         if not sources:  # the rules leave nothing to do
             self.ledgers.append_run(run_id, "completed", now, now)
             return RunResult(run_id, "completed", 0, {})
-        versions = self._resolve_versions(sources, run_id, now)
-        plan = self._plan(chosen, run_id)
+        folder = f"{self.root}/runs/{run_id}"
+        if ("planned", RUN) in done:
+            versions = done["versions", RUN]
+            wanted, plan = (self.spark.read.parquet(f"{folder}/{name}") for name in ("wanted", "plan"))
+        else:
+            versions = self._resolve_versions(sources, run_id, now, resumed)
+            journal.note("versions", **versions)
+            wanted, plan = self._plan(chosen, folder, resumed)
+            journal.note("planned")
         planned = plan.groupBy(*TABLE_KEY).agg(F.count(F.lit(1)).alias("n")).collect()
         sizes = {f"{r['dataset']}.{r['table']}": r["n"] for r in planned}
 
@@ -130,12 +174,18 @@ class Lake:
         }
 
         def write(source: TableSource) -> str | None:
+            if ("written", source.name) in done:
+                return None
+            target = targets[source.name]
+            if resumed:
+                remove(self.spark, target)
             layout = replace(self.layout, cluster_by=source.cluster_by or self.layout.cluster_by)
             mine = ledger.table_state(plan, source.dataset, source.table)
             try:
-                export.export_batches(source, mine, targets[source.name], layout)
+                self._write(source, mine, target, layout)
             except Exception as error:  # one table's failure must not stop the others
                 return str(error)
+            journal.note("written", source.name, at=now)
             return None
 
         # Small tables do not fill a cluster one after the other, so several are written at once.
@@ -144,28 +194,45 @@ class Lake:
         failed = {name: error for name, error in errors.items() if error is not None}
         failed |= {name: SWITCHED for name in switched if name in sizes}
         written = {name: targets[name] for name, error in errors.items() if error is None}
-        if written:
+        if ("published", RUN) in done:
+            failed |= done["published", RUN]
+        elif written:
             counted = self._count_written(list(written.values()), run_id)
             failed |= self._mismatches(plan, counted, list(written))
-            self._publish(plan, counted, written, failed, run_id, at)
+            self._publish(plan, counted, written, failed, versions, run_id, at, resumed)
+            journal.note("published", **failed)
         if failed:
-            self._record_failures(plan, failed, versions, run_id, at)
-        self._record_tables(sources, plan, run_id, failed, versions, now)
-        done = len(written.keys() - failed.keys())
-        state = "completed" if not failed else "partial" if done else "failed"
+            self._record_failures(plan, failed, versions, run_id, at, resumed)
+        self._record_tables(sources, wanted, run_id, failed, versions, now, resumed)
+        done_well = len(written.keys() - failed.keys())
+        state = "completed" if not failed else "partial" if done_well else "failed"
         self.ledgers.append_run(run_id, state, now, now)
-        return RunResult(run_id, state, done, failed)
+        return RunResult(run_id, state, done_well, failed)
+
+    def _storable(self, frame: DataFrame) -> DataFrame:
+        """The frame in types that files can hold; as it is, if that changes nothing."""
+        changed = unify.storable(frame, self.big_decimals)
+        return frame if changed.schema == frame.schema else changed
+
+    def _write(self, source: TableSource, plan: DataFrame, target: str, layout: export.Layout) -> None:
+        export.export_batches(source, plan, target, layout)
+
+    def _add(self, name: str, rows: DataFrame, keys: Sequence[str], run_id: str, resumed: bool) -> None:
+        """Append to a ledger; a run that goes on leaves out what its earlier attempt appended."""
+        if resumed:
+            self.ledgers.append_new(name, rows, keys, run_id)
+        else:
+            self.ledgers.append(name, rows)
 
     def _switched(self, sources: Sequence[TableSource]) -> set[str]:
-        """Tables exported whole before and by partition now, or the other way round."""
-        whole = F.col("partition_id") == ids.FULL
-        known = self.ledgers.latest("partitions").groupBy(*TABLE_KEY).agg(F.max(whole).alias("whole"))
-        before = {f"{r['dataset']}.{r['table']}": r["whole"] for r in known.collect()}
-        now = {s.name: s.partition_on is None for s in sources}
-        return {name for name, whole in now.items() if before.get(name, whole) != whole}
+        """Tables exported in another kind of partitions before: whole, by time or by shard."""
+        kind = ids.kind_of_id(F.col("partition_id"))
+        known = self.ledgers.latest("partitions").groupBy(*TABLE_KEY).agg(F.max(kind).alias("kind"))
+        before = {f"{r['dataset']}.{r['table']}": r["kind"] for r in known.collect()}
+        return {s.name for s in sources if before.get(s.name, s.kind) != s.kind}
 
     def _resolve_versions(
-        self, sources: Sequence[TableSource], run_id: str, now: str
+        self, sources: Sequence[TableSource], run_id: str, now: str, resumed: bool
     ) -> dict[str, int]:
         """Schema version of each table; schemas not seen before are recorded.
 
@@ -200,45 +267,55 @@ class Lake:
             new = [(r["dataset"], r["table"], r["version"]) for r in verdicts if r["is_new"]]
             listed = self.spark.createDataFrame(new, "dataset string, table string, version bigint")
             # Fields first: a version without its fields would make the next one all ADD.
-            self.ledgers.append("fields", today.join(listed, TABLE_KEY).withColumn("run_id", F.lit(run_id)))
-            self.ledgers.append("versions", found)
+            fields = today.join(listed, TABLE_KEY).withColumn("run_id", F.lit(run_id))
+            self._add("fields", fields, [*TABLE_KEY, "version", "path"], run_id, resumed)
+            self._add("versions", found, [*TABLE_KEY, "version"], run_id, resumed)
         return {f"{r['dataset']}.{r['table']}": r["version"] for r in verdicts}
 
     def _plan(
-        self, chosen: list[tuple[TableSource, incremental.Rule]], run_id: str
-    ) -> DataFrame:
-        """Partitions to export with their batches, written once and read back.
+        self, chosen: list[tuple[TableSource, incremental.Rule]], folder: str, resumed: bool
+    ) -> tuple[DataFrame, DataFrame]:
+        """Partitions that changed, and those of them to export with their batches.
 
-        The written tables cut the lineage: each later step reads some small files
-        instead of discovering the sources again.
+        Both are written once and read back: that cuts the lineage, and each later step reads
+        some small files instead of discovering the sources again.
         """
+        mode = "overwrite" if resumed else "errorifexists"
         marks = {f"{r['dataset']}.{r['table']}": r["watermark"] for r in self.ledgers.latest("tables").collect()}
         with ThreadPoolExecutor(self.at_once) as pool:
             narrowed = list(pool.map(lambda s: self._touched(s, marks.get(s.name)), [s for s, _ in chosen]))
-        found = {
-            strategy: [
-                discovery.discover(source).withColumn("batch_days", F.lit(rule.batch_days))
-                for source, (_, rule) in zip(narrowed, chosen)
-                if rule.strategy == strategy
-            ]
-            for strategy in ("partition", "full_refresh")
-        }
-        wanted = found["full_refresh"]
-        if found["partition"]:
-            changed = incremental.changed_since(
-                union_all(found["partition"]), self.ledgers.latest("tables")
-            )
-            wanted = [*wanted, incremental.skip_exported(changed, self.ledgers.latest("partitions"))]
-        wanted = stored(union_all(wanted), "wanted", f"{self.root}/runs/{run_id}/wanted")
+        found: dict[str, list[DataFrame]] = {"times": [], "shards": [], "whole": []}
+        for source, (_, rule) in zip(narrowed, chosen):
+            if source.kind == "shards":
+                parts = discovery.discover_shards(source)
+            else:
+                parts = discovery.discover(source, with_bytes=rule.skip_unchanged)
+                parts = parts.withColumn("fingerprint", F.lit(None).cast("string"))
+            kind = "times" if source.kind == "whole" and rule.strategy == "partition" else source.kind
+            found[kind].append(parts.withColumn("batch_days", F.lit(rule.batch_days)))
+        state = self.ledgers.latest("partitions")
+        wanted = list(found["whole"])
+        if found["times"]:
+            changed = incremental.changed_since(union_all(found["times"]), self.ledgers.latest("tables"))
+            wanted.append(incremental.skip_exported(changed, state))
+        if found["shards"]:
+            names = [s.name for s in narrowed if s.kind == "shards"]
+            mine = state.where(F.concat_ws(".", *TABLE_KEY).isin(names) & (ids.kind_of_id(F.col("partition_id")) == "shards"))
+            days = F.lit(batches.DEFAULT_DAYS)
+            parts = union_all(found["shards"]).drop("batch_days")
+            wanted.append(incremental.changed_shards(parts, mine).withColumn("batch_days", days))
+        rows = union_all(wanted)
+        if any(rule.skip_unchanged for _, rule in chosen):
+            rows = incremental.mark_unchanged(rows, state)
+        else:
+            rows = rows.withColumn("unchanged", F.lit(False))
+        rows = stored(rows, "wanted", f"{folder}/wanted", mode)
+        every = sorted({rule.batch_days for _, rule in chosen} | ({batches.DEFAULT_DAYS} if found["shards"] else set()))
+        todo = rows.where("not unchanged")
         plan = union_all(
-            [
-                batches.label_batches(
-                    batches.assign_batches(wanted.where(F.col("batch_days") == days), days)
-                )
-                for days in sorted({rule.batch_days for _, rule in chosen})
-            ]
+            [batches.label_batches(batches.assign_batches(todo.where(F.col("batch_days") == days), days)) for days in every]
         )
-        return stored(plan, "plan", f"{self.root}/runs/{run_id}/plan")
+        return rows, stored(plan, "plan", f"{folder}/plan", mode)
 
     def _touched(self, source: TableSource, watermark: dt.datetime | None) -> TableSource:
         """The source without the partitions that hold no row changed since the watermark.
@@ -254,7 +331,7 @@ class Lake:
         # Not strict, as a date drops the time of day; the exact filter follows on the counts.
         late = changed >= F.lit(watermark).cast("timestamp_ntz").cast(kind)
         rows = replace(source, frame=source.frame.where(late | changed.isNull()))
-        touched = stored(discovery.discover(rows).select("partition_id"), "touched")
+        touched = discovery.discover(replace(rows, modified_on=None)).select("partition_id")
         return replace(source, frame=export.within_spans(source, export.planned_spans(source, touched)))
 
     def _count_written(self, targets: list[str], run_id: str) -> DataFrame:
@@ -264,13 +341,14 @@ class Lake:
         )
         by = [*TABLE_KEY, "schema_version", "batch", "partition_id"]
         counted = files.rows_per_file(rows, self.root, *by)
-        return stored(counted, "written", f"{self.root}/runs/{run_id}/written")
+        return stored(counted, "written", f"{self.root}/runs/{run_id}/written", "overwrite")
 
     def _mismatches(
         self, plan: DataFrame, counted: DataFrame, names: Sequence[str]
     ) -> dict[str, str]:
         """Written tables whose partitions differ from what was planned."""
-        expected = plan.where(F.concat_ws(".", *TABLE_KEY).isin(list(names)))
+        # Shards without rows are planned to be retired and are in no file.
+        expected = plan.where(F.concat_ws(".", *TABLE_KEY).isin(list(names)) & (F.col("total_rows") > 0))
         exported = counted.groupBy(*KEY).agg(F.sum("row_count").alias("row_count"))
         compared = verify.compare_counts(
             expected.select(*KEY, F.col("total_rows").alias("row_count")), exported, KEY
@@ -288,15 +366,18 @@ class Lake:
         counted: DataFrame,
         written: dict[str, str],
         failed: dict[str, str],
+        versions: dict[str, int],
         run_id: str,
         at: Column,
+        resumed: bool,
     ) -> None:
         """Manifest and partition rows of the tables that were written as planned."""
         good = [target for name, target in written.items() if name not in failed]
         if not good:
             return
+        name = F.concat_ws(".", *TABLE_KEY)
+        names = [n for n in written if n not in failed]
         listed = counted.where(~F.concat_ws(".", *TABLE_KEY).isin(list(failed))) if failed else counted
-        version = F.substring("schema_version", 2, 10).cast("int")
         in_storage = files.checksums(self.spark, self.root, good)
         entries = manifest.build(in_storage, listed).withColumns(
             {
@@ -307,11 +388,21 @@ class Lake:
                 "exported_at": at,
             }
         )
+        if resumed:
+            entries = entries.join(self._listed().where(F.col("run_id") == run_id).select("path"), "path", "left_anti")
         entries.write.mode("append").json(f"{self.root}/manifest")
-        sums = listed.groupBy(*KEY, "batch", version.alias("schema_version")).agg(
-            F.sum("row_count").alias("row_count")
+        sums = listed.groupBy(*KEY).agg(F.sum("row_count").alias("row_count"))
+        known = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(versions[n]))])
+        planned = plan.where(name.isin(names)).select(
+            *KEY, "project", "batch", "last_modified", "fingerprint", F.col("total_logical_bytes").alias("logical_bytes")
+        )
+        state = planned.join(sums, KEY, "left").withColumns(
+            {
+                "row_count": F.coalesce("row_count", F.lit(0)),
+                "schema_version": known[name],
+            }
         )
-        state = sums.join(plan.select(*KEY, "project", "last_modified"), KEY).withColumns(
+        state = state.withColumns(
             {
                 "run_id": F.lit(run_id),
                 "state": F.lit("completed"),
@@ -328,7 +419,7 @@ class Lake:
                 ),
             }
         )
-        self.ledgers.append("partitions", state)
+        self._add("partitions", state, [*KEY, "state"], run_id, resumed)
 
     def _record_failures(
         self,
@@ -337,6 +428,7 @@ class Lake:
         versions: dict[str, int],
         run_id: str,
         at: Column,
+        resumed: bool,
     ) -> None:
         errors = self.spark.createDataFrame(
             [(*name.split(".", 1), versions[name], error) for name, error in failed.items()],
@@ -344,10 +436,8 @@ class Lake:
         )
         planned = plan.select("project", *KEY)
         rows = join_per_key(planned, errors, TABLE_KEY, "inner")
-        self.ledgers.append(
-            "partitions",
-            rows.withColumns({"run_id": F.lit(run_id), "state": F.lit("failed"), "at": at}),
-        )
+        rows = rows.withColumns({"run_id": F.lit(run_id), "state": F.lit("failed"), "at": at})
+        self._add("partitions", rows, [*KEY, "state"], run_id, resumed)
 
     def _record_tables(
         self,
@@ -357,6 +447,7 @@ class Lake:
         failed: dict[str, str],
         versions: dict[str, int],
         now: str,
+        resumed: bool,
     ) -> None:
         """Append a row for each table that is new or whose watermark or version moved."""
         name = F.concat_ws(".", "dataset", "table")
@@ -382,12 +473,10 @@ class Lake:
             .join(known, TABLE_KEY, "left")
             .where(~state.eqNullSafe(F.col("_before")))
         )
-        self.ledgers.append(
-            "tables",
-            moved.drop("_before").withColumns(
-                {"run_id": F.lit(run_id), "at": F.lit(now).cast("timestamp_ntz")}
-            ),
+        moved = moved.drop("_before").withColumns(
+            {"run_id": F.lit(run_id), "at": F.lit(now).cast("timestamp_ntz")}
         )
+        self._add("tables", moved, TABLE_KEY, run_id, resumed)
 
     # -- readers ---------------------------------------------------------------
 
@@ -427,12 +516,21 @@ class Lake:
 
     def published(self) -> DataFrame:
         """Files of published runs, also those whose rows were all exported again."""
-        listed = self.spark.read.schema(manifest.MANIFEST).json(f"{self.root}/manifest")
+        listed = self._listed()
         done = self.ledgers.committed("partitions").where("state = 'completed'")
         return listed.join(
             done.select("run_id", *TABLE_KEY).distinct(), ["run_id", *TABLE_KEY], "left_semi"
         )
 
+    def _listed(self) -> DataFrame:
+        """Manifest entries of all runs, published or not."""
+        try:
+            return self.spark.read.schema(manifest.MANIFEST).json(f"{self.root}/manifest")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], manifest.MANIFEST)
+
     def _schemas(self, source: TableSource) -> dict[int, T.StructType]:
         """Recorded schemas of a table by version."""
         mine = ledger.table_state(self.ledgers.committed("versions"), source.dataset, source.table)

@@ -52,7 +52,7 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+def stored(df: DataFrame, label: str, path: str | None = None, mode: str = "errorifexists") -> DataFrame:
     """Write a frame once and read it back, for results that several later steps use.
 
     The lineage ends at the written table, so a lost executor costs no recomputation, and
@@ -60,5 +60,5 @@ def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = path or fresh_dir(spark, label)
-    df.write.parquet(path)
+    df.write.mode(mode).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

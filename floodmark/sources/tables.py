@@ -10,11 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floodmark.functions import ids
+from floodmark.functions.hashing import hash_shard
 
 
 @dataclass(frozen=True)
 class TableSource:
-    """A table to export. Without ``partition_on`` the whole table is one partition."""
+    """A table to export. Without ``partition_on`` the whole table is one partition.
+
+    With ``shard_on`` instead, the table is cut into hash shards of that column, and a run
+    writes only the shards whose content changed.
+    """
 
     dataset: str
     table: str
@@ -24,6 +29,8 @@ class TableSource:
     project: str = "default"
     granularity: str = "day"
     cluster_by: tuple[str, ...] = ()
+    shard_on: str | None = None
+    shards: int = 16
     # Modes that a DataFrame cannot tell, such as REQUIRED, by dotted path.
     modes: dict[str, str] = field(default_factory=dict)
 
@@ -31,7 +38,20 @@ class TableSource:
     def name(self) -> str:
         return f"{self.dataset}.{self.table}"
 
+    def __post_init__(self) -> None:
+        if self.shard_on is not None and self.partition_on is not None:
+            raise ValueError("a table is cut by time or into shards, not both")
+        if not 0 < self.shards < 100_000:
+            raise ValueError("shards must lie between 1 and 99,999")
+
+    @property
+    def kind(self) -> str:
+        return "times" if self.partition_on else "shards" if self.shard_on else "whole"
+
     def partition_id(self) -> Column:
+        if self.shard_on is not None:
+            shard = F.coalesce(hash_shard(F.col(self.shard_on), self.shards), F.lit(0))
+            return ids.shard_id(shard, self.shards)
         if self.partition_on is None:
             return F.lit(ids.FULL)
         bucket = ids.partition_bucket(F.col(self.partition_on), self.granularity)

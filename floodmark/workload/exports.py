@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from floodmark.functions import hashing, ids
 from floodmark.operators import batches, discovery, manifest, verify
+from floodmark.operators.journal import Journal
 from floodmark.plans import export
 from floodmark.plans.sync import Lake
 from floodmark.session import fresh_dir
 from floodmark.sources import files
-from floodmark.sources.tables import TableSource, with_text
+from floodmark.sources.tables import TableSource, union_all, with_text
 from floodmark.streaming import export as streaming
 from floodmark.workload import base
 from floodmark.workload.base import query
@@ -566,3 +567,96 @@ def value_diff(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["o_orderstatus", "o_orderpriority", "cents"]
     return verify.value_diff(orders, twice, "o_orderkey", columns)
 
+
+
+# -- runs that go on, tables that change in part ----------------------------------------
+
+
+class _Stops(BaseException):
+    """What ends a driver; a run cannot close itself then."""
+
+
+class _StoppedLake(Lake):
+    """A lake whose driver ends in the middle of the third table's export."""
+
+    written = 0
+
+    def _write(self, source: TableSource, plan: DataFrame, target: str, layout: export.Layout) -> None:
+        self.written += 1
+        if self.written < 3:
+            return super()._write(source, plan, target, layout)
+        super()._write(source, plan.where("batch_idx % 2 = 0"), target, layout)
+        raise _Stops
+
+
+@query(
+    """
+    select 'logs' as dataset, 'events' as "table", count(*) as read_rows, count(*) as listed_rows,
+      count(distinct event_id) as n_keys, 1 as attempt from events
+    union all
+    select 'shop', 'customer', count(*), count(*), count(distinct c_custkey), 1 from customer
+    union all
+    select 'shop', 'orders', count(*), count(*), count(distinct o_orderkey), 2 from orders"""
+)
+def resume_after_crash(spark: SparkSession, sf: str) -> DataFrame:
+    """A run dies in its third table. Started again, it writes that table only; each is present once."""
+    root = fresh_dir(spark, "resumed")
+    keys = {"events": "event_id", "customer": "c_custkey", "orders": "o_orderkey"}
+    sources = [base.events(spark, sf), base.customer(spark, sf), base.orders(spark, sf)]
+    starts = ["2024-02-01 00:00:00", "2024-02-01 06:00:00"]
+    try:
+        _StoppedLake(spark, root, at_once=1).sync(sources, "r1", starts[0], days=365)
+    except _Stops:
+        pass
+    lake = Lake(spark, root)
+    lake.sync(sources, "r1", starts[1], days=365)
+    steps = Journal(spark, root, "r1").steps()
+    listed = manifest.totals(lake.manifest()).select("dataset", "table", F.col("row_count").alias("listed_rows"))
+    read = union_all(
+        [
+            lake.read(s).agg(
+                F.lit(s.dataset).alias("dataset"),
+                F.lit(s.table).alias("table"),
+                F.count(F.lit(1)).alias("read_rows"),
+                F.countDistinct(keys[s.table]).alias("n_keys"),
+                F.lit(1 + starts.index(steps["written", s.name]["at"])).alias("attempt"),
+            )
+            for s in sources
+        ]
+    )
+    return read.join(listed, ["dataset", "table"])
+
+
+@query(
+    """
+    with shards as (
+      select *, ('0x' || substr(md5(c_custkey::varchar), 1, 8))::bigint % 16 as shard,
+        c_custkey % 1000 = 1 as edited from customer)
+    select 'shard-00016-' || lpad(shard::varchar, 5, '0') as partition_id,
+      case when shard = 3 then 0 else count(*) end as row_count,
+      case when shard = 3 then 0 else count(*) end as read_rows,
+      case when shard = 3 then 0 else sum(cast(round(c_acctbal * 100) as bigint) + edited::int)::bigint end as cents,
+      case when shard = 3 or bool_or(edited) then 'r2' else 'r1' end as run_id
+    from shards group by shard"""
+)
+def incremental_full_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table without partitions: between two runs some rows are edited and a shard loses all its rows.
+
+    The second run writes the shards of the edited rows only, and retires the emptied one.
+    """
+
+    def source(df: DataFrame) -> TableSource:
+        return TableSource("shop", "customer", df, shard_on="c_custkey", shards=16)
+
+    cents = base.cents("c_acctbal")
+    before = base.table(spark, sf, "customer").withColumn("cents", cents)
+    edited = before.withColumn("cents", F.col("cents") + (F.col("c_custkey") % 1000 == 1).cast("int"))
+    after = edited.where(hashing.hash_shard(F.col("c_custkey"), 16) != 3)
+    lake = Lake(spark, fresh_dir(spark, "full-table"))
+    lake.sync([source(before)], "r1", "2024-02-01 00:00:00")
+    lake.sync([source(after)], "r2", "2024-02-02 00:00:00")
+    now = source(after)
+    read = lake.read(now).groupBy(now.partition_id().alias("partition_id"))
+    read = read.agg(F.count(F.lit(1)).alias("read_rows"), F.sum("cents").alias("cents"))
+    state = lake.ledgers.latest("partitions").select("partition_id", "row_count", "run_id")
+    return state.join(read, "partition_id", "left").fillna(0, ["read_rows", "cents"])
