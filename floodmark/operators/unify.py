@@ -137,9 +137,12 @@ def storable(df: DataFrame, big_decimals: str = "string") -> DataFrame:
             micros = F.time_diff(F.lit("MICROSECOND"), F.lit("00:00:00").cast("time(6)"), column)
             return micros.cast("bigint")
         if isinstance(dtype, T.YearMonthIntervalType):
+            # An interval may lack its smaller fields, as INTERVAL DAY does.
+            column = column.cast(T.YearMonthIntervalType(0, 1))
             months = F.extract(F.lit("YEAR"), column) * 12 + F.extract(F.lit("MONTH"), column)
             return _interval(column, months, F.lit(0), F.lit(0))
         if isinstance(dtype, T.DayTimeIntervalType):
+            column = column.cast(T.DayTimeIntervalType(0, 3))
             seconds = F.extract(F.lit("SECOND"), column)
             micros = (
                 F.extract(F.lit("HOUR"), column).cast("bigint") * 3_600_000_000
