@@ -1,11 +1,14 @@
 """Embedding near-dedup by a forest of random projection trees with spill overlap.
 
-Only vectors of one label (and one dimension) are compared; these are the roots of ``TREES``
-trees each. Rounds split all nodes that are too large at once: a bounded sample of a node's
-vectors gives thresholds for some levels of random directions, then every vector of the node
-is routed, to both sides where it lies within ``SPILL`` of a threshold. What no round could
-make small (vectors closer than the overlap) is compared in blocks, so a node of any size is
-work of bounded tasks. Vectors that share a leaf are compared in double precision.
+Only vectors of one label (and one dimension) are compared. A label that fits one leaf is
+compared whole; a larger one is the root of ``TREES`` trees. Rounds split all nodes that are
+too large at once: a bounded sample of a node's vectors gives thresholds for some levels of
+random directions, then every vector of the node is routed, to both sides where it lies within
+``SPILL`` of a threshold. A root's vectors are routed through all its trees in one pass, and what
+comes out are numbers of leaves only; vectors meet them again when leaves are compared. A node
+that splitting hardly shrinks (vectors closer than the overlap) is left as it is, whatever
+the others do, and is compared in blocks, so a node of any size is work of bounded tasks.
+Vectors that share a leaf are compared in double precision.
 
 A linked pair is counted in the smallest leaf that both share, so counts need no list of
 pairs: a task gives the number of links of each vector and a forest of its links. Equal
@@ -13,33 +16,34 @@ vectors of a label are one class with their number.
 
 Defined results: rows with null labels or ids, and vectors that are null, empty, zero or hold null or
 non-finite components link with nothing (a null id has a null component and is kept); rows
-with equal ids are one node of the graph, but each is a vector of its own in the counts.
+with equal ids are one node of the graph, but each is a vector of its own in the counts; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
-
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodmark.llm.base import keep, query, table
 from floodmark.llm.components import components
-from floodmark.llm.near import by_key
 from floodmark.llm.topk import valid
 
 TREES = 8
 #: Overlap to both sides of a threshold, on unit vectors.
-SPILL = 0.03
+SPILL = 0.02
 #: Vectors of a leaf or block, sampled vectors that fit a node, levels of a round, most rounds.
 LEAF, SAMPLE, LEVELS, ROUNDS = 2048, 4000, 4, 12
+#: Vectors that are routed at a time, and the share of its parent above which a node counts as stuck.
+ROUTED, STUCK = 20_000, 0.8
 
 
-def units(vectors) -> np.ndarray:
-    v = np.array(list(vectors), np.float64)
+def units(vectors: pa.ChunkedArray) -> np.ndarray:
+    """Unit vectors of lists of one length."""
+    lists = vectors.combine_chunks()
+    v = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
     return v / np.sqrt((v * v).sum(axis=1))[:, None]
 
 
@@ -72,62 +76,79 @@ def route(vectors: np.ndarray, directions: np.ndarray, thresholds: np.ndarray, s
 
 
 def leaves(classes: DataFrame, trees: int, spill: float, leaf: int) -> DataFrame:
-    """(cid, leaf long, embedding), rows of leaves that rounds of splits have made small."""
-    tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
-    rows = classes.withColumn("tree", tree).select("cid", "embedding", F.xxhash64("label", "dim", "tree").alias("leaf"))
-    done, most = [], None
+    """(cid, leaf long): the leaves that rounds of splits put each class in."""
+    vectors = classes.select("cid", "embedding")
+    rows = classes.select("cid", F.xxhash64("label", "dim").alias("leaf"), F.lit(None).cast("long").alias("above"))
+    done = []
     for turn in range(ROUNDS):
-        rows = keep(rows, "leaves") if turn else rows  # roots are made again from the classes
-        sizes = rows.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > leaf)
-        sizes = keep(sizes, "large-leaves")
-        largest = sizes.agg(F.max("n")).first()[0]
-        if largest is None or (most is not None and largest > 0.8 * most):
+        rows = keep(rows, "nodes")
+        sizes = rows.groupBy("leaf").agg(F.count("*").alias("n"), F.max("above").alias("above"))
+        stuck = F.coalesce(F.col("n") > STUCK * F.col("above"), F.lit(False))
+        sizes = keep(sizes.where((F.col("n") > leaf) & ~stuck).drop("above"), "large-nodes")
+        done.append(rows.join(sizes, "leaf", "left_anti").select("cid", "leaf"))
+        if not sizes.take(1):
             break
-        most = largest
-        done.append(rows.join(sizes, "leaf", "left_anti"))
-        open_rows = rows.join(sizes, "leaf")
+        many = trees if turn == 0 else 1
+        large = rows.select("cid", "leaf").join(sizes, "leaf").join(vectors, "cid")
         share = F.pmod(F.xxhash64("cid", F.lit(turn)), F.lit(1 << 20)) < F.lit(SAMPLE) / F.col("n") * (1 << 20)
         wanted = F.least(F.lit(LEVELS), F.ceil(F.log2(F.col("n") / leaf))).cast("int")
 
-        def plan(sample: pd.DataFrame) -> pd.DataFrame:
-            node = int(sample["leaf"].iloc[0])
-            directions, thresholds = fit(units(sample.sort_values("cid")["embedding"]), node & 0xFFFFFFFF, int(sample["levels"].iloc[0]))
-            return pd.DataFrame({"leaf": [node], "directions": [directions.astype("<f8").tobytes()], "thresholds": [thresholds.astype("<f8").tobytes()]})
-
-        fitted = open_rows.where(share).select("leaf", "cid", "embedding", wanted.alias("levels"))
-        fitted = keep(fitted.groupBy("leaf").applyInPandas(plan, "leaf long, directions binary, thresholds binary"), "splits")
-
-        def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for node, part in batch.groupby("leaf", sort=False):
-                    thresholds = np.frombuffer(part["thresholds"].iloc[0])
-                    directions = np.frombuffer(part["directions"].iloc[0]).reshape(len(thresholds), -1)
-                    for k, at in route(units(part["embedding"]), directions, thresholds, spill):
-                        yield part.iloc[at].assign(child=k)[["cid", "embedding", "leaf", "child"]]
-
-        kinds = f"cid long, embedding {classes.schema['embedding'].dataType.simpleString()}, leaf long, child int"
-        rows = open_rows.join(fitted, "leaf").mapInPandas(split, kinds).select("cid", "embedding", F.xxhash64("leaf", "child").alias("leaf"))
-    for part in done:
-        rows = rows.unionByName(part.select(rows.columns))
-    return rows
-
-
-def compare(rows: pd.DataFrame, cosine: float) -> tuple[pd.DataFrame, list[tuple[int, int]]]:
-    """Links of one block pair that this leaf counts, and a forest of all its links."""
-    rows = rows.sort_values(["block", "cid"], ignore_index=True)
-    here, one, other = int(rows["leaf"].iloc[0]), int(rows["block_a"].iloc[0]), int(rows["block_b"].iloc[0])
-    u, block = units(rows["embedding"]), rows["block"].to_numpy()
-    linked = (u @ u.T) >= cosine
-    linked &= np.triu(np.ones(linked.shape, bool), 1)
-    if one != other:  # pairs inside a block have a task of their own
-        linked &= (block[:, None] == one) & (block[None, :] == other)
-    i, j = np.nonzero(linked)
+        def plan(sample: pa.Table) -> pa.Table:
+            node, levels = sample["leaf"][0].as_py(), sample["levels"][0].as_py()
+            unit = units(sample.sort_by("cid")["embedding"])
+            found = [fit(unit, (node ^ (tree * 0x9E3779B97F4A7C15)) & 0xFFFFFFFF, levels) for tree in range(many)]
+            directions, thresholds = (np.stack([f[k] for f in found]).astype("<f8").tobytes() for k in (0, 1))
+            return pa.table({"leaf": [node], "directions": pa.array([directions], pa.binary()), "thresholds": pa.array([thresholds], pa.binary()), "trees": pa.array([many], pa.int32())})
+
+        fitted = large.where(share).select("leaf", "cid", "embedding", wanted.alias("levels"))
+        fitted = keep(fitted.groupBy("leaf").applyInArrow(plan, "leaf long, directions binary, thresholds binary, trees int"), "splits")
+
+        def split(part: pa.Table, splits: pa.Table) -> pa.Table:
+            empty = pa.table({"cid": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "child": pa.array([], pa.int32()), "above": pa.array([], pa.int64())})
+            if not part.num_rows or not splits.num_rows:
+                return empty
+            thresholds = np.frombuffer(splits["thresholds"][0].as_py()).reshape(splits["trees"][0].as_py(), -1)
+            directions = np.frombuffer(splits["directions"][0].as_py()).reshape(*thresholds.shape, -1)
+            unit, cid, out = units(part["embedding"]), part["cid"].to_numpy(), []
+            for tree in range(len(thresholds)):
+                for k, at in route(unit, directions[tree], thresholds[tree], spill):
+                    out.append((cid[at], np.full(len(at), tree * (1 << LEVELS + 1) + k, np.int32)))
+            ids, child = (np.concatenate([o[k] for o in out]) for k in (0, 1))
+            fixed = {c: pa.array(np.full(len(ids), part[c][0].as_py())) for c in ("leaf", "n")}
+            return pa.table({"cid": ids, "node": fixed["leaf"], "child": child, "above": fixed["n"]})
+
+        # Each block of a node's vectors gets the node's splits once.
+        blocks = F.ceil(F.col("n") / ROUTED).cast("int")
+        dealt = large.select("leaf", "cid", "n", "embedding", F.pmod(F.xxhash64("cid"), blocks).cast("int").alias("block"))
+        splits = fitted.join(sizes, "leaf").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("n")
+        routed = dealt.groupBy("leaf", "block").cogroup(splits.groupBy("leaf", "block")).applyInArrow(split, "cid long, node long, child int, above long")
+        rows = routed.select("cid", F.xxhash64("node", "child").alias("leaf"), "above")
+    else:
+        done.append(rows.select("cid", "leaf"))
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionAll(part)
+    return out
+
+
+def compare(rows: pa.Table, cosine: float) -> pa.Table:
+    """(cid, n, to): links of one block pair that this leaf counts, and a forest of all its links."""
+    rows = rows.sort_by([("block", "ascending"), ("cid", "ascending")])
+    here, one, other = (rows[c][0].as_py() for c in ("leaf", "block_a", "block_b"))
+    u, block, cid = units(rows["embedding"]), rows["block"].to_numpy(), rows["cid"].to_numpy()
+    if one == other:
+        linked = np.triu((u @ u.T) >= cosine, 1)
+        i, j = np.nonzero(linked)
+    else:  # pairs inside a block have a task of their own
+        edge = int(np.searchsorted(block, other)) if one < other else 0
+        i, j = np.nonzero((u[:edge] @ u[edge:].T) >= cosine)
+        j = j + edge
     if not len(i):
-        return pd.DataFrame({"cid": [], "n": []}), []
-    width = rows["codes"].map(len).max()
-    codes = np.full((len(rows), width), np.iinfo(np.int64).max)
-    for k, c in enumerate(rows["codes"]):
-        codes[k, : len(c)] = c
+        return pa.table({"cid": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "to": pa.array([], pa.int64())})
+    lists = rows["codes"].combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    codes = np.full((len(rows), sizes.max()), np.iinfo(np.int64).max)
+    codes[np.arange(sizes.max()) < sizes[:, None]] = lists.flatten().to_numpy()
     # Vectors of a tight group mostly lie in the same leaves: kinds of leaf lists are compared.
     kinds, kind = np.unique(codes, axis=0, return_inverse=True)
     kind = kind.ravel()
@@ -140,7 +161,7 @@ def compare(rows: pd.DataFrame, cosine: float) -> tuple[pd.DataFrame, list[tuple
     own = mine[pair.ravel()]
     number = rows["number"].to_numpy()
     n = np.bincount(i[own], weights=number[j[own]], minlength=len(rows)) + np.bincount(j[own], weights=number[i[own]], minlength=len(rows))
-    label, cid = np.arange(len(rows)), rows["cid"].to_numpy()
+    label = np.arange(len(rows))
     while True:  # smallest label over links until nothing changes
         new = label.copy()
         np.minimum.at(new, i, label[j])
@@ -149,9 +170,15 @@ def compare(rows: pd.DataFrame, cosine: float) -> tuple[pd.DataFrame, list[tuple
         if (new == label).all():
             break
         label = new
-    at = np.flatnonzero(n)
-    joined = np.flatnonzero(label != np.arange(len(rows)))
-    return pd.DataFrame({"cid": cid[at], "n": n[at].astype(np.int64)}), list(zip(cid[joined].tolist(), cid[label[joined]].tolist(), strict=True))
+    at, joined = np.flatnonzero(n), np.flatnonzero(label != np.arange(len(rows)))
+    none = lambda k: pa.nulls(k, pa.int64())
+    return pa.table(
+        {
+            "cid": np.concatenate([cid[at], cid[joined]]),
+            "n": pa.concat_arrays([pa.array(n[at].astype(np.int64)), none(len(joined))]),
+            "to": pa.concat_arrays([none(len(at)), pa.array(cid[label[joined]])]),
+        }
+    )
 
 
 def near_vectors(
@@ -174,23 +201,18 @@ def near_vectors(
     classes = good.groupBy("label", "embedding").agg(F.min("id").alias("rep"), F.count("*").alias("number"))
     classes = keep(classes.withColumns({"dim": F.size("embedding"), "cid": F.monotonically_increasing_id()}), "classes")
 
-    placed = leaves(classes, trees, spill, leaf)
+    placed = keep(leaves(classes, trees, spill, leaf), "placed")
     codes = placed.groupBy("cid").agg(F.sort_array(F.collect_set("leaf")).alias("codes"))
     sizes = placed.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(leaf)).cast("int").alias("n_blocks"), F.count("*").alias("n")).where("n > 1")
-    rows = placed.join(sizes.drop("n"), "leaf").join(codes, "cid").join(classes.select("cid", "number"), "cid")
+    carried = classes.select("cid", "number", "embedding").join(codes, "cid")
+    rows = placed.join(sizes.drop("n"), "leaf").join(carried, "cid")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("n_blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
     rows = rows.withColumn("other", other).withColumns({"block_a": F.least("block", "other"), "block_b": F.greatest("block", "other")})
     keys = ["leaf", "block_a", "block_b"]
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in by_key(batches, keys):
-            counts, forest = compare(group, cosine)
-            yield pd.DataFrame({"cid": counts["cid"], "n": counts["n"], "to": None}).astype({"cid": "int64", "n": "Int64", "to": "Int64"})
-            yield pd.DataFrame({"cid": [a for a, _ in forest], "n": None, "to": [b for _, b in forest]}).astype({"cid": "int64", "n": "Int64", "to": "Int64"})
-
-    dealt = rows.select(*keys, "block", "cid", "number", "codes", "embedding").repartition(*keys).sortWithinPartitions(*keys)
-    found = keep(dealt.mapInPandas(work, "cid long, n long, to long"), "vector-links")
+    dealt = rows.select(*keys, "block", "cid", "number", "codes", "embedding")
+    found = dealt.groupBy(*keys).applyInArrow(lambda part: compare(part, cosine), "cid long, n long, to long")
+    found = keep(found, "vector-links")
 
     counts = found.where("n is not null").groupBy("cid").agg(F.sum("n").alias("n"))
     per_class = classes.join(counts, "cid", "left").select("label", "embedding", "rep", (F.coalesce("n", F.lit(0)) + F.col("number") - 1).alias("n_links"))

@@ -63,3 +63,22 @@ def test_same_as_brute_force(spark, seed, leaf):
 def test_empty_table(spark):
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert forest.near_vectors(vectors).collect() == []
+
+
+def test_recall_with_the_registered_parameters_on_a_label_that_is_split(spark):
+    """Pairs just above the threshold, in a label of several leaves: what the trees find against all pairs."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(3000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    away = rng.normal(size=base.shape)
+    away -= (away * base).sum(axis=1, keepdims=True) * base
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    cosine = 0.9305
+    v = np.float32(np.concatenate([base, cosine * base + math.sqrt(1 - cosine**2) * away]))
+    rows = [(k, x, 1) for k, x in enumerate(v.tolist())]
+    got = forest.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    u = v.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    links = ((u @ u.T) >= 0.93).sum() - len(u)
+    found = sum(r.n_links for r in got)
+    assert links >= 5900 and 0.99 * links <= found <= links
