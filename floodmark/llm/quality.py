@@ -11,7 +11,8 @@ and binned shares. It scores every document whole; those it takes for bad are re
 Labels are read by id: a document with any label of quality 0 or toxic 1 counts as bad.
 Defined results: text without words (null, empty, signs only) scores 1 and is rejected; rows of equal
 id and text score alike; labels without documents or with null ids are ignored; without
-labels the sample are documents by a hash of their id.
+labels of documents at hand the sample are documents by a hash of their id; texts of any length
+are scored whole, some at a time; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -227,7 +228,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     bad = F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(BAD)).otherwise(F.lit(GOOD))).alias("given")
     told = labels.where("doc_id is not null and (quality is not null or toxic is not null)")
     told = told.groupBy(F.col("doc_id").cast("long").alias("told_id")).agg(bad, F.max("toxic").alias("toxic"))
-    told = told.orderBy(F.xxhash64("told_id"), "told_id").limit(fit_rows)
+    # Only labels of documents that are there fill the sample: they may be a small part of the labelled ones.
+    here = docs.select(ids.alias("told_id")).distinct()
+    told = told.join(here, "told_id", "left_semi").orderBy(F.xxhash64("told_id"), "told_id").limit(fit_rows)
     sample = [(r.told_id, r.given, r.toxic or 0) for r in told.collect()]
     if not sample:
         some = docs.where(ids.isNotNull()).select(ids.alias("told_id")).distinct().orderBy(F.xxhash64("told_id"), "told_id").limit(fit_rows)

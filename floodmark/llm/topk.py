@@ -7,7 +7,8 @@ bucket this is the cosine that a vector of the bucket must have at least. A buck
 need a cosine above 1 is left out for the query. Inside a bucket a high cosine threshold picks
 pruning by coordinates (each large coordinate of the query confines that of its matches to
 an interval), a low one pruning by length (vectors too short for the bound are skipped). What
-is left is verified by its product, the bound rising as better ones are found.
+is left is verified by its product. A query's bound stays as it is: buckets are searched by
+tasks of their own, at the same time.
 
 Defined results: vectors that are null, empty or hold null or non-finite components take no
 part, nor rows without an id; vectors of another dimension than the query's are no candidates;
@@ -147,8 +148,10 @@ def top_k(
     # A query goes to the buckets whose longest vector can reach its bound.
     reach = asked.join(numbers, "dim").where(F.col("least") <= F.col("norm") * F.col("most") * (1 + 1e-9))
     left = reach.withColumn("block", F.explode(F.sequence("first", F.col("first") + F.col("n_blocks") - 1)))
-    # Each block of vectors goes to every block of queries of its dimension.
-    right = probes.withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    # A block of vectors goes to those blocks of queries that have a query which can reach it.
+    met = reach.select("ask", "first", "n_blocks").distinct()
+    met = met.withColumn("block", F.explode(F.sequence("first", F.col("first") + F.col("n_blocks") - 1))).select("block", F.col("ask").alias("met_ask"))
+    right = probes.join(met, "block")
 
     def search(asks: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(asks) or not len(found):
@@ -161,7 +164,7 @@ def top_k(
         return pd.concat(out, ignore_index=True)
 
     grouped = left.select("block", "ask", "id", "v", "least").groupBy("block", "ask")
-    pairs = grouped.cogroup(right.select("block", "ask", "id", "v").groupBy("block", "ask")).applyInPandas(search, "query_id long, vec_id long, score long")
+    pairs = grouped.cogroup(right.select(F.col("block").alias("met_block"), "met_ask", "id", "v").groupBy("met_block", "met_ask")).applyInPandas(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -80,3 +80,16 @@ def test_word_list_needs_support():
     assert quality.word_list(docs + clean, np.array([True] * 9 + [False] * 50)).tolist() == [1, 2]
     assert quality.word_list([docs[0]] * 9 + clean, np.array([True] * 9 + [False] * 50)).tolist() == []  # copies count once
     assert len(quality.word_list(clean, np.zeros(50, bool))) == 0
+
+
+def test_labels_of_other_documents_do_not_fill_the_sample(spark):
+    """Documents are a part of the labelled ones: their own labels are what the model learns from."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    own = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    kinds = ", ".join(f"cast({v} as {own.schema[c].dataType.simpleString()}) as {c}" for c, v in (("doc_id", "id + 1000000"), ("quality", "1"), ("toxic", "0")))
+    others = spark.range(5000).selectExpr(*kinds.split(", "))
+    few = own.count()
+    alone = quality.classify(docs, own, fit_rows=few)
+    among = quality.classify(docs, own.unionByName(others), fit_rows=few)
+    scores = [sorted((r.doc_id, round(r.score, 6), r.rejected) for r in d.select("row.doc_id", "score", "rejected").collect()) for d in (alone, among)]
+    assert scores[0] == scores[1] and any(r for _, _, r in scores[0])
