@@ -42,8 +42,8 @@ PIECES, SEGMENTS = 1_000_000, 600_000
 #: Characters that are encoded at a time, about.
 SLAB = 4 << 20
 MEMORY = "400MB"
-#: Bytes of a section of a long word, and bytes that one query contracts, about.
-SECTION, CONTRACTED = 64, 1 << 17
+#: Bytes of a section of a long word, and rows of all rounds of one query, at most, about.
+SECTION, CONTRACTED = 64, 12_000_000
 
 # Blank and line characters begin a new piece after any other character; so texts can be cut
 # there first, unless they hold other white space.
@@ -73,7 +73,9 @@ with recursive states(word, pos, token, done) as (
     where best is null or pos <> best % 8388608
   )
 )
-select word, list(token order by pos) as ids from states where done group by word
+select word, string_agg(token::varchar, ',' order by pos) as ids, string_agg(hex, '' order by pos) as hex
+from states join vocabulary on id = token
+where done group by word
 """
 
 DECODE = """
@@ -102,7 +104,7 @@ class Codec:
         self.fill("merges", left_token=pa.array(left, pa.int32()), right_token=pa.array(right, pa.int32()), rank=pa.array(rank, pa.int64()))
         self.fill("vocabulary", id=pa.array(self.ranks.values(), pa.int32()), hex=pa.array([t.hex() for t in self.ranks]))
         self.length = {r: len(t) for t, r in self.ranks.items()}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[bytes, bytes]] = {}  # ids, and what they decode to
         self.ids: dict[str, bytes] = {}  # decimals joined by commas
         self.bytes: dict[str, bytes] = {}
 
@@ -111,17 +113,17 @@ class Codec:
         self.db.execute(f"create or replace table {name} as select * from given")
         self.db.unregister("given")
 
-    def contract(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of words, some at a time."""
-        out, since, held = [], 0, 0
+    def contract(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """Ids of words (decimals joined by commas) and the bytes that they decode to, some words at a time."""
+        out, since, rows = [], 0, 0
         for i, word in enumerate(words):
-            held += len(word)
-            if held >= CONTRACTED or i + 1 == len(words):
+            rows += len(word) * (len(word) + 1) // 2
+            if rows >= CONTRACTED or i + 1 == len(words):
                 out += self._contract(words[since : i + 1])
-                since, held = i + 1, 0
+                since, rows = i + 1, 0
         return out
 
-    def _contract(self, words: list[bytes]) -> list[list[int]]:
+    def _contract(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
         if max(map(len, words)) >= LONGEST:
             raise ValueError(f"{LONGEST} bytes without a place to cut them")
         sizes = np.array([len(w) for w in words])
@@ -129,19 +131,19 @@ class Codec:
         pos = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         token = np.array(self.base, np.int32)[np.frombuffer(b"".join(words), np.uint8)]
         self.db.register("tokens", pa.table({"word": word, "pos": pos.astype(np.int32), "token": token}))
-        out: list[list[int]] = [[] for _ in words]
-        for k, ids in self.db.execute(CONTRACT).fetchall():
-            out[k] = ids
+        out: list[tuple[bytes, bytes]] = [(b"", b"")] * len(words)
+        for k, ids, hexed in self.db.execute(CONTRACT).fetchall():
+            out[k] = ids.encode(), bytes.fromhex(hexed)
         self.db.unregister("tokens")
         return out
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of words of any length."""
+    def encode_long(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of words of any length, from those of their sections."""
         out: list[list[int] | None] = [None] * len(words)
         open_words, size = list(range(len(words))), SECTION
         while open_words:
             sections = {k: [words[k][a : a + size] for a in range(0, max(len(words[k]) - size // 2, 1), size // 2)] for k in open_words}
-            found = iter(self.contract([s for k in open_words for s in sections[k]]))
+            found = iter([[int(i) for i in ids.split(b",")] for ids, _ in self.contract([s for k in open_words for s in sections[k]])])
             for k in open_words:
                 out[k] = self.joined([next(found) for _ in sections[k]], size // 2)
             open_words, size = [k for k in open_words if out[k] is None], 2 * size
@@ -171,17 +173,21 @@ class Codec:
         return ids
 
     def learn_words(self, words: list[str]) -> None:
-        """Remember the ids of new words."""
-        hard = []
+        """Remember the ids of new words, and the bytes that these ids decode to."""
+        short, known, lists = [], [], []
         for word in words:
             data = word.encode("utf-8", "surrogatepass")
             rank = self.ranks.get(data)
-            if rank is None:
-                hard.append((word, data))
-            else:  # a word that is a token is that token
-                self.words[word] = [rank]
-        for (word, _), ids in zip(hard, self.encode_words([d for _, d in hard]), strict=True):
-            self.words[word] = ids
+            if rank is not None:  # a word that is a token is that token
+                known.append(word), lists.append([rank])
+            elif len(data) <= SECTION:
+                short.append((word, data))
+        for (word, _), found in zip(short, self.contract([d for _, d in short]), strict=True):
+            self.words[word] = found
+        long = sorted(set(words).difference(self.words, known))
+        lists += self.encode_long([w.encode("utf-8", "surrogatepass") for w in long])
+        for word, ids, data in zip([*known, *long], lists, self.decode(lists), strict=True):
+            self.words[word] = b",".join([b"%d" % i for i in ids]), data
 
     def segments(self, text: str) -> list[str]:
         return self.pattern.findall(text) if _OTHER_SPACE.search(text) else _SEGMENT.findall(text)
@@ -199,11 +205,10 @@ class Codec:
         if len(self.words) + len(wanted) > PIECES:
             self.words.clear()
         self.learn_words(list(wanted.difference(self.words)))
-        found_ids = [[i for p in found for i in self.words[p]] for found in pieces.values()]
-        # What a segment's ids decode to is remembered, not what they came from.
-        for segment, ids, data in zip(pieces, found_ids, self.decode(found_ids), strict=True):
-            self.ids[segment] = b",".join([b"%d" % i for i in ids])
-            self.bytes[segment] = data
+        for segment, found in pieces.items():
+            known = [self.words[p] for p in found]
+            self.ids[segment] = b",".join([k[0] for k in known])
+            self.bytes[segment] = b"".join([k[1] for k in known])
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """Per text: its ids as decimals joined by commas, and the bytes that they decode to."""
