@@ -18,6 +18,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from struct import pack as packed
 from zlib import crc32
 
 import numpy as np
@@ -33,7 +34,7 @@ from floodmark.llm.words import split
 #: Pieces that one task packs at a time.
 SHARD = 50_000
 #: Words, and pieces of words, whose ids a Python worker remembers.
-REMEMBERED, PIECES = 300_000, 200_000
+REMEMBERED, PIECES = 300_000, 400_000
 SLAB = 300_000
 
 
@@ -78,10 +79,15 @@ class WordIds:
         if len(self.ids_of_piece) > PIECES:
             self.ids_of_piece.clear()
         hard = []
+        special = set()
+        if self.special and self.special.search(b" ".join(new)):
+            special = {w for w in new if self.special.search(w)}
         for word in new:
             text = word.decode("utf-8", "replace")
-            if _LATIN.fullmatch(text) and not (self.special and self.special.search(word)):
-                self.known[word] = b"".join(map(self.piece, self.cut(text.lower())))
+            if _LATIN.fullmatch(text) and word not in special:
+                text = text.lower()
+                # Letters alone are one piece.
+                self.known[word] = self.piece(text) if text.isalpha() else b"".join(map(self.piece, self.cut(text)))
             else:
                 hard.append(word)
         new = hard
@@ -95,7 +101,8 @@ class WordIds:
         ids = self.ids_of_piece.get(piece)
         if ids is None:
             form = piece.encode().decode("latin-1").translate(BYTE_FORM)
-            ids = self.ids_of_piece[piece] = np.array([t.id for t in self.tokenizer.model.tokenize(form)], "<u4").tobytes()
+            found = self.tokenizer.model.tokenize(form)
+            ids = self.ids_of_piece[piece] = packed(f"<{len(found)}I", *[t.id for t in found])
         return ids
 
     def encode(self, words: list[bytes]) -> bytes:
