@@ -87,20 +87,23 @@ def discover(source: TableSource, with_bytes: bool = False) -> DataFrame:
     ).select(*PARTITION_COLUMNS)
 
 
-def discover_shards(source: TableSource) -> DataFrame:
+def discover_shards(source: TableSource, with_bytes: bool = False) -> DataFrame:
     """Hash shards of a table without partitions, with the fingerprint of each one's content.
 
     All columns are read once; fingerprints are sums, so what is shuffled is one row per
     shard and task, and a shard with most of the rows costs no more than any other.
     """
-    grouped = source.frame.groupBy(source.partition_id().alias("partition_id")).agg(*hashing.fingerprint_aggregates(source.frame))
+    size = F.sum(row_size(source.frame)) if with_bytes else F.lit(None)
+    grouped = source.frame.groupBy(source.partition_id().alias("partition_id")).agg(
+        *hashing.fingerprint_aggregates(source.frame), size.cast("bigint").alias("total_logical_bytes")
+    )
     return grouped.select(
         F.lit(source.project).alias("project"),
         F.lit(source.dataset).alias("dataset"),
         F.lit(source.table).alias("table"),
         "partition_id",
         F.col("row_count").alias("total_rows"),
-        F.lit(None).cast("bigint").alias("total_logical_bytes"),
+        "total_logical_bytes",
         F.lit(None).cast("timestamp_ntz").alias("last_modified"),
         "fingerprint",
     )

@@ -138,6 +138,8 @@ class Rule:
 
     With ``skip_unchanged`` partitions with a new change time, but the same rows and logical
     bytes as exported, are not exported again; finding that out reads all their columns.
+    With ``sized_files`` files are planned from bytes, which reads all columns as well: large
+    partitions are cut where their clustering columns cut them evenly, small ones share files.
     """
 
     pattern: str
@@ -145,6 +147,7 @@ class Rule:
     batch_days: int = 7
     include: bool = True
     skip_unchanged: bool = False
+    sized_files: bool = False
 
     def __post_init__(self) -> None:
         if self.strategy not in ("partition", "full_refresh"):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,20 +13,24 @@ from pyspark.sql import types as T
 
 from floodmark.functions import ids
 from floodmark.functions.hashing import hash_shard
+from floodmark.operators.discovery import row_size
+from floodmark.operators.filesizes import (
+    LARGEST_FILE_BYTES,
+    MIB,
+    SMALLEST_FILE_BYTES,
+    TARGET_FILE_BYTES,
+    file_count as file_count,  # noqa: F401  (callers find it here)
+)
 from floodmark.operators.keyed import join_per_key
+from floodmark.session import stored
 from floodmark.sources.tables import TableSource, union_all, with_text
 
-MIB = 1024 * 1024
-
 # Writer settings of an export.
 ZSTD_LEVEL = 9
 PAGE_BYTES = 1 * MIB
 DICTIONARY_BYTES = 2 * MIB
 GROUP_ROWS = 1_048_576
 FORMAT = "v2"
-TARGET_FILE_BYTES = 256 * MIB
-SMALLEST_FILE_BYTES = 64 * MIB
-LARGEST_FILE_BYTES = 2048 * MIB
 CODECS = ("zstd", "snappy")
 
 # Ranges in the filter of one scan; more ranges are read by more scans, never by a wider one.
@@ -35,12 +39,19 @@ RANGES_A_SCAN = 64
 # Shuffled rows take about this many times the bytes of the Parquet files they become.
 SHUFFLE_TO_FILE = 3
 
+# Rows for each file that the cuts of a large partition are drawn from: pieces differ by some 6 %.
+ROWS_A_CUT = 256
+
+# Longest search for a row's piece: two to this power is beyond the files of any partition.
+SEARCH_STEPS = 20
+
 
 @dataclass(frozen=True)
 class Layout:
     """How rows are spread over files.
 
-    ``max_rows`` bounds a file whatever its bytes, ``group_rows`` a row group.
+    ``max_rows`` bounds a file whatever its bytes, ``group_rows`` a row group. ``smallest_bytes``
+    and ``largest_bytes`` bound the target of files that are planned by size.
     """
 
     codec: str = "zstd"
@@ -49,6 +60,8 @@ class Layout:
     max_rows: int = 0
     group_rows: int = GROUP_ROWS
     cluster_by: tuple[str, ...] = ()
+    smallest_bytes: int = SMALLEST_FILE_BYTES
+    largest_bytes: int = LARGEST_FILE_BYTES
 
     def __post_init__(self) -> None:
         if self.codec not in CODECS:
@@ -111,12 +124,6 @@ def write_counted(df: DataFrame, path: str, name: str, **options) -> int:
     return seen.get["rows"]
 
 
-def file_count(stored_bytes: Column, target: int = TARGET_FILE_BYTES) -> Column:
-    """Files for an amount of stored bytes, with the target kept between 64 MiB and 2 GiB."""
-    target = min(max(target, SMALLEST_FILE_BYTES), LARGEST_FILE_BYTES)
-    return F.greatest(F.lit(1), F.ceil(stored_bytes / F.lit(target))).cast("int")
-
-
 def arrange(df: DataFrame, by: Sequence[str], layout: Layout = Layout()) -> DataFrame:
     """Bring the rows of each directory together in tasks of about one file each.
 
@@ -185,18 +192,19 @@ def within_spans(source: TableSource, spans: Spans) -> DataFrame:
     return union_all(scans) if scans else source.frame.where(F.lit(False))
 
 
-def assign_rows(source: TableSource, plan: DataFrame) -> DataFrame:
-    """Rows of the planned partitions with their partition id and batch.
+def assign_rows(source: TableSource, plan: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Rows of the planned partitions with their partition id and batch, and more of the plan's columns.
 
     ``plan`` has one row per partition. Rows meet it by date or truncated time, and take
     the id's text from it, so no text is made per row.
     """
     if source.shard_on is not None:
-        known = plan.where("total_rows > 0").select("partition_id", "batch")
+        known = plan.where("total_rows > 0").select("partition_id", "batch", *carry)
         return join_per_key(source.frame.withColumn("partition_id", source.partition_id()), known, ["partition_id"], "inner")
     if source.partition_on is None:
         label = ids.batch_label(F.lit(ids.FULL), F.lit(ids.FULL))
-        return source.frame.withColumns({"partition_id": F.lit(ids.FULL), "batch": label})
+        rows = source.frame.withColumns({"partition_id": F.lit(ids.FULL), "batch": label})
+        return join_per_key(rows, plan.select("partition_id", *carry), ["partition_id"], "inner") if carry else rows
 
     def keyed(bucket: Column) -> dict[str, Column]:
         # An equality join never matches nulls, so they get a flag of their own.
@@ -207,7 +215,7 @@ def assign_rows(source: TableSource, plan: DataFrame) -> DataFrame:
     rows = within_spans(source, planned_spans(source, plan)).withColumns(
         keyed(ids.partition_bucket(F.col(source.partition_on), source.granularity))
     )
-    known = plan.select("partition_id", "batch").withColumns(
+    known = plan.select("partition_id", "batch", *carry).withColumns(
         keyed(ids.bucket_of_id(F.col("partition_id"), source.granularity))
     )
     key = ["_bucket", "_none"]
@@ -239,8 +247,16 @@ def export_batches(
     """Write the planned partitions, one directory per batch.
 
     The partition id stays in the files: a later run that exports one of the batch's
-    partitions again replaces just those rows for readers.
+    partitions again replaces just those rows for readers. A plan that names files
+    (``filesizes.plan_files``) is followed: each file is one task's work.
     """
+    if "first_file" in plan.columns:
+        files, rows, size = plan.agg(
+            F.max(F.col("first_file") + F.col("pieces")), F.sum("total_rows"), F.sum("stored_bytes")
+        ).first()
+        if files is not None:
+            write_planned(source, plan, files, target, _bounded(layout, rows, size))
+            return
     rows = assign_rows(source, plan)
     # A table that is one partition is one batch: its input splits become its files.
     whole = source.kind == "whole" and not layout.cluster_by
@@ -249,6 +265,80 @@ def export_batches(
     write_parquet(arranged, target, layout, ["batch"])
 
 
+def _bounded(layout: Layout, rows: int, size: int) -> Layout:
+    """The layout with the rows of the largest file, should rows that are alike leave a piece too big."""
+    most = max(1, layout.largest_bytes * max(rows, 1) // max(size, 1))
+    return replace(layout, max_rows=min(layout.max_rows or most, most))
+
+
+def row_place(frame: DataFrame, by: Sequence[str]) -> Column:
+    """Where a row stands in its partition: by the clustering columns, then by a hash of the row.
+
+    The hash parts rows of a clustering value that is more than a file holds, and orders
+    partitions of tables that are not clustered. Nulls come first.
+    """
+    hashed = [F.col(f"`{f.name}`") for f in frame.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(by)], F.xxhash64(*hashed).alias("h"))
+
+
+def cut_points(source: TableSource, plan: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Where the partitions of several pieces are cut: weighted quantiles of their rows' places.
+
+    Each row weighs its logical bytes. The cuts are drawn from rows picked at a rate that gives
+    each piece about ``ROWS_A_CUT`` of them, and from all rows of partitions that have no more;
+    the rows that are written are all rows. One row per partition: ``cuts``, in order. Rows
+    that are alike have one place and are never cut apart.
+    """
+    large = plan.where("pieces > 1").withColumn(
+        "_rate", F.least(F.lit(1.0), F.lit(ROWS_A_CUT) * F.col("pieces") / F.col("total_rows"))
+    )
+    rows = assign_rows(source, large, ["pieces", "_rate"]).where(F.rand(7) <= F.col("_rate"))
+    weighed = rows.select(
+        "partition_id", "pieces",
+        row_place(source.frame, by).alias("place"),
+        (row_size(source.frame) + 1).alias("weight"),
+    )
+    whole = Window.partitionBy("partition_id")
+    before = whole.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.sum("weight").over(before), F.lit(0))
+    piece = F.floor(reached * F.col("pieces") / F.sum("weight").over(whole))
+    opens = weighed.withColumn("piece", piece).groupBy("partition_id", "piece").agg(F.min("place").alias("place"))
+    return opens.where("piece > 0").groupBy("partition_id").agg(F.array_sort(F.collect_list("place")).alias("cuts"))
+
+
+def piece_of(cuts: Column, place: Column) -> Column:
+    """How many of the ordered cuts are not beyond a place, by binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(SEARCH_STEPS))])
+    n = F.size(cuts)
+
+    def step(found: Column, more: Column) -> Column:
+        there = found + more
+        return F.when((there <= n) & (F.get(cuts, there - 1) <= place), there).otherwise(found)
+
+    return F.when(cuts.isNull() | (n == 0), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), step))
+
+
+def write_planned(source: TableSource, plan: DataFrame, n_files: int, target: str, layout: Layout) -> None:
+    """Write the planned partitions into the files that the plan names, with one shuffle.
+
+    The number of a row's file is the number of the task that writes it, so neither hash
+    collisions nor merged tasks change a file's size, and a task that runs again gets the same
+    rows. Pieces of a clustered partition are ranges of the clustering columns.
+    """
+    carry = ["first_file"]
+    if not plan.where("pieces > 1").isEmpty():
+        cuts = stored(cut_points(source, plan, layout.cluster_by), "cuts")
+        plan = join_per_key(plan, cuts, ["partition_id"], "left")
+        carry.append("cuts")
+    rows = assign_rows(source, plan, carry)
+    number = F.col("first_file")
+    if "cuts" in carry:
+        number = number + piece_of(F.col("cuts"), row_place(source.frame, layout.cluster_by))
+    dealt = rows.withColumn("first_file", number.cast("int")).drop("cuts").repartitionById(n_files, F.col("first_file"))
+    ordered = dealt.drop("first_file").sortWithinPartitions("batch", *layout.cluster_by)
+    write_parquet(ordered, target, layout, ["batch"])
+
+
 def export_partitions(
     df: DataFrame, partition: Column, target: str, layout: Layout = Layout()
 ) -> None:

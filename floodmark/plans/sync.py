@@ -17,6 +17,7 @@ from floodmark.functions import ids
 from floodmark.operators import (
     batches,
     discovery,
+    filesizes,
     incremental,
     ledger,
     manifest,
@@ -287,9 +288,9 @@ class Lake:
         found: dict[str, list[DataFrame]] = {"times": [], "shards": [], "whole": []}
         for source, (_, rule) in zip(narrowed, chosen):
             if source.kind == "shards":
-                parts = discovery.discover_shards(source)
+                parts = discovery.discover_shards(source, with_bytes=rule.sized_files)
             else:
-                parts = discovery.discover(source, with_bytes=rule.skip_unchanged)
+                parts = discovery.discover(source, with_bytes=rule.skip_unchanged or rule.sized_files)
                 parts = parts.withColumn("fingerprint", F.lit(None).cast("string"))
             kind = "times" if source.kind == "whole" and rule.strategy == "partition" else source.kind
             found[kind].append(parts.withColumn("batch_days", F.lit(rule.batch_days)))
@@ -305,8 +306,10 @@ class Lake:
             parts = union_all(found["shards"]).drop("batch_days")
             wanted.append(incremental.changed_shards(parts, mine).withColumn("batch_days", days))
         rows = union_all(wanted)
-        if any(rule.skip_unchanged for _, rule in chosen):
-            rows = incremental.mark_unchanged(rows, state)
+        skips = [s.name for s, rule in chosen if rule.skip_unchanged and s.kind != "shards"]
+        if skips:
+            asked = F.concat_ws(".", *TABLE_KEY).isin(skips)
+            rows = incremental.mark_unchanged(rows, state).withColumn("unchanged", F.col("unchanged") & asked)
         else:
             rows = rows.withColumn("unchanged", F.lit(False))
         rows = stored(rows, "wanted", f"{folder}/wanted", mode)
@@ -315,8 +318,39 @@ class Lake:
         plan = union_all(
             [batches.label_batches(batches.assign_batches(todo.where(F.col("batch_days") == days), days)) for days in every]
         )
+        sized = [s.name for s, rule in chosen if rule.sized_files]
+        if sized:
+            plan = self._with_files(plan, sized)
         return rows, stored(plan, "plan", f"{folder}/plan", mode)
 
+    def _with_files(self, plan: DataFrame, names: Sequence[str]) -> DataFrame:
+        """The plan with the files of the named tables: ``stored_bytes``, ``pieces``, ``first_file``.
+
+        Stored bytes are logical bytes times what the table's earlier files took of them.
+        """
+        asked = F.concat_ws(".", *TABLE_KEY).isin(list(names)) & (F.col("total_rows") > 0)
+        default = F.lit(1 / export.SHUFFLE_TO_FILE)
+        size = F.ceil(F.col("total_logical_bytes") * F.coalesce("ratio", default)).cast("bigint")
+        mine = join_per_key(plan.where(asked), self.stored_ratio(), TABLE_KEY, "left")
+        mine = mine.withColumn("stored_bytes", size).drop("ratio")
+        layout = self.layout
+        files_of = filesizes.plan_files(
+            mine, F.col("stored_bytes"), layout.target_bytes, layout.smallest_bytes, layout.largest_bytes
+        )
+        return plan.where(~asked).unionByName(files_of, allowMissingColumns=True)
+
+    def stored_ratio(self) -> DataFrame:
+        """Bytes in files for each logical byte, by table, over the runs that measured both."""
+        run = ["run_id", *TABLE_KEY]
+        parts = self.ledgers.committed("partitions").where("state = 'completed'")
+        logical = parts.groupBy(*run).agg(
+            F.sum("logical_bytes").alias("logical"),
+            F.bool_and((F.col("logical_bytes").isNotNull()) | (F.col("row_count") == 0)).alias("known"),
+        )
+        sizes = self._listed().groupBy(*run).agg(F.sum("size").alias("size"))
+        both = logical.where("known and logical > 0").join(sizes, run)
+        return both.groupBy(*TABLE_KEY).agg((F.sum("size") / F.sum("logical")).alias("ratio"))
+
     def _touched(self, source: TableSource, watermark: dt.datetime | None) -> TableSource:
         """The source without the partitions that hold no row changed since the watermark.
 
@@ -487,7 +521,7 @@ class Lake:
         and partition that each run counted tell what is left of a file.
         """
         listed = self.published()
-        counted = self._written()
+        counted = self.written_files()
         if counted is None:
             return listed.withColumn("superseded", F.lit(0).cast("bigint"))
         current = self.ledgers.latest("partitions").select(*KEY, "run_id")
@@ -504,8 +538,8 @@ class Lake:
             (F.col("row_count") - F.col("live")).alias("superseded"),
         )
 
-    def _written(self) -> DataFrame | None:
-        """Rows by file and partition of all runs."""
+    def written_files(self) -> DataFrame | None:
+        """Rows by file and partition of all runs, published or not; None before the first."""
         schema = "dataset string, table string, schema_version string, batch string, partition_id string, row_count bigint, path string"
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/runs/*/written")

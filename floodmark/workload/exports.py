@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from floodmark.functions import hashing, ids
 from floodmark.operators import batches, discovery, manifest, verify
+from floodmark.operators.incremental import Rule
 from floodmark.operators.journal import Journal
 from floodmark.plans import digests, export
 from floodmark.plans.sync import Lake
@@ -687,3 +688,55 @@ def diff_by_digest_tree(spark: SparkSession, sf: str) -> DataFrame:
     added = events.where((day == 3) & (number % 50 == 0)).withColumns({"event_id": -number - 1, "cents": F.lit(0).cast("bigint")})
     source, copy = (TableSource("logs", "events", df, "ts") for df in (events, kept.unionByName(added)))
     return digests.value_diff(source, copy, "event_id", ["cents", "event_type", "user_id"])
+
+
+# Fixed value: target of the planned files below, small enough that test tables need many.
+_SMALL_FILE = 16_384
+
+
+@query(
+    f"""
+    with recursive e as (
+      select case when event_id % 3 = 0 then timestamp '2024-01-10 12:00:00' else ts end as ts,
+        8 * ((event_id is not null)::int + 1 + (user_id is not null)::int + (value is not null)::int)
+          + coalesce(strlen(event_type) + 2, 0) + coalesce(strlen(props) + 2, 0) as bytes from events),
+    days as (select ts::date as d, count(*) as row_count, sum(bytes)::bigint as bytes from e group by 1),
+    sized as (
+      select *, (d - (select min(d) from days)) // 7 as b, ceil(bytes * (1.0::double / 3))::bigint as size,
+        greatest(1, ceil(ceil(bytes * (1.0::double / 3)) / {_SMALL_FILE}))::int as pieces from days),
+    small as (select *, row_number() over (partition by b order by size desc, d) as i from sized where pieces = 1),
+    packed as (
+      select distinct b, 0::bigint as i, []::bigint[] as free, 0 as bin from small
+      union all
+      select s.b, s.i,
+        case when p.at = 0 then list_append(f.free, {_SMALL_FILE} - s.size)
+          else list_transform(f.free, lambda x, j: case when j = p.at then x - s.size else x end) end,
+        case when p.at = 0 then len(f.free) + 1 else p.at end
+      from packed f join small s on s.b = f.b and s.i = f.i + 1,
+        lateral (select coalesce(list_position(list_transform(f.free, lambda x: x >= s.size), true), 0) as at) p),
+    placed as (
+      select z.b, z.d, z.pieces, z.row_count, case when z.pieces = 1 then k.bin end as bin
+      from sized z left join small s on s.d = z.d left join packed k on k.b = s.b and k.i = s.i),
+    units as (select b, bin, case when bin is null then d end as d, max(pieces) as n from placed group by 1, 2, 3),
+    numbered as (
+      select *, coalesce(sum(n) over (order by b, bin nulls last, d rows between unbounded preceding and 1 preceding), 0)::int as first_file
+      from units)
+    select strftime(p.d, '%Y%m%d') as partition_id, p.pieces, n.first_file, p.row_count,
+      p.row_count as listed_rows, p.pieces as n_files
+    from placed p join numbered n on n.b = p.b and n.bin is not distinct from p.bin and (p.bin is not null or n.d = p.d)"""
+)
+def file_plan_by_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """Files planned from bytes and written so: a day with a third of all rows is cut, small days share files."""
+    frame = base.table(spark, sf, "events")
+    hot = F.lit("2024-01-10 12:00:00").cast(frame.schema["ts"].dataType)
+    frame = frame.withColumn("ts", F.when(F.col("event_id") % 3 == 0, hot).otherwise(F.col("ts")))
+    source = TableSource("logs", "events", frame, "ts", cluster_by=("user_id",))
+    root = fresh_dir(spark, "sized")
+    lake = Lake(spark, root, export.Layout(target_bytes=_SMALL_FILE, smallest_bytes=1024))
+    lake.sync([source], "r1", "2024-02-01 00:00:00", rules=[Rule("*", sized_files=True)])
+    planned = spark.read.parquet(f"{root}/runs/r1/plan").select("partition_id", "pieces", "first_file")
+    found = lake.written_files().groupBy("partition_id").agg(
+        F.countDistinct("path").alias("n_files"), F.sum("row_count").alias("listed_rows")
+    )
+    read = lake.read(source).groupBy(source.partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("row_count"))
+    return planned.join(found, "partition_id", "left").join(read, "partition_id", "left")
