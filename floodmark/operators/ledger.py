@@ -4,6 +4,10 @@ A row of the partitions ledger is the outcome of one partition in one run, good
 
 A change of state is a new row; the latest row of a key is its state. Plain Parquet
 has no MERGE, and appending keeps every earlier state for audit.
+
+Compaction writes the present state once, as the base of a new generation; what is appended
+then goes into that generation. Present state is read from the newest base and what came after
+it, however long the history is; the history of all generations stays readable.
 """
 
 from __future__ import annotations
@@ -15,7 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from floodmark.operators.journal import remove
 from floodmark.operators.keyed import first_per_key, latest_per_key
+from floodmark.sources.tables import union_all
 
 RUNS = "run_id string, state string, at timestamp_ntz, started_at timestamp_ntz"
 TABLES = """project string, dataset string, table string, schema_version int,
@@ -45,6 +51,10 @@ KEYS = {
     "partitions": ["dataset", "table", "partition_id"],
 }
 
+# Ledgers whose history outgrows their present state. The others are needed whole.
+COMPACTED = ("runs", "tables", "partitions")
+CLOSED = ("completed", "partial")
+
 STALE_AFTER = "INTERVAL 24 HOURS"
 
 
@@ -63,16 +73,81 @@ class Ledgers:
                 (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                 for f in fields
             ]
-        ).write.mode("append").parquet(f"{self.root}/{name}")
+        ).write.mode("append").parquet(self._folder(name, self.generation()))
 
     def append_new(self, name: str, rows: DataFrame, keys: Sequence[str], run_id: str) -> None:
         """Append the rows whose keys the ledger does not have from this run yet."""
-        there = self.read(name).where(F.col("run_id") == run_id).select(*keys)
+        there = self.live(name).where(F.col("run_id") == run_id).select(*keys)
         self.append(name, rows.join(there, list(keys), "left_anti"))
 
+    def generation(self) -> int:
+        """The newest generation whose base is complete; 0 before the first compaction."""
+        folder, store = self._store(f"{self.root}/generations")
+        if not store.exists(folder):
+            return 0
+        names = [status.getPath().getName() for status in store.listStatus(folder)]
+        return max((int(n) for n in names if n.isdigit()), default=0)
+
+    def _store(self, path: str):
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _folder(self, name: str, generation: int) -> str:
+        if name not in COMPACTED or generation == 0:
+            return f"{self.root}/{name}"
+        return f"{self.root}/generation-{generation}/{name}"
+
+    def _base(self, name: str, generation: int) -> str:
+        return f"{self.root}/generation-{generation}/base/{name}"
+
     def read(self, name: str) -> DataFrame:
+        """All rows ever appended, of all generations."""
+        newest = self.generation() if name in COMPACTED else 0
+        return union_all([self._at(name, self._folder(name, k)) for k in range(newest + 1)])
+
+    def live(self, name: str) -> DataFrame:
+        """Rows that the present state follows from: the newest base and what was appended since."""
+        newest = self.generation()
+        if name not in COMPACTED or newest == 0:
+            return self.read(name)
+        return union_all([self._at(name, self._base(name, newest)), self._at(name, self._folder(name, newest))])
+
+    def compact(self) -> int:
+        """Write the present state as the base of a new generation, and return its number.
+
+        The base has the latest row of each key from closed runs, and every row of runs that
+        are not closed: those may still go on and be published. It is in force once its
+        generation is sealed, by creating one empty file; a compaction that dies before has
+        changed nothing, and the next one writes the same generation anew.
+        """
+        new = self.generation() + 1
+        remove(self.spark, f"{self.root}/generation-{new}")
+        runs = latest_runs(self.live("runs"))
+        closed = runs.where(F.col("state").isin(*CLOSED)).select("run_id")
+        for name in COMPACTED:
+            if name == "runs":
+                kept = runs
+            else:
+                rows = self.live(name)
+                going = rows.join(closed, "run_id", "left_anti")
+                settled = self._state(name, rows.join(closed, "run_id", "left_semi"))
+                kept = settled.unionByName(going)
+            kept.select(*_schema(name).fieldNames()).write.parquet(self._base(name, new))
+        self._seal(new)
+        return new
+
+    def closed_since(self) -> int:
+        """Runs that closed since the last compaction."""
+        rows = self._at("runs", self._folder("runs", self.generation()))
+        return latest_runs(rows).where(F.col("state").isin(*CLOSED)).count()
+
+    def _seal(self, generation: int) -> None:
+        place, store = self._store(f"{self.root}/generations/{generation}")
+        store.create(place, False).close()
+
+    def _at(self, name: str, path: str) -> DataFrame:
         try:
-            return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}")
+            return self.spark.read.schema(SCHEMAS[name]).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -85,15 +160,21 @@ class Ledgers:
 
     def committed(self, name: str) -> DataFrame:
         """Rows of completed runs only: the run's closing row is what publishes them."""
-        closed = self.latest("runs").where(F.col("state").isin("completed", "partial"))
-        return self.read(name).join(closed.select("run_id"), "run_id", "left_semi")
+        return self._published(self.read(name))
+
+    def _published(self, rows: DataFrame) -> DataFrame:
+        closed = self.latest("runs").where(F.col("state").isin(*CLOSED))
+        return rows.join(closed.select("run_id"), "run_id", "left_semi")
 
     def latest(self, name: str) -> DataFrame:
         if name == "runs":
-            return latest_runs(self.read("runs"))
+            return latest_runs(self.live("runs"))
         if name == "versions":
             return latest_per_key(self.committed("versions"), ["dataset", "table"], ["version"])
-        rows = self.committed(name)
+        return self._state(name, self._published(self.live(name)))
+
+    def _state(self, name: str, rows: DataFrame) -> DataFrame:
+        """The latest row of each key; of partitions, the latest that was exported well."""
         if name == "partitions":
             rows = rows.where("state = 'completed'")
         return latest_per_key(rows, KEYS[name], ["at", "run_id"])

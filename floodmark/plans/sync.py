@@ -63,11 +63,17 @@ class Lake:
         layout: export.Layout = export.Layout(),
         at_once: int = 4,
         big_decimals: str = "decimal",
+        compact_every: int = 0,
     ):
-        """``big_decimals`` says how decimals of more than 9 digits after the point are stored."""
+        """``big_decimals`` says how decimals of more than 9 digits after the point are stored.
+
+        ``compact_every`` is the number of closed runs after which a run compacts the ledgers
+        once it is closed itself; 0 leaves that to :meth:`compact`.
+        """
         self.spark = spark
         self.at_once = at_once
         self.big_decimals = big_decimals
+        self.compact_every = compact_every
         self.root = root.rstrip("/")
         self.layout = layout
         self.ledgers = Ledgers(spark, self.root)
@@ -97,15 +103,22 @@ class Lake:
         state = self._reopen(run_id, at, now)
         self.ledgers.append_run(run_id, "running", now, now)
         try:
-            return self._run(sources, run_id, now, days, rules, resumed=state is not None)
+            result = self._run(sources, run_id, now, days, rules, resumed=state is not None)
         except Exception:
             # Nothing of the run is published; the next one need not wait for it.
             self.ledgers.append_run(run_id, "failed", now, now)
             raise
+        if self.compact_every and self.ledgers.closed_since() >= self.compact_every:
+            self.ledgers.compact()
+        return result
+
+    def compact(self) -> int:
+        """Write the ledgers' present state once, so that reading it no longer reads all history."""
+        return self.ledgers.compact()
 
     def _reopen(self, run_id: str, at: Column, now: str) -> str | None:
         """The state of an earlier attempt of a run, if there is one; stale other runs are aborted."""
-        runs = self.ledgers.read("runs")
+        runs = self.ledgers.live("runs")
         stale = ledger.abort_rows(runs, at).where(F.col("run_id") != run_id)
         if not stale.isEmpty():
             self.ledgers.append("runs", stale)

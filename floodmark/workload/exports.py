@@ -11,6 +11,7 @@ from floodmark.functions import hashing, ids
 from floodmark.operators import batches, discovery, manifest, verify
 from floodmark.operators.incremental import Rule
 from floodmark.operators.journal import Journal
+from floodmark.operators.ledger import Ledgers
 from floodmark.plans import digests, export
 from floodmark.plans.sync import Lake
 from floodmark.session import fresh_dir
@@ -740,3 +741,47 @@ def file_plan_by_bytes(spark: SparkSession, sf: str) -> DataFrame:
     )
     read = lake.read(source).groupBy(source.partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("row_count"))
     return planned.join(found, "partition_id", "left").join(read, "partition_id", "left")
+
+
+class _DiesSealing(Ledgers):
+    """Ledgers whose driver ends after a compaction has written its bases, before it counts."""
+
+    def _seal(self, generation: int) -> None:
+        raise _Stops
+
+
+@query(
+    """
+    select strftime(ts, '%Y%m%d') as partition_id, count(*) as row_count, count(*) as read_rows,
+      case when max(ts) < timestamp '2024-01-10 00:00:00' then 'r1'
+        when max(ts) < timestamp '2024-01-20 00:00:00' then 'r2' else 'r3' end as run_id,
+      case when dayofmonth(max(ts)) in (10, 20) then 2 else 1 end as history_rows, 2 as generation
+    from events group by 1"""
+)
+def ledger_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs, a compaction after the first that dies half way, and one after each of the others."""
+    root = fresh_dir(spark, "compacted")
+    lake = Lake(spark, root)
+
+    def source(until: str | None) -> TableSource:
+        frame = base.table(spark, sf, "events")
+        if until is not None:
+            frame = frame.where(F.col("ts") < F.lit(until).cast(frame.schema["ts"].dataType))
+        return TableSource("logs", "events", frame, "ts", "ts")
+
+    lake.sync([source("2024-01-10 12:00:00")], "r1", "2024-02-01 00:00:00")
+    try:
+        _DiesSealing(spark, root).compact()
+    except _Stops:
+        pass
+    lake.sync([source("2024-01-20 12:00:00")], "r2", "2024-02-02 00:00:00")
+    lake.compact()
+    lake.sync([source(None)], "r3", "2024-02-03 00:00:00")
+    lake.compact()
+    key = ["dataset", "table", "partition_id"]
+    state = lake.ledgers.latest("partitions").select(*key, "row_count", "run_id")
+    history = lake.ledgers.read("partitions").groupBy(*key).agg(F.count(F.lit(1)).alias("history_rows"))
+    now = source(None)
+    read = lake.read(now).groupBy(now.partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("read_rows"))
+    number = F.lit(lake.ledgers.generation()).alias("generation")
+    return state.join(history, key).join(read, "partition_id").select("*", number).drop("dataset", "table")
