@@ -23,6 +23,7 @@ from floodmark.operators import (
     manifest,
     registry,
     report,
+    sketches,
     unify,
     verify,
 )
@@ -648,6 +649,49 @@ class Lake:
         counts = [verify.count_partitions(side) for side in (source, lake_side)]
         return verify.compare_counts(*[verify.sampled(side, rate) for side in counts])
 
+    def sketch(self, source: TableSource, columns: Sequence[str]) -> None:
+        """Sketch the named columns of the partitions that were exported since they were last sketched.
+
+        Only ranges of those partitions are read. A partition that is exported again is
+        sketched again; readers take the sketch of its newest export.
+        """
+        folder = self._sketch_dir(source)
+        present = self._present(source)
+        known = self._sketched(source).groupBy("run_id", "partition_id").agg(F.collect_set("column").alias("known"))
+        lacking = F.size(F.array_except(F.array(*[F.lit(c) for c in columns]), F.coalesce("known", F.array().cast("array<string>"))))
+        stale = stored(
+            present.join(known, ["run_id", "partition_id"], "left").where(lacking > 0).select("run_id", "partition_id"), "stale"
+        )
+        if stale.isEmpty():
+            return
+        lake_side = replace(source, frame=self.read(source))
+        if source.partition_on is not None:
+            lake_side = replace(lake_side, frame=export.within_spans(lake_side, export.planned_spans(source, stale)))
+        rows = lake_side.frame.withColumn("partition_id", lake_side.partition_id())
+        built = sketches.build(join_per_key(rows, stale, ["partition_id"], "inner"), ["run_id", "partition_id"], columns)
+        built.write.mode("append").parquet(folder)
+
+    def sketches(self, source: TableSource) -> DataFrame:
+        """Sketches of a table's present partitions: one row per partition and column."""
+        mine = self._sketched(source).join(self._present(source), ["run_id", "partition_id"], "left_semi")
+        # A column named in two calls for one export has two sketches of the same rows.
+        return mine.dropDuplicates(["partition_id", "column"])
+
+    def _present(self, source: TableSource) -> DataFrame:
+        mine = ledger.table_state(self.ledgers.latest("partitions"), source.dataset, source.table)
+        return mine.where("row_count > 0").select("run_id", "partition_id")
+
+    def _sketch_dir(self, source: TableSource) -> str:
+        return f"{self.root}/sketches/{export.safe_name(source.dataset)}/{export.safe_name(source.table)}"
+
+    def _sketched(self, source: TableSource) -> DataFrame:
+        try:
+            return self.spark.read.schema(sketches.SCHEMA).parquet(self._sketch_dir(source))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], sketches.SCHEMA)
+
     def orphans(self, now: str) -> DataFrame:
         """Data files over a day old that no published run lists."""
         stored = files.inventory(self.spark, f"{self.root}/data").withColumn(

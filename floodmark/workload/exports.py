@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodmark.functions import hashing, ids
-from floodmark.operators import batches, discovery, manifest, verify
+from floodmark.operators import batches, discovery, manifest, sketches, verify
 from floodmark.operators.incremental import Rule
 from floodmark.operators.journal import Journal
 from floodmark.operators.ledger import Ledgers
@@ -785,3 +785,53 @@ def ledger_compacted(spark: SparkSession, sf: str) -> DataFrame:
     read = lake.read(now).groupBy(now.partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("read_rows"))
     number = F.lit(lake.ledgers.generation()).alias("generation")
     return state.join(history, key).join(read, "partition_id").select("*", number).drop("dataset", "table")
+
+
+def _sketched_events(spark: SparkSession, sf: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Events exported and sketched in two runs, the second with a day exported again: sketches and rows by week."""
+    frame = base.table(spark, sf, "events")
+    first = frame.where(F.col("ts") < F.lit("2024-01-12 12:00:00").cast(frame.schema["ts"].dataType))
+    lake = Lake(spark, fresh_dir(spark, "sketched"))
+    for run, rows in enumerate([first, frame], 1):
+        source = TableSource("logs", "events", rows, "ts", "ts")
+        lake.sync([source], f"r{run}", f"2024-02-0{run} 00:00:00")
+        lake.sketch(source, columns)
+    day = F.to_date("partition_id", "yyyyMMdd")
+    week = F.date_format(F.date_trunc("week", day), "yyyyMMdd")
+    return lake.sketches(source).withColumn("week", week), frame.withColumn("week", F.date_format(F.date_trunc("week", "ts"), "yyyyMMdd"))
+
+
+@query(
+    """
+    with w as (select strftime(date_trunc('week', ts), '%Y%m%d') as week, event_id, user_id, event_type from events)
+    select week, "column", count(*) as row_count, count(*) - count(v) as nulls, count(distinct v) as exact, true as within
+    from (select week, 'event_id' as "column", event_id::varchar as v from w
+      union all select week, 'user_id', user_id::varchar from w
+      union all select week, 'event_type', event_type from w)
+    group by 1, 2"""
+)
+def distinct_by_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct counts by week from sketches of days, each within four standard errors of the exact count."""
+    columns = ["event_id", "user_id", "event_type"]
+    sketched, rows = _sketched_events(spark, sf, columns)
+    counted = sketches.distinct_counts(sketched, ["week"])
+    values = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in columns]))
+    exact = rows.select("week", values).groupBy("week", "column").agg(F.countDistinct("v").alias("exact"))
+    off = F.abs(F.col("n_distinct") - F.col("exact")) <= 4 * sketches.DISTINCT_ERROR * F.col("exact") + 0.5
+    return counted.join(exact, ["week", "column"]).withColumn("within", off).drop("n_distinct")
+
+
+@query(
+    """
+    select strftime(date_trunc('week', ts), '%Y%m%d') as week, fraction, count(value) as n, true as within
+    from events, (values (0.5::double), (0.9::double), (0.99::double)) f(fraction) group by 1, 2"""
+)
+def duration_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles by week from sketches of days; the share of rows up to each is within twice the rank error."""
+    sketched, rows = _sketched_events(spark, sf, ["value"])
+    found = sketches.quantiles(sketched, ["week"], [0.5, 0.9, 0.99]).drop("column")
+    met = rows.select("week", F.col("value").alias("v")).join(found, "week").groupBy("week", "fraction", "n")
+    slack = F.lit(2 * sketches.RANK_ERROR)
+    below = F.count_if(F.col("v") < F.col("value")) / F.col("n") <= F.col("fraction") + slack
+    upto = F.count_if(F.col("v") <= F.col("value")) / F.col("n") >= F.col("fraction") - slack
+    return met.agg((below & upto).alias("within"))
