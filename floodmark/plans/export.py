@@ -374,13 +374,15 @@ def read_published(
     version: int,
     current: DataFrame,
     schema: T.StructType | None = None,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Present rows of a table in one schema version, from published runs only.
 
     ``current`` has one row per partition with the run that exported it last. The join on
     run and partition leaves out unpublished runs and replaced partitions; dynamic pruning
     skips the directories of runs it does not name. ``schema`` is the one recorded for the
-    version; without it, it is that of the files.
+    version; without it, it is that of the files. ``only`` names the files to read, below
+    the root.
     """
     path = f"{table_dir(root, dataset, table)}/schema_version=v{version}"
     layout = {"run", "batch"}
@@ -389,7 +391,8 @@ def read_published(
     own = [f for f in schema.fields if f.name not in {*layout, "partition_id"}]
     # Directory names are text whatever they look like.
     typed = with_text(T.StructType(own), "partition_id", *sorted(layout))
-    files = spark.read.schema(typed).parquet(path)
+    paths = [path] if only is None else [f"{root}/{p}" for p in only]
+    files = spark.read.schema(typed).option("basePath", path).parquet(*paths)
     keep = current.where(
         (F.col("dataset") == dataset)
         & (F.col("table") == table)

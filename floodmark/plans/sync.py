@@ -26,6 +26,7 @@ from floodmark.operators import (
     sketches,
     unify,
     verify,
+    zonemaps,
 )
 from floodmark.operators.journal import RUN, Journal, remove
 from floodmark.operators.keyed import join_per_key
@@ -590,9 +591,13 @@ class Lake:
         return row["current_version"] if row else None
 
     def read(
-        self, source: TableSource, version: int | None = None, strict: bool = True
+        self,
+        source: TableSource,
+        version: int | None = None,
+        strict: bool = True,
+        only: Sequence[str] | None = None,
     ) -> DataFrame:
-        """Present rows of a table as its readers see them.
+        """Present rows of a table as its readers see them, of all its files or of those named.
 
         Without a version, all versions are read, each in the schema recorded for it, and
         cast to the schema in force: the newest that is not breaking or is acknowledged.
@@ -605,15 +610,18 @@ class Lake:
             found = [r[0] for r in mine.select("schema_version").distinct().collect()]
         else:
             found = [version]
+        named = {v: only and [p for p in only if f"/schema_version=v{v}/" in p] for v in found}
+        if only is not None:
+            found = [v for v in found if named[v]]
         pieces = [
             export.read_published(
-                self.spark, self.root, source.dataset, source.table, v, current, schemas.get(v)
+                self.spark, self.root, source.dataset, source.table, v, current, schemas.get(v), named[v]
             )
             for v in sorted(found)
         ]
         wanted = version if version is not None else self.in_force(source)
         target = schemas.get(wanted, source.frame.schema)
-        if not pieces:  # never exported
+        if not pieces:  # never exported, or no file is asked for
             return self.spark.createDataFrame([], target)
         return unify.unify(pieces, target, strict)
 
@@ -692,6 +700,78 @@ class Lake:
                 raise
             return self.spark.createDataFrame([], sketches.SCHEMA)
 
+    def map_zones(self, source: TableSource, columns: Sequence[str], filtered: Sequence[str] = ()) -> None:
+        """Keep bounds and null counts of the named columns, and Bloom filters of some of them, by file.
+
+        Only files without them are read, and only these columns. Filters are written before
+        bounds, which say that a file is mapped: a call that dies is made again. What the
+        driver holds is the names of the files to read, as Spark's own listing does.
+        """
+        columns = list(dict.fromkeys([*columns, *filtered]))
+        found, pages = self._zones(source)
+        known = found.groupBy("path").agg(
+            F.collect_set("column").alias("_known"),
+            F.collect_set(F.when(F.col("pages").isNotNull(), F.col("column"))).alias("_filtered"),
+        )
+        schemas = self._schemas(source)
+        listed = self._files_of(source).join(known, "path", "left")
+        for version, schema in sorted(schemas.items()):
+            mine = [c for c in columns if c in schema.fieldNames()]
+            hashed = [c for c in filtered if c in mine]
+            if not mine:
+                continue
+            lacks = [~F.coalesce(F.array_contains(name, c), F.lit(False)) for name, cs in (("_known", mine), ("_filtered", hashed)) for c in cs]
+            new = listed.where(F.col("schema_version") == version).where(F.greatest(*lacks, F.lit(False)))
+            paths = [f"{self.root}/{r[0]}" for r in new.select("path").collect()]
+            if not paths:
+                continue
+            rows = self.spark.read.schema(schema).parquet(*paths).select(*mine)
+            bounds = stored(zonemaps.bounds(rows, self.root, mine, hashed), "bounds")
+            for c in hashed:
+                zonemaps.filters(rows, bounds, c).write.mode("append").parquet(f"{self._zone_dir(source)}/filters")
+            bounds.drop("file").write.mode("append").parquet(f"{self._zone_dir(source)}/bounds")
+
+    def files_for(self, source: TableSource, *needs: zonemaps.Need) -> DataFrame:
+        """Paths of the files that can hold rows which meet all needs; files that are not mapped are among them."""
+        types = {f.name: f.dataType for f in self._target(source).fields}
+        paths = self._files_of(source).select("path")
+        found, pages = self._zones(source)
+        for need in needs:
+            if need.column not in types:
+                raise ValueError(f"the table has no column {need.column!r}")
+            paths = zonemaps.prune(paths, found, pages, need, types[need.column])
+        return paths
+
+    def read_where(self, source: TableSource, *needs: zonemaps.Need) -> DataFrame:
+        """Rows that meet all needs, as ``read`` with a filter gives them, from ``files_for`` alone."""
+        only = [r[0] for r in self.files_for(source, *needs).collect()]
+        rows = self.read(source, only=only)
+        for need in needs:
+            rows = rows.where(need.matches(rows.schema[need.column].dataType))
+        return rows
+
+    def _target(self, source: TableSource) -> T.StructType:
+        """The schema that readers of a table see."""
+        return self._schemas(source).get(self.in_force(source), source.frame.schema)
+
+    def _files_of(self, source: TableSource) -> DataFrame:
+        return ledger.table_state(self.manifest(), source.dataset, source.table)
+
+    def _zone_dir(self, source: TableSource) -> str:
+        return f"{self.root}/zones/{export.safe_name(source.dataset)}/{export.safe_name(source.table)}"
+
+    def _zones(self, source: TableSource) -> tuple[DataFrame, DataFrame]:
+        """Bounds and filter pages of a table's files, mapped so far."""
+        out = []
+        for name, schema in (("bounds", zonemaps.BOUNDS), ("filters", zonemaps.FILTERS)):
+            try:
+                out.append(self.spark.read.schema(schema).parquet(f"{self._zone_dir(source)}/{name}"))
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                out.append(self.spark.createDataFrame([], schema))
+        return out[0], out[1]
+
     def orphans(self, now: str) -> DataFrame:
         """Data files over a day old that no published run lists."""
         stored = files.inventory(self.spark, f"{self.root}/data").withColumn(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodmark.functions import hashing, ids
-from floodmark.operators import batches, discovery, manifest, sketches, verify
+from floodmark.operators import batches, discovery, manifest, sketches, verify, zonemaps
 from floodmark.operators.incremental import Rule
 from floodmark.operators.journal import Journal
 from floodmark.operators.ledger import Ledgers
@@ -835,3 +835,33 @@ def duration_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     below = F.count_if(F.col("v") < F.col("value")) / F.col("n") <= F.col("fraction") + slack
     upto = F.count_if(F.col("v") <= F.col("value")) / F.col("n") >= F.col("fraction") - slack
     return met.agg((below & upto).alias("within"))
+
+
+@query(
+    """
+    with e as (select event_id, strftime(ts, '%Y%m%d') as partition_id, max(event_id) over () as last from events)
+    select 'bounds' as looked_up, partition_id, count(*) as n_rows, sum(event_id)::bigint as ids, true as skipped
+    from e where event_id between last // 3 and last // 3 + last // 10 group by 2
+    union all
+    select 'values', partition_id, count(*), sum(event_id)::bigint, true
+    from e where event_id in (0, last // 7, last // 2, last) group by 2"""
+)
+def skip_by_zone_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Look-ups by range and by value read only files whose bounds and filters allow them; rows are those of a full read."""
+    source = base.events(spark, sf)
+    lake = Lake(spark, fresh_dir(spark, "zones"))
+    lake.sync([source], "r1", "2024-02-01 00:00:00", days=2)
+    lake.map_zones(source, ["event_id", "event_type"], filtered=["event_id"])
+    last = source.frame.agg(F.max("event_id")).first()[0]
+    needs = {
+        "bounds": zonemaps.Need("event_id", low=last // 3, high=last // 3 + last // 10),
+        "values": zonemaps.Need("event_id", values=(0, last // 7, last // 2, last)),
+    }
+    listed = lake.published().count()
+    out = []
+    for name, need in needs.items():
+        rows = lake.read_where(source, need).groupBy(source.partition_id().alias("partition_id"))
+        fewer = lake.files_for(source, need).count() < listed
+        counted = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("ids"))
+        out.append(counted.withColumns({"looked_up": F.lit(name), "skipped": F.lit(fewer)}))
+    return union_all(out)
