@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from floodmark.llm import exchange as X
 from floodmark.llm import repeats
 
 
@@ -63,6 +64,22 @@ def test_spans_and_carried_columns(spark):
     assert whole[3].chunk == 7
 
 
+def test_equal_rows_are_spread(spark):
+    """A row that fills a third of the table lies in all chunks, and each of its copies is a document."""
+    texts = [" ".join(f"{k}-{j}" for j in range(40)) for k in range(200)]
+    rows = [(7, texts[0])] * 100 + list(enumerate(texts))[:200]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    packed = X.pack(df, ["doc_id", "text"], 4)
+    held = {}
+    for chunk, blob in packed.collect():
+        ids = X.unpacked([blob], ["doc_id", "text"])["doc_id"].to_pylist()
+        held[chunk] = held.get(chunk, 0) + ids.count(7)
+    assert sum(held.values()) == 101 and len(held) == 4 and max(held.values()) < 60
+    assert sorted(packed.collect()) == sorted(packed.collect())
+    got = repeats.remove_repeats(df, window=35).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256))
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows, 35)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.remove_repeats(docs).collect() == []
