@@ -1,6 +1,6 @@
 """Corpus-wide counts of names (of words, n-grams, passages) that come back to where they arose.
 
-Documents are dealt evenly into chunks, equal ones too. A chunk sends each distinct name
+Documents are dealt into chunks by a hash. A chunk sends each distinct name
 once, in sorted blocks, one block for each range of names (bucket); the bucket's task adds up
 what all chunks sent and answers every block in its own order, so no name travels back. A
 name that fills a third of the corpus is one entry of each chunk; buckets are ranges of
@@ -34,16 +34,20 @@ def chunk_count(docs: DataFrame, text: str, size: int = CHUNK_CHARS) -> int:
     return max(least, -(-chars // size))
 
 
-def pack(docs: DataFrame, columns: list[str], chunks: int) -> DataFrame:
+def pack(docs: DataFrame, columns: list[str], chunks: int, spread: bool = True) -> DataFrame:
     """(chunk, blob): rows as compressed Arrow streams, dealt by a hash of their values and their place.
 
     Equal rows have places of their own, so a row that fills a third of the table is spread over
     all chunks. The table that is written holds the deal: each step and each task that runs again
     sees the same one. Rows keep all given columns inside the blob, so no column of theirs can
     clash with ours.
+
+    Without ``spread`` rows are dealt by their values alone: nothing is written, and rows that
+    are equal in all columns lie in one chunk.
     """
     inner = docs.select(*[F.col(f"`{c}`") for c in columns])
-    key = F.pmod(F.xxhash64(F.monotonically_increasing_id(), *[F.col(f"`{c}`") for c in columns]), F.lit(chunks)).cast("int")
+    place = [F.monotonically_increasing_id()] if spread else []
+    key = F.pmod(F.xxhash64(*place, *[F.col(f"`{c}`") for c in columns]), F.lit(chunks)).cast("int")
     flat = inner.select(key.alias("chunk"), F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]).alias("row"))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +67,8 @@ def pack(docs: DataFrame, columns: list[str], chunks: int) -> DataFrame:
                 blobs.append(sink.getvalue().to_pybytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], ["chunk", "blob"])
 
-    return keep(flat.mapInArrow(packed, "chunk int, blob binary"), "chunks")
+    dealt = flat.mapInArrow(packed, "chunk int, blob binary")
+    return keep(dealt, "chunks") if spread else dealt
 
 
 def unpacked(blobs, columns: list[str]) -> pa.Table:

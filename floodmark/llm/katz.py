@@ -215,7 +215,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     key = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary")
     held = F.col(f"`{id_col}`").isNotNull() & (F.crc32(key) % 7 == 2)
     columns = ["id", "held", "text"]
-    packed = X.pack(docs.select(F.col(f"`{id_col}`").alias("id"), held.alias("held"), F.col(f"`{text_col}`").alias("text")), columns, chunks)
+    packed = X.pack(docs.select(F.col(f"`{id_col}`").alias("id"), held.alias("held"), F.col(f"`{text_col}`").alias("text")), columns, chunks, spread=False)
 
     def kind_blocks(chunk: int, kind: int, names: np.ndarray, extra) -> pd.DataFrame:
         out = X.blocks(chunk, chunks, names, extra, width=None)
