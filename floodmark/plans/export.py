@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
@@ -39,6 +40,14 @@ RANGES_A_SCAN = 64
 # Shuffled rows take about this many times the bytes of the Parquet files they become.
 SHUFFLE_TO_FILE = 3
 
+# Shuffled bytes that a task sorts at most: a file of the smallest size. Sorting takes some six times
+# as much memory.
+SORTED_BYTES = SMALLEST_FILE_BYTES * SHUFFLE_TO_FILE
+
+# Directories that a task writes at once. A task of no more than these need not sort its rows by
+# directory; Spark sorts what is left when there are more.
+OPEN_FILES = 32
+
 # Rows for each file that the cuts of a large partition are drawn from: pieces differ by some 6 %.
 ROWS_A_CUT = 256
 
@@ -68,21 +77,54 @@ class Layout:
             raise ValueError(f"unknown codec {self.codec!r}, use one of {', '.join(CODECS)}")
 
 
+_SIZING = threading.Lock()
+# Advisory sizes of the writes that go on in a session, and its settings before the first of them.
+_WRITES: dict[SparkSession, list[int]] = {}
+_BEFORE: dict[SparkSession, dict[str, str | None]] = {}
+
+
+def task_bytes(layout: Layout) -> int:
+    """Shuffled bytes for each task of a rebalanced write: those of a file, less where they are sorted."""
+    wanted = layout.target_bytes * SHUFFLE_TO_FILE
+    return min(wanted, SORTED_BYTES) if layout.cluster_by else wanted
+
+
 @contextmanager
 def file_sizing(spark: SparkSession, layout: Layout) -> Iterator[None]:
-    """Let AQE cut and merge the tasks of a rebalanced write towards the target file size."""
-    wanted = {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(layout.target_bytes * SHUFFLE_TO_FILE),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    }
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
+    """Let AQE cut and merge the tasks of a rebalanced write towards the target file size.
+
+    Rows that are not clustered are not sorted either: a task keeps the files of its
+    directories open side by side, so its memory is that of its row groups. Settings belong to
+    the session: of writes that go on at once, the smallest size holds for all.
+    """
+    size = task_bytes(layout)
+
+    def advise() -> None:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(_WRITES[spark])))
+
+    with _SIZING:
+        if spark not in _WRITES:
+            wanted = {
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size),
+                "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+                "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES),
+            }
+            _BEFORE[spark] = {key: spark.conf.get(key, None) for key in wanted}
+            for key, value in wanted.items():
+                spark.conf.set(key, value)
+        _WRITES.setdefault(spark, []).append(size)
+        advise()
     try:
         yield
     finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        with _SIZING:
+            _WRITES[spark].remove(size)
+            if _WRITES[spark]:
+                advise()
+            else:
+                del _WRITES[spark]
+                for key, value in _BEFORE.pop(spark).items():
+                    spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def write_parquet(
@@ -335,8 +377,10 @@ def write_planned(source: TableSource, plan: DataFrame, n_files: int, target: st
     if "cuts" in carry:
         number = number + piece_of(F.col("cuts"), row_place(source.frame, layout.cluster_by))
     dealt = rows.withColumn("first_file", number.cast("int")).drop("cuts").repartitionById(n_files, F.col("first_file"))
-    ordered = dealt.drop("first_file").sortWithinPartitions("batch", *layout.cluster_by)
-    write_parquet(ordered, target, layout, ["batch"])
+    dealt = dealt.drop("first_file")
+    if layout.cluster_by:  # a file is of one batch, so rows that are not clustered need no order
+        dealt = dealt.sortWithinPartitions("batch", *layout.cluster_by)
+    write_parquet(dealt, target, layout, ["batch"])
 
 
 def export_partitions(

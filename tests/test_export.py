@@ -70,6 +70,36 @@ def test_hot_directory_is_cut_into_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000
 
 
+def test_writes_by_directory_do_not_sort(spark, tmp_path):
+    df = spark.range(5000).select(F.concat(F.lit("k"), F.col("id") % 90).alias("k"), "id")
+    writers, size = "spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = [spark.conf.get(key, None) for key in (writers, size)]
+    plain, clustered = export.Layout(), export.Layout(cluster_by=("id",))
+    with export.file_sizing(spark, plain):
+        assert int(spark.conf.get(writers)) == export.OPEN_FILES
+        for layout, name in ((plain, "plain"), (clustered, "clustered")):
+            # More directories than are open at once: what is left is sorted, nothing is lost.
+            path = str(tmp_path / name)
+            export.write_parquet(export.arrange(df, ["k"], layout), path, layout, ["k"])
+            assert fingerprint(spark.read.parquet(path).select("k", "id")) == fingerprint(df)
+        assert int(spark.conf.get(size)) == plain.target_bytes * export.SHUFFLE_TO_FILE
+    assert [spark.conf.get(key, None) for key in (writers, size)] == before
+
+
+def test_tasks_that_sort_are_smaller(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    plain, clustered = export.Layout(), export.Layout(cluster_by=("id",))
+    one, two = export.file_sizing(spark, plain), export.file_sizing(spark, clustered)
+    one.__enter__()
+    two.__enter__()  # a table of the same run, written by another thread
+    assert int(spark.conf.get(key)) == export.SORTED_BYTES < plain.target_bytes * export.SHUFFLE_TO_FILE
+    one.__exit__(None, None, None)
+    assert int(spark.conf.get(key)) == export.SORTED_BYTES
+    two.__exit__(None, None, None)
+    with export.file_sizing(spark, export.Layout(target_bytes=1000, cluster_by=("id",))):
+        assert int(spark.conf.get(key)) == 1000 * export.SHUFFLE_TO_FILE
+
+
 def test_second_run_exports_nothing(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     src = source(table(spark))
