@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floodmark.functions import classify
-from floodmark.operators.keyed import count_changes
+from floodmark.operators.keyed import KEY_HASH, count_changes, with_key_hash
 from floodmark.session import stored
 
 TABLE_KEY = ["dataset", "table"]
@@ -147,14 +147,14 @@ def diff(
     MODE_CHANGE.
     """
     key = list(key)
+    on = [*key, "path"]
 
     def side(fields: DataFrame, name: str) -> DataFrame:
         dtype = classify.standard_type(F.col("type")) if use_aliases else F.col("type")
-        return fields.select(
-            *key, "path", dtype.alias(f"{name}_type"), _mode().alias(f"{name}_mode")
-        )
+        named = fields.select(*on, dtype.alias(f"{name}_type"), _mode().alias(f"{name}_mode"))
+        return with_key_hash(named, on)
 
-    joined = side(old, "before").join(side(new, "after"), [*key, "path"], "full")
+    joined = side(old, "before").join(side(new, "after"), [KEY_HASH, *on], "full").drop(KEY_HASH)
     repeated_flip = (F.col("before_mode") == "REPEATED") != (F.col("after_mode") == "REPEATED")
     change = (
         F.when(F.col("before_type").isNull(), F.lit("ADD"))
@@ -177,10 +177,12 @@ def diff(
             )
         ).alias("path"),
     )
-    covering = changed.where(F.col("change") != "MODE_CHANGE").select(*key, "path")
+    covering = changed.where(F.col("change") != "MODE_CHANGE").select(*on)
     # AQE splits the rows below one huge record over several tasks, as it may for semi joins.
-    covered = ancestors.join(covering, [*key, "path"], "left_semi").select(
-        *key, F.col("_path").alias("path")
+    covered = (
+        with_key_hash(ancestors, on)
+        .join(with_key_hash(covering, on), [KEY_HASH, *on], "left_semi")
+        .select(*key, F.col("_path").alias("path"))
     )
     widening = classify.is_widening(F.col("before_type"), F.col("after_type"))
     breaking = (
@@ -189,7 +191,8 @@ def diff(
         .otherwise(F.lit(True))
     )
     return (
-        changed.join(covered, [*key, "path"], "left_anti")
+        with_key_hash(changed, on)
+        .join(with_key_hash(covered, on), [KEY_HASH, *on], "left_anti")
         .withColumn("widening", (F.col("change") == "TYPE_CHANGE") & widening)
         .withColumn("breaking", breaking)
         .select(

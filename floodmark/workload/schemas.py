@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from floodmark.functions import classify
 from floodmark.operators import registry, unify
 from floodmark.plans import export
-from floodmark.session import fresh_dir
+from floodmark.session import fresh_dir, stored
 from floodmark.workload import base
 from floodmark.workload.base import query
 
@@ -63,15 +63,28 @@ new_fields as (
   from items where s % 7 <> 0 and p % 11 <> 0 and p % 5 = 0)"""
 
 
+def _rank(column: str, *marks: str) -> Column:
+    """Where a text lies among ordered marks: 2k + 1 at the k-th, even between, null for null.
+
+    The greatest rank is that of the greatest text, and numbers are aggregated without sorting rows.
+    """
+    rank = F.when(F.col(column) < marks[0], 0)
+    for k, mark in enumerate(marks):
+        rank = rank.when(F.col(column) == mark, 2 * k + 1)
+        beyond = F.col(column) > mark
+        rank = rank.when(beyond & (F.col(column) < marks[k + 1]) if k + 1 < len(marks) else beyond, 2 * k + 2)
+    return rank
+
+
 def _items(spark: SparkSession, sf: str) -> DataFrame:
-    mode = F.max("l_returnflag")
+    mode = F.max(_rank("l_returnflag", "A", "N"))
     return (
         base.table(spark, sf, "lineitem")
         .groupBy("l_orderkey", "l_linenumber")
         .agg(
             F.min("l_partkey").alias("p"),
             F.min("l_suppkey").alias("s"),
-            F.when(mode == "A", "NULLABLE").when(mode == "N", "REQUIRED").otherwise("REPEATED").alias("mode"),
+            F.when(mode == 1, "NULLABLE").when(mode == 3, "REQUIRED").otherwise("REPEATED").alias("mode"),
         )
         .select(
             F.concat(F.lit("d"), (F.col("l_orderkey") % 4).cast("string")).alias("dataset"),
@@ -254,7 +267,7 @@ history as (
 
 
 def _observed(spark: SparkSession, sf: str) -> DataFrame:
-    flag, status = F.max("l_returnflag"), F.max("l_linestatus")
+    flag, status = F.max(_rank("l_returnflag", "A", "N")), F.max(_rank("l_linestatus", "O"))
     return (
         base.table(spark, sf, "lineitem")
         .groupBy(
@@ -262,8 +275,8 @@ def _observed(spark: SparkSession, sf: str) -> DataFrame:
             "l_linenumber",
         )
         .agg(
-            F.when(flag == "A", "INT64").when(flag == "N", "FLOAT64").otherwise("STRING").alias("type"),
-            F.when(status == "O", "NULLABLE").otherwise("REQUIRED").alias("mode"),
+            F.when(flag == 1, "INT64").when(flag == 3, "FLOAT64").otherwise("STRING").alias("type"),
+            F.when(status == 1, "NULLABLE").otherwise("REQUIRED").alias("mode"),
         )
         .select(
             F.lit("sup").alias("dataset"),
@@ -308,7 +321,8 @@ classed as (
 
 
 def _classified(spark: SparkSession, sf: str) -> DataFrame:
-    observed = _observed(spark, sf)
+    # Both steps read all observations; they are derived from the line items once.
+    observed = stored(_observed(spark, sf), "observed")
     history = registry.version_history(observed, F.date_trunc("year", "observed_at"))
     return registry.classify_history(observed, history)
 

@@ -1,5 +1,6 @@
 """Fingerprints, differences and classification of schemas, all cases in a few jobs."""
 
+import datetime as dt
 import hashlib
 
 import pytest
@@ -8,6 +9,8 @@ from pyspark.sql import types as T
 
 from floodmark.functions import classify
 from floodmark.operators import registry
+from floodmark.operators.keyed import KEY_HASH
+from floodmark.workload import schemas
 
 ID = ("id", "INTEGER", "REQUIRED", [])
 
@@ -208,3 +211,30 @@ def test_rename_candidates_need_one_pair(spark):
     assert set(found) == {"STRING", "DATE"}
     assert (found["STRING"]["renamed_from"], found["STRING"]["renamed_to"]) == ("a", "c")
     assert found["DATE"]["renamed_from"] is None and found["DATE"]["n_dropped"] == 2
+
+
+def test_items_are_grouped_without_sorting(spark, tmp_path):
+    flags = ["A", "N", "R", "", "B", "a", None, "M"]
+    rows = [(i, 1, 5, 9, f, s, dt.datetime(2024, 1, 1 + i)) for i, (f, s) in enumerate(zip(flags, "OFPOOFOO"))]
+    rows += [(9, 1, 5, 9, f, "O", dt.datetime(2024, 2, 1)) for f in ("A", None, "N")]
+    columns = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(rows, f"{columns}, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    modes = {"A": "NULLABLE", "N": "REQUIRED"}
+    items = schemas._items(spark, str(tmp_path))
+    assert "SortAggregate" not in items._jdf.queryExecution().toString()
+    got = {r["table"]: r["mode"] for r in items.collect()}
+    assert got == {f"t{i}": modes.get(f, "REPEATED") for i, f in enumerate(flags)} | {"t9": "REQUIRED"}
+    observed = schemas._observed(spark, str(tmp_path))
+    assert "SortAggregate" not in observed._jdf.queryExecution().toString()
+    assert sorted({(r["type"], r["mode"]) for r in observed.collect()}) == [("FLOAT64", "NULLABLE"), ("STRING", "REQUIRED")]
+
+
+def test_diff_joins_on_a_hash_first(spark):
+    field = "dataset string, table string, path string, type string, mode string"
+    old = spark.createDataFrame([("d", "t", "a", "INT64", ""), ("d", None, "x", "INT64", "")], field)
+    new = spark.createDataFrame([("d", "t", "a", "STRING", ""), ("d", "t", "b.c", "DATE", ""), ("d", None, "x", "INT64", "")], field)
+    changes = registry.diff(old, new)
+    assert KEY_HASH in changes._jdf.queryExecution().toString() and KEY_HASH not in changes.columns
+    got = sorted((r["table"] or "", r["path"], r["change"]) for r in changes.collect())
+    # Tables without a name equal none.
+    assert got == [("", "x", "ADD"), ("", "x", "DROP"), ("t", "a", "TYPE_CHANGE"), ("t", "b.c", "ADD")]
