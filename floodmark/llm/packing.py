@@ -64,6 +64,7 @@ class WordIds:
         self.path, self.known, self.ids_of_piece = path, {}, {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
+        self.tokenize = self.tokenizer.model.tokenize
         # The vocabulary's own splitting pattern, that of its first pre-tokenizer.
         self.cut = regex.compile(json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         strings = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -100,8 +101,9 @@ class WordIds:
     def piece(self, piece: str) -> bytes:
         ids = self.ids_of_piece.get(piece)
         if ids is None:
-            form = piece.encode().decode("latin-1").translate(BYTE_FORM)
-            found = self.tokenizer.model.tokenize(form)
+            # Printable ASCII is its own form.
+            form = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_FORM)
+            found = self.tokenize(form)
             ids = self.ids_of_piece[piece] = packed(f"<{len(found)}I", *[t.id for t in found])
         return ids
 
