@@ -34,7 +34,7 @@ from floodmark.llm.words import split
 #: Pieces that one task packs at a time.
 SHARD = 50_000
 #: Words, and pieces of words, whose ids a Python worker remembers.
-REMEMBERED, PIECES = 300_000, 400_000
+REMEMBERED, PIECES = 600_000, 800_000
 SLAB = 300_000
 
 

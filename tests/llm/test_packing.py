@@ -41,6 +41,14 @@ def test_ids_are_the_tokenizers(whole):
             assert np.frombuffer(known.encode(words), "<u4").tolist() == want(text), text[:200]
 
 
+def test_words_of_many_texts_stay_known():
+    known = packing.WordIds(PATH)
+    words = [b"%d" % i for i in range(320_000)]
+    known.learn(set(words[:290_000]))
+    known.learn(set(words[290_000:]))
+    assert len(known.known) == len(words)
+
+
 def check(rows, texts, whole, length):
     by_doc, by_sequence = {}, {}
     for r in rows:
