@@ -51,9 +51,6 @@ OPEN_FILES = 32
 # Rows for each file that the cuts of a large partition are drawn from: pieces differ by some 6 %.
 ROWS_A_CUT = 256
 
-# Longest search for a row's piece: two to this power is beyond the files of any partition.
-SEARCH_STEPS = 20
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -348,16 +345,18 @@ def cut_points(source: TableSource, plan: DataFrame, by: Sequence[str]) -> DataF
     return opens.where("piece > 0").groupBy("partition_id").agg(F.array_sort(F.collect_list("place")).alias("cuts"))
 
 
-def piece_of(cuts: Column, place: Column) -> Column:
-    """How many of the ordered cuts are not beyond a place, by binary search."""
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(SEARCH_STEPS))])
-    n = F.size(cuts)
-
-    def step(found: Column, more: Column) -> Column:
-        there = found + more
-        return F.when((there <= n) & (F.get(cuts, there - 1) <= place), there).otherwise(found)
+def with_piece(rows: DataFrame, place: Column, most: int, out: str) -> DataFrame:
+    """Rows with how many of their ordered ``cuts``, ``most`` of them at the most, are not beyond their place.
 
-    return F.when(cuts.isNull() | (n == 0), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), step))
+    A binary search, each step a projection of its own: Spark compiles them into one loop with the
+    join that brings the cuts. A row only points to its partition's cuts, however many there are;
+    a lambda function would not be compiled, and every row would get a copy of them.
+    """
+    rows = rows.withColumns({"_place": place, out: F.lit(0)})
+    for k in reversed(range(most.bit_length())):
+        there = F.col(out) + (1 << k)
+        rows = rows.withColumn(out, F.when(F.get("cuts", there - 1) <= F.col("_place"), there).otherwise(F.col(out)))
+    return rows.drop("_place")
 
 
 def write_planned(source: TableSource, plan: DataFrame, n_files: int, target: str, layout: Layout) -> None:
@@ -368,15 +367,18 @@ def write_planned(source: TableSource, plan: DataFrame, n_files: int, target: st
     rows. Pieces of a clustered partition are ranges of the clustering columns.
     """
     carry = ["first_file"]
-    if not plan.where("pieces > 1").isEmpty():
+    most = plan.agg(F.max("pieces")).first()[0]
+    if most > 1:
         cuts = stored(cut_points(source, plan, layout.cluster_by), "cuts")
-        plan = join_per_key(plan, cuts, ["partition_id"], "left")
+        # Written, so that its true size decides how rows meet it: the estimate of a join is a product.
+        plan = stored(join_per_key(plan, cuts, ["partition_id"], "left"), "pieces")
         carry.append("cuts")
     rows = assign_rows(source, plan, carry)
     number = F.col("first_file")
     if "cuts" in carry:
-        number = number + piece_of(F.col("cuts"), row_place(source.frame, layout.cluster_by))
-    dealt = rows.withColumn("first_file", number.cast("int")).drop("cuts").repartitionById(n_files, F.col("first_file"))
+        rows = with_piece(rows, row_place(source.frame, layout.cluster_by), most - 1, "_piece")
+        number = number + F.col("_piece")
+    dealt = rows.withColumn("first_file", number.cast("int")).drop("cuts", "_piece").repartitionById(n_files, F.col("first_file"))
     dealt = dealt.drop("first_file")
     if layout.cluster_by:  # a file is of one batch, so rows that are not clustered need no order
         dealt = dealt.sortWithinPartitions("batch", *layout.cluster_by)

@@ -139,3 +139,22 @@ def test_later_runs_use_what_files_took(spark, tmp_path):
         spark.read.parquet(f"{tmp_path}/runs/{r}/plan").where("table = 'shards'").agg(F.max("first_file")).first()[0] for r in ("r1", "r2")
     )
     assert second < first  # the texts compress better than the default takes for granted
+
+
+def test_pieces_are_found_by_compiled_steps(spark, tmp_path):
+    """Rows only point to their partition's cuts: no step leaves the compiled loop, which would copy them."""
+    lists = {0: None, 1: [], 2: [4], 3: [1, 3, 3, 8], 4: list(range(0, 60, 2))}
+    rows = [(n, k) for n in lists for k in (None, -1, 0, 1, 3, 4, 8, 57, 58, 99)]
+    cuts = [(n, [(c,) for c in cs] if cs is not None else None) for n, cs in lists.items()]
+    spark.createDataFrame(rows, "n int, k int").write.parquet(f"{tmp_path}/rows")
+    spark.createDataFrame(cuts, "n int, cuts array<struct<k0: int>>").write.parquet(f"{tmp_path}/cuts")
+    joined = spark.read.parquet(f"{tmp_path}/rows").join(spark.read.parquet(f"{tmp_path}/cuts"), "n", "left")
+    found = export.with_piece(joined, F.struct(F.col("k").alias("k0")), 30, "piece")
+    for n, k, piece in found.select("n", "k", "piece").collect():
+        assert piece == (0 if k is None else sum(c <= k for c in lists[n] or [])), (n, k)
+    final = found._jdf.queryExecution().executedPlan().toString()
+    assert "ArrayAggregate" not in final and "lambda" not in final
+    spark.createDataFrame([], joined.schema).write.parquet(f"{tmp_path}/joined")
+    plain = export.with_piece(spark.read.parquet(f"{tmp_path}/joined"), F.struct(F.col("k").alias("k0")), 30, "piece")
+    steps = [s for s in plain._jdf.queryExecution().executedPlan().toString().split("\n") if "Project" in s]
+    assert len(steps) >= 5 and all("*(" in s for s in steps), steps
