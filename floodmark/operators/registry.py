@@ -166,17 +166,13 @@ def diff(
     changed = stored(
         joined.withColumn("change", change).where(F.col("change").isNotNull()), "changes"
     )
-    steps = F.split("path", r"\.")
-    ancestors = changed.where(F.size(steps) > 1).select(
-        *key,
-        F.col("path").alias("_path"),
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.size(steps) - 1),
-                lambda n: F.array_join(F.slice(steps, 1, n), "."),
-            )
-        ).alias("path"),
-    )
+    # Only a path with steps has ancestors; built-in functions find them that Spark compiles.
+    steps = F.length("path") - F.length(F.replace("path", F.lit("."))) + 1
+    below = F.coalesce(F.contains("path", F.lit(".")), F.lit(False))
+    deep = changed.where(below)
+    ancestors = deep.select(
+        *key, F.col("path").alias("_path"), F.explode(F.sequence(F.lit(1), steps - 1)).alias("_step")
+    ).select(*key, "_path", F.call_function("substring_index", "_path", F.lit("."), "_step").alias("path"))
     covering = changed.where(F.col("change") != "MODE_CHANGE").select(*on)
     # AQE splits the rows below one huge record over several tasks, as it may for semi joins.
     covered = (
@@ -190,9 +186,10 @@ def diff(
         .when(F.col("change") == "TYPE_CHANGE", ~F.col("widening"))
         .otherwise(F.lit(True))
     )
+    uncovered = with_key_hash(deep, on).join(with_key_hash(covered, on), [KEY_HASH, *on], "left_anti")
     return (
-        with_key_hash(changed, on)
-        .join(with_key_hash(covered, on), [KEY_HASH, *on], "left_anti")
+        changed.where(~below)
+        .unionByName(uncovered.drop(KEY_HASH))
         .withColumn("widening", (F.col("change") == "TYPE_CHANGE") & widening)
         .withColumn("breaking", breaking)
         .select(

@@ -238,3 +238,17 @@ def test_diff_joins_on_a_hash_first(spark):
     got = sorted((r["table"] or "", r["path"], r["change"]) for r in changes.collect())
     # Tables without a name equal none.
     assert got == [("", "x", "ADD"), ("", "x", "DROP"), ("t", "a", "TYPE_CHANGE"), ("t", "b.c", "ADD")]
+
+
+def test_ancestors_are_found_by_compiled_steps(spark):
+    """Odd paths, null ones and repeated rows; only rows with ancestors meet the changes above them."""
+    field = "dataset string, table string, path string, type string, mode string"
+    paths = ["a", "a.b", "a.b.c", "ab.c", "a..x", ".y", "z.", "z", "q.r.s.t", "q.r", "q.r", "q.r.s.t", None]
+    new = spark.createDataFrame([("d", "t", p, "INT64", "") for p in paths], field)
+    changes = registry.diff(spark.createDataFrame([], field), new)
+    plan = changes._jdf.queryExecution().toString()
+    assert "Union" in plan and "transform(" not in plan and "lambda" not in plan
+    got = sorted((r["path"] or "null") for r in changes.collect())
+    held = {p for p in paths if p}
+    kept = [p or "null" for p in paths if not p or not any(p[:i] in held for i in range(len(p)) if p[i] == ".")]
+    assert got == sorted(kept) and "a..x" not in got and ".y" in got
