@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from hashlib import sha256
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,20 +141,37 @@ def diff(
 ) -> DataFrame:
     """Field changes between two schemas of each table: ADD, DROP, TYPE_CHANGE.
 
-    Below an added, dropped or retyped record nothing is reported: each change looks up
-    its own ancestors among the changes by equality, one row per level, never by prefix
-    over all pairs. ``mode_flips_break`` also reports NULLABLE to REPEATED and back, as
-    MODE_CHANGE.
+    Below an added, dropped or retyped record nothing is reported. Both sides are shuffled
+    once, by key, or not at all where they are laid out by key already; fields then meet in
+    the order of their paths, so nothing is written in between. ``mode_flips_break`` also
+    reports NULLABLE to REPEATED and back, as MODE_CHANGE.
     """
     key = list(key)
-    on = [*key, "path"]
 
     def side(fields: DataFrame, name: str) -> DataFrame:
         dtype = classify.standard_type(F.col("type")) if use_aliases else F.col("type")
-        named = fields.select(*on, dtype.alias(f"{name}_type"), _mode().alias(f"{name}_mode"))
-        return with_key_hash(named, on)
-
-    joined = side(old, "before").join(side(new, "after"), [KEY_HASH, *on], "full").drop(KEY_HASH)
+        field = F.struct(dtype.alias("type"), _mode().alias("mode"))
+        # Null keys and paths equal none: their rows are groups of their own, the last bit tells the sides apart.
+        nameless = F.greatest(*[F.col(c).isNull() for c in [*key, "path"]])
+        alone = F.shiftleft(F.xxhash64("path", field), 1).bitwiseOR(F.lit(int(name == "_new")))
+        rows = with_key_hash(fields.withColumn("_apart", F.when(nameless, alone)), key)
+        sides = [(field if c == name else F.lit(None)).alias(c) for c in ("_old", "_new")]
+        return rows.select(KEY_HASH, *key, "_apart", F.concat("path", F.lit(".")).alias("_at"), *sides)
+
+    # Bytewise, all that lies below a path p is between p + "." and p + "/".
+    schema = Window.partitionBy(KEY_HASH, *key, "_apart").orderBy("_at")
+    same_path = schema.rangeBetween(Window.currentRow, Window.currentRow)
+    fields = side(old, "_old").unionAll(side(new, "_new"))
+    met = fields.withColumns(
+        {"_news": F.collect_list("_new").over(same_path), "_olds": F.count("_old").over(same_path)}
+    ).where(F.col("_old").isNotNull() | (F.col("_olds") == 0))
+    theirs = F.when(F.col("_old").isNotNull(), F.col("_news")).otherwise(F.array("_new"))
+    pairs = met.withColumn("_new", F.explode_outer(theirs)).select(
+        KEY_HASH, *key, "_apart", "_at",
+        F.substring("_at", F.lit(1), F.length("_at") - 1).alias("path"),
+        F.col("_old.type").alias("before_type"), F.col("_old.mode").alias("before_mode"),
+        F.col("_new.type").alias("after_type"), F.col("_new.mode").alias("after_mode"),
+    )
     repeated_flip = (F.col("before_mode") == "REPEATED") != (F.col("after_mode") == "REPEATED")
     change = (
         F.when(F.col("before_type").isNull(), F.lit("ADD"))
@@ -163,33 +180,19 @@ def diff(
     )
     if mode_flips_break:
         change = change.when(repeated_flip, F.lit("MODE_CHANGE"))
-    changed = stored(
-        joined.withColumn("change", change).where(F.col("change").isNotNull()), "changes"
-    )
-    # Only a path with steps has ancestors; built-in functions find them that Spark compiles.
-    steps = F.length("path") - F.length(F.replace("path", F.lit("."))) + 1
-    below = F.coalesce(F.contains("path", F.lit(".")), F.lit(False))
-    deep = changed.where(below)
-    ancestors = deep.select(
-        *key, F.col("path").alias("_path"), F.explode(F.sequence(F.lit(1), steps - 1)).alias("_step")
-    ).select(*key, "_path", F.call_function("substring_index", "_path", F.lit("."), "_step").alias("path"))
-    covering = changed.where(F.col("change") != "MODE_CHANGE").select(*on)
-    # AQE splits the rows below one huge record over several tasks, as it may for semi joins.
-    covered = (
-        with_key_hash(ancestors, on)
-        .join(with_key_hash(covering, on), [KEY_HASH, *on], "left_semi")
-        .select(*key, F.col("_path").alias("path"))
-    )
+    changed = pairs.withColumn("change", change).where(F.col("change").isNotNull())
+    end = F.concat("path", F.lit("/"))
+    # An ancestor's end lies beyond a path's own; that of any other path before it does not.
+    reach = F.max(F.when(F.col("change") != "MODE_CHANGE", end)).over(schema)
+    covered = changed.withColumn("_covered", F.coalesce(reach > end, F.lit(False)))
     widening = classify.is_widening(F.col("before_type"), F.col("after_type"))
     breaking = (
         F.when(F.col("change") == "ADD", ~F.col("after_mode").isin("NULLABLE", "REPEATED"))
         .when(F.col("change") == "TYPE_CHANGE", ~F.col("widening"))
         .otherwise(F.lit(True))
     )
-    uncovered = with_key_hash(deep, on).join(with_key_hash(covered, on), [KEY_HASH, *on], "left_anti")
     return (
-        changed.where(~below)
-        .unionByName(uncovered.drop(KEY_HASH))
+        covered.where(~F.col("_covered"))
         .withColumn("widening", (F.col("change") == "TYPE_CHANGE") & widening)
         .withColumn("breaking", breaking)
         .select(

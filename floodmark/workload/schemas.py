@@ -92,6 +92,7 @@ def _items(spark: SparkSession, sf: str) -> DataFrame:
             F.concat(F.lit("g"), F.col("l_linenumber").cast("string")).alias("g"),
             "p", "s", "mode",
         )
+        .repartition("dataset", "table")  # a table's fields lie together, as in a registry that is kept by table
     )
 
 

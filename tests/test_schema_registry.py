@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -252,3 +253,48 @@ def test_ancestors_are_found_by_compiled_steps(spark):
     held = {p for p in paths if p}
     kept = [p or "null" for p in paths if not p or not any(p[:i] in held for i in range(len(p)) if p[i] == ".")]
     assert got == sorted(kept) and "a..x" not in got and ".y" in got
+
+
+def test_diff_writes_nothing_and_shuffles_its_sides_once(spark, monkeypatch):
+    """One exchange for both sides; none where the rows are laid out by key, of whatever sizes the sides are."""
+    monkeypatch.delattr(registry, "stored")
+    sql = ["concat('d', id % 3) as dataset", "concat('t', id % 3000) as table", "concat('f', id % 7) as path", "if(id % 10 = 9, 'STRING', 'INT64') as type", "'' as mode"]
+    new = spark.range(10, 20_010).selectExpr(sql)
+    old = spark.range(900).selectExpr(sql).withColumn("type", F.lit("INT64"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    try:
+        plain, laid = registry.diff(old, new), registry.diff(*(x.repartition(8, "dataset", "table") for x in (old, new)))
+        for changes, exchanges in ((plain, 1), (laid, 2)):
+            assert changes._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == exchanges
+        got = [sorted(map(repr, x.collect())) for x in (plain, laid)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    joined = old.withColumnRenamed("type", "before").join(new.withColumnRenamed("type", "after"), ["dataset", "table", "path"], "full")
+    want = joined.where("before is distinct from after").count()
+    assert got[0] == got[1] and len(got[0]) == want and {c for c in ("ADD", "DROP", "TYPE_CHANGE") if f"'{c}'" in str(got)} == {"ADD", "DROP", "TYPE_CHANGE"}
+
+
+def test_diff_of_repeated_and_null_rows(spark):
+    """Repeated paths meet as pairs, nulls meet nothing; what is below a change goes, whatever sorts in between."""
+    paths = ["a", "a-x", "a.b", "a.b.c", "a/x", "a0", "ab", "a.-", "é", "é.x", "r", "r.s", "r.s.t", "", ".q", None]
+    rng = random.Random(5)
+    rows = [
+        [(rng.choice(["d", None]), rng.choice(["t", "u"]), rng.choice(paths), rng.choice(["INT64", "STRING", None]), rng.choice(["", None, "REPEATED", "REQUIRED"])) for _ in range(120)]
+        for _ in range(2)
+    ]
+    frames = [spark.createDataFrame(r, "dataset string, table string, path string, type string, mode string") for r in rows]
+    mode = lambda m: m or "NULLABLE"
+    for flips in (False, True):
+        pairs = [(o, n) for o in rows[0] for n in rows[1] if None not in o[:3] and o[:3] == n[:3]]
+        pairs += [(o, None) for o in rows[0] if not any(o is p[0] for p in pairs)] + [(None, n) for n in rows[1] if not any(n is p[1] for p in pairs)]
+        found = []
+        for o, n in pairs:
+            before, after = o[3] if o else None, n[3] if n else None
+            flip = bool(flips and o and n and (mode(o[4]) == "REPEATED") != (mode(n[4]) == "REPEATED"))
+            change = "ADD" if before is None else "DROP" if after is None else "TYPE_CHANGE" if before != after else "MODE_CHANGE" if flip else None
+            if change:
+                found.append((*(o or n)[:3], change, before, after, mode(o[4]) if o else None, mode(n[4]) if n else None))
+        above = {f[:3] for f in found if None not in f[:3] and f[3] != "MODE_CHANGE"}
+        want = [f for f in found if f[2] is None or not any((*f[:2], f[2][:i]) in above for i, c in enumerate(f[2]) if c == ".")]
+        got = [tuple(r)[:8] for r in registry.diff(*frames, mode_flips_break=flips).collect()]
+        assert 0 < len(want) < len(found) and sorted(got, key=repr) == sorted(want, key=repr)
