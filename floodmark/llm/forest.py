@@ -38,6 +38,8 @@ SPILL = 0.02
 LEAF, SAMPLE, LEVELS, ROUNDS = 2048, 4000, 4, 12
 #: Vectors that are routed at a time, and the share of its parent above which a node counts as stuck.
 ROUTED, STUCK = 20_000, 0.8
+#: Random directions of which a split takes the best.
+TRIED = 4
 
 
 def units(vectors: pa.ChunkedArray) -> np.ndarray:
@@ -47,17 +49,36 @@ def units(vectors: pa.ChunkedArray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1))[:, None]
 
 
-def fit(vectors: np.ndarray, seed: int, levels: int) -> tuple[np.ndarray, np.ndarray]:
-    """Directions and thresholds of a subtree in heap order."""
+def fit(vectors: np.ndarray, seed: int, levels: int, n: int, spill: float, leaf: int) -> tuple[np.ndarray, np.ndarray]:
+    """Directions and thresholds of a subtree in heap order, from a sample of a node's n vectors.
+
+    Of some random directions that is taken, with its threshold, whose two sides have the fewest
+    pairs together: a threshold in a tight group would send the group to both sides. A part
+    that fits a leaf or hardly shrinks has an infinite threshold, so all of it stays on one side.
+    """
     rng = np.random.default_rng(seed)
-    n = (1 << levels) - 1
-    directions = rng.normal(size=(n, vectors.shape[1]))
-    directions /= np.sqrt((directions**2).sum(axis=1))[:, None]
-    thresholds, members = np.zeros(n), [np.arange(len(vectors))] + [np.empty(0, np.int64)] * (2 * n)
-    for k in range(n):
-        height = vectors[members[k]] @ directions[k]
-        thresholds[k] = np.median(height) if len(height) else 0.0
-        members[2 * k + 1], members[2 * k + 2] = members[k][height <= thresholds[k]], members[k][height > thresholds[k]]
+    size = (1 << levels) - 1
+    directions, thresholds = np.zeros((size, vectors.shape[1])), np.full(size, np.inf)
+    members = [np.arange(len(vectors))] + [np.empty(0, np.int64)] * (2 * size)
+    for k in range(size):
+        tried = rng.normal(size=(TRIED, vectors.shape[1]))
+        tried /= np.sqrt((tried**2).sum(axis=1))[:, None]
+        at = members[2 * k + 1] = members[k]
+        if len(at) * n <= leaf * len(vectors):
+            continue
+        heights, best = vectors[at] @ tried.T, (np.inf,)
+        for way in range(TRIED):
+            height = np.sort(heights[:, way])
+            cuts = np.linspace(*np.quantile(height, [0.05, 0.95]), 65)
+            low, high = np.searchsorted(height, cuts + spill, "right"), len(at) - np.searchsorted(height, cuts - spill, "right")
+            pairs = low.astype(np.float64) ** 2 + high.astype(np.float64) ** 2
+            c = int(pairs.argmin())
+            best = min(best, (pairs[c], way, cuts[c], max(low[c], high[c])))
+        if best[3] > STUCK * len(at):
+            continue
+        directions[k], thresholds[k] = tried[best[1]], best[2]
+        height = heights[:, best[1]] - best[2]
+        members[2 * k + 1], members[2 * k + 2] = at[height <= spill], at[height > -spill]
     return directions, thresholds
 
 
@@ -94,13 +115,13 @@ def leaves(classes: DataFrame, trees: int, spill: float, leaf: int) -> DataFrame
         wanted = F.least(F.lit(LEVELS), F.ceil(F.log2(F.col("n") / leaf))).cast("int")
 
         def plan(sample: pa.Table) -> pa.Table:
-            node, levels = sample["leaf"][0].as_py(), sample["levels"][0].as_py()
+            node, levels, n = (sample[c][0].as_py() for c in ("leaf", "levels", "n"))
             unit = units(sample.sort_by("cid")["embedding"])
-            found = [fit(unit, (node ^ (tree * 0x9E3779B97F4A7C15)) & 0xFFFFFFFF, levels) for tree in range(many)]
+            found = [fit(unit, (node ^ (tree * 0x9E3779B97F4A7C15)) & 0xFFFFFFFF, levels, n, spill, leaf) for tree in range(many)]
             directions, thresholds = (np.stack([f[k] for f in found]).astype("<f8").tobytes() for k in (0, 1))
             return pa.table({"leaf": [node], "directions": pa.array([directions], pa.binary()), "thresholds": pa.array([thresholds], pa.binary()), "trees": pa.array([many], pa.int32())})
 
-        fitted = large.where(share).select("leaf", "cid", "embedding", wanted.alias("levels"))
+        fitted = large.where(share).select("leaf", "cid", "embedding", "n", wanted.alias("levels"))
         fitted = keep(fitted.groupBy("leaf").applyInArrow(plan, "leaf long, directions binary, thresholds binary, trees int"), "splits")
 
         def split(part: pa.Table, splits: pa.Table) -> pa.Table:
@@ -131,6 +152,43 @@ def leaves(classes: DataFrame, trees: int, spill: float, leaf: int) -> DataFrame
     return out
 
 
+def first_met(codes: pa.ListArray, here: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Places of the pairs (i, j) of rows that share no leaf below ``here``.
+
+    Each row's lower leaves are bits, those of most rows first: nearly all pairs of a tight
+    group that meet elsewhere are settled by the first word.
+    """
+    codes = codes.take(pa.array(np.arange(len(codes)))) if codes.offset else codes
+    row, code = np.repeat(np.arange(len(codes)), np.diff(codes.offsets.to_numpy())), codes.flatten().to_numpy()
+    linked = np.zeros(len(codes), bool)
+    linked[i] = linked[j] = True
+    lower = linked[row] & (code < here)
+    row, (names, bit, many) = row[lower], np.unique(code[lower], return_inverse=True, return_counts=True)
+    rank = np.empty(len(names), np.int64)
+    rank[np.argsort(-many, kind="stable")] = np.arange(len(names))
+    bit, own = rank[bit.ravel()], np.arange(len(i))
+    for word in range(-(-int((many > 1).sum()) // 64)):  # a leaf of one row is shared by no pair
+        mine = bit // 64 == word
+        bits = np.zeros(len(codes), np.uint64)
+        np.bitwise_or.at(bits, row[mine], np.uint64(1) << (bit[mine] % 64).astype(np.uint64))
+        own = own[(bits[i[own]] & bits[j[own]]) == 0]
+    return own
+
+
+def least_reached(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest row that each of n rows reaches over the pairs (i, j)."""
+    label = np.arange(n)
+    while len(i):
+        new = label.copy()
+        np.minimum.at(new, np.maximum(label[i], label[j]), np.minimum(label[i], label[j]))
+        while (new[new] != new).any():
+            new = new[new]
+        label = new
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
+    return label
+
+
 def compare(rows: pa.Table, cosine: float) -> pa.Table:
     """(cid, n, to): links of one block pair that this leaf counts, and a forest of all its links."""
     rows = rows.sort_by([("block", "ascending"), ("cid", "ascending")])
@@ -145,31 +203,10 @@ def compare(rows: pa.Table, cosine: float) -> pa.Table:
         j = j + edge
     if not len(i):
         return pa.table({"cid": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "to": pa.array([], pa.int64())})
-    lists = rows["codes"].combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
-    codes = np.full((len(rows), sizes.max()), np.iinfo(np.int64).max)
-    codes[np.arange(sizes.max()) < sizes[:, None]] = lists.flatten().to_numpy()
-    # Vectors of a tight group mostly lie in the same leaves: kinds of leaf lists are compared.
-    kinds, kind = np.unique(codes, axis=0, return_inverse=True)
-    kind = kind.ravel()
-    met, pair = np.unique(kind[i] * len(kinds) + kind[j], return_inverse=True)
-    mine = np.zeros(len(met), bool)
-    for a in range(0, len(met), 4000):
-        left, right = kinds[met[a : a + 4000] // len(kinds)], kinds[met[a : a + 4000] % len(kinds)]
-        common = (left[:, :, None] == right[:, None, :]).any(axis=2)
-        mine[a : a + 4000] = left[np.arange(len(left)), common.argmax(axis=1)] == here
-    own = mine[pair.ravel()]
-    number = rows["number"].to_numpy()
-    n = np.bincount(i[own], weights=number[j[own]], minlength=len(rows)) + np.bincount(j[own], weights=number[i[own]], minlength=len(rows))
-    label = np.arange(len(rows))
-    while True:  # smallest label over links until nothing changes
-        new = label.copy()
-        np.minimum.at(new, i, label[j])
-        np.minimum.at(new, j, label[i])
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
+    own = first_met(rows["codes"].combine_chunks(), here, i, j)
+    number, i_, j_ = rows["number"].to_numpy(), i[own], j[own]
+    n = np.bincount(i_, weights=number[j_], minlength=len(rows)) + np.bincount(j_, weights=number[i_], minlength=len(rows))
+    label = least_reached(len(rows), i, j)
     at, joined = np.flatnonzero(n), np.flatnonzero(label != np.arange(len(rows)))
     none = lambda k: pa.nulls(k, pa.int64())
     return pa.table(

@@ -1,7 +1,9 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from floodmark.llm import forest
 
@@ -82,3 +84,35 @@ def test_recall_with_the_registered_parameters_on_a_label_that_is_split(spark):
     links = ((u @ u.T) >= 0.93).sum() - len(u)
     found = sum(r.n_links for r in got)
     assert links >= 5900 and 0.99 * links <= found <= links
+
+
+def test_a_group_larger_than_a_leaf_is_not_copied_at_each_split(spark):
+    """A tight group has about one place in each tree, and all its pairs are counted."""
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(4000, 32))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v[:600] = v[0] + rng.normal(size=(600, 32)) * 0.017
+    rows = [(k, x, 1) for k, x in enumerate(np.float32(v).tolist())]
+    vectors = spark.createDataFrame(rows, "cid long, embedding array<float>, label int")
+    placed = forest.leaves(vectors.withColumn("dim", F.size("embedding")), 4, forest.SPILL, 200)
+    assert 4 * 600 <= placed.where("cid < 600").count() <= 2 * 4 * 600
+    got = forest.near_vectors(vectors, id_col="cid", trees=4, leaf=200).collect()
+    u = np.float32(v).astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    links = ((u @ u.T) >= 0.93).sum() - len(u)
+    assert links > 600 * 500 and sum(r.n_links for r in got) == links
+
+
+def test_pairs_that_share_a_lower_leaf_are_left_to_it():
+    rng = np.random.default_rng(4)
+    codes = [sorted({7, *rng.integers(-300, 60, rng.integers(1, 90)).tolist()}) for _ in range(150)]
+    i, j = np.triu_indices(150, 1)
+    own = forest.first_met(pa.array([[], *codes], pa.list_(pa.int64()))[1:], 7, i, j)
+    assert own.tolist() == [k for k, (a, b) in enumerate(zip(i, j)) if min({*codes[a]} & {*codes[b]}) == 7]
+    linked = rng.random(len(i)) < 0.01
+    label = forest.least_reached(150, i[linked], j[linked])
+    want = np.arange(150)
+    for _ in range(150):
+        np.minimum.at(want, i[linked], want[j[linked]])
+        np.minimum.at(want, j[linked], want[i[linked]])
+    assert (label == want).all()
