@@ -96,6 +96,15 @@ def _items(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The tables of :func:`_items`, of which each has a row at least."""
+    key = F.col("l_orderkey")
+    return base.table(spark, sf, "lineitem").select(
+        F.concat(F.lit("d"), (key % 4).cast("string")).alias("dataset"),
+        F.concat(F.lit("t"), key.cast("string")).alias("table"),
+    )
+
+
 def _unfold(items: DataFrame, fields: list[tuple[Column, str, Column | str, Column | str]]) -> DataFrame:
     """One row per item and field whose condition holds."""
     entries = [
@@ -205,7 +214,7 @@ def schema_diff(spark: SparkSession, sf: str) -> DataFrame:
 )
 def schema_classify(spark: SparkSession, sf: str) -> DataFrame:
     changes = registry.diff(_old_fields(spark, sf), _new_fields(spark, sf))
-    return registry.classify_changes(changes, _items(spark, sf))
+    return registry.classify_changes(changes, _tables(spark, sf))
 
 
 @query(

@@ -298,3 +298,24 @@ def test_diff_of_repeated_and_null_rows(spark):
         want = [f for f in found if f[2] is None or not any((*f[:2], f[2][:i]) in above for i, c in enumerate(f[2]) if c == ".")]
         got = [tuple(r)[:8] for r in registry.diff(*frames, mode_flips_break=flips).collect()]
         assert 0 < len(want) < len(found) and sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_tables_are_those_of_the_items(spark, tmp_path):
+    """The tables of a classification are read without their items, and meet the changes where those lie."""
+    columns = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_returnflag string"
+    rows = [(k, n, k + n if k else 3, n * (k or 5) + 1, "ANR"[n % 3]) for k in (1, 2, 2, 6, -3, None, None, 40) for n in (1, 2, 2, 3)]
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    items = schemas._items(spark, str(tmp_path)).select("dataset", "table").distinct()
+    tables = schemas._tables(spark, str(tmp_path))
+    assert sorted(map(repr, tables.distinct().collect())) == sorted(map(repr, items.collect())) and items.count() == 6
+    plan = schemas.schema_classify(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    # The items' own two exchanges, for each side of the diff, and one of the tables.
+    assert plan.count("Exchange hashpartitioning") == 5
+
+
+def test_rename_candidates_are_found_where_the_changes_lie(spark, tmp_path):
+    rows = [(k, n, k + n, n * k + 1, "ANR"[n % 3]) for k in range(1, 30) for n in range(1, 5)]
+    columns = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_returnflag string"
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plan = schemas.rename_candidates(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 4 and "Join" not in plan
